@@ -22,11 +22,14 @@ def create_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
 
 
-def create_table(spark: SparkSession, name: str, fields: Contract, partition_by: Sequence[str] = ()) -> None:
+def create_table(
+    spark: SparkSession, name: str, fields: Contract, partition_by: Sequence[str] = (), location: str | None = None
+) -> None:
     """Create a Parquet table from a contract; an existing table is left alone."""
     columns = ", ".join(f"`{f.name}` {KINDS[f.kind]}" for f in fields)
     parts = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{place}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow.operators import load, lookups, messages
+from marketflow.session import broadcast_if_small
 
 _BATCH = "_batch"
 SEED = -1
@@ -105,7 +106,7 @@ def restated_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Se
     newest = (
         keyed.where(F.col(_BATCH) >= 0).dropna(subset=list(parts)).groupBy(*parts).agg(F.max(_BATCH).alias("_newest"))
     )
-    joined = keyed.join(newest, list(parts), "left")
+    joined = keyed.join(broadcast_if_small(newest), list(parts), "left")
     current = F.col("_newest").isNull() | (F.col(_BATCH) == F.col("_newest"))
     return joined.where(current).drop("_newest", _BATCH, *parts)
 
