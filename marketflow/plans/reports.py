@@ -215,12 +215,11 @@ def load_report(
 
 def covered_periods(days: DataFrame, day: str) -> DataFrame:
     """For each day the spans every report covers, one row per report and span."""
-    per_report = [
-        F.transform(
-            COVERED[r.period](F.col(day).cast("date")),
-            lambda span, name=r.name: F.struct(F.lit(name).alias("report"), span["start_date"].alias("start_date"), span["end_date"].alias("end_date")),
-        )
-        for r in REPORTS.values()
-        if r.period
-    ]
+
+    def named(report: Report) -> Column:
+        spans = COVERED[report.period](F.col(day).cast("date"))
+        name = F.lit(report.name).alias("report")
+        return F.transform(spans, lambda s: F.struct(name, s["start_date"].alias("start_date"), s["end_date"].alias("end_date")))
+
+    per_report = [named(r) for r in REPORTS.values() if r.period]
     return days.select(day, F.inline(F.concat(*per_report)))
