@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketflow.plans import load_queries, schema_queries  # noqa: F401
+from marketflow.plans import load_queries, lookup_queries, schema_queries  # noqa: F401
 from marketflow.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
