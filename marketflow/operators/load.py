@@ -64,24 +64,17 @@ def new_rows(
     (nearly always) have a partner reach the full comparison, which decides.
     """
     names = batch.columns
-    slots = [f"_c{i}" for i in range(len(names))]
 
-    def keyed(df: DataFrame) -> DataFrame:
-        compared = [c.alias(s) for c, s in zip(_identity(df, names, granularity), slots)]
-        return df.select(*compared).withColumn("_digest", F.xxhash64(*slots))
+    def keyed(df: DataFrame, *kept: str) -> DataFrame:
+        # One struct as key: its null members equal each other, and the plan stays
+        # small for wide tables, unlike one null-safe comparison per column.
+        identity = F.struct(*[c.alias(f"_c{i}") for i, c in enumerate(_identity(df, names, granularity))])
+        return df.select(*kept, identity.alias("_identity")).withColumn("_digest", F.xxhash64("_identity"))
 
-    fresh = batch.dropDuplicates()
-    digests = broadcast_if_small(keyed(fresh).select("_digest").distinct(), broadcast_limit)
+    fresh = keyed(batch.dropDuplicates(), "*")
+    digests = broadcast_if_small(fresh.select("_digest").distinct(), broadcast_limit)
     met = keyed(target).join(digests, "_digest", "left_semi").dropDuplicates()
-
-    mine = fresh.select("*", *[c.alias(s) for c, s in zip(_identity(fresh, names, granularity), slots)])
-    mine = mine.withColumn("_digest", F.xxhash64(*slots)).alias("b")
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(f"b.{s}").eqNullSafe(F.col(f"t.{s}")) for s in slots],
-        F.col("b._digest") == F.col("t._digest"),
-    )
-    return mine.join(met.alias("t"), same, "left_anti").select(*names)
+    return fresh.join(met, ["_digest", "_identity"], "left_anti").select(*names)
 
 
 def insert_if_new(

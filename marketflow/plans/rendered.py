@@ -17,30 +17,24 @@ def headed_files(df: DataFrame, line: Column, head: Sequence[str | Column], labe
     """Text files of ``line`` values, each starting with the ``head`` lines."""
     row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
     heads = [F.lit(h) if isinstance(h, str) else h for h in head]
-    numbered = df.select(line.alias("value"), row.alias("row"), F.spark_partition_id().alias("part"))
-    lines = F.when(F.col("row") == 0, F.array(*heads, F.col("value"))).otherwise(F.array("value"))
+    numbered = df.select("*", line.alias("_line"), row.alias("_row"))
+    lines = F.when(F.col("_row") == 0, F.array(*heads, F.col("_line"))).otherwise(F.array("_line"))
     path = scratch_path(df.sparkSession, label)
     numbered.select(F.explode(lines).alias("value")).write.text(path)
     return path
 
 
 def framed_files(df: DataFrame, line: Column, first: str, last: str, separator: str, label: str, **options: str) -> str:
-    """Text files holding one document: ``first``, the lines, ``last``."""
+    """Files of one document each: ``first``, some thousand lines, ``last``."""
 
     def framed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        started = False
         for batch in batches:
-            lines = batch["value"]
-            if len(lines):
-                lines = separator + lines
-                if not started:
-                    started = True
-                    lines.iloc[0] = first + lines.iloc[0][len(separator) :]
-                yield pd.DataFrame({"value": lines})
-        yield pd.DataFrame({"value": [last if started else first + last]})
+            if len(batch):
+                yield pd.DataFrame({"value": [first + separator.join(batch["value"]) + last]})
 
     path = scratch_path(df.sparkSession, label)
-    df.select(line.alias("value")).mapInPandas(framed, "value string").write.options(**options).text(path)
+    documents = df.select(line.alias("value")).mapInPandas(framed, "value string")
+    documents.write.options(maxRecordsPerFile="1", **options).text(path)
     return path
 
 

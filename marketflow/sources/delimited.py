@@ -48,11 +48,13 @@ def read_delimited(
     ``multi_line`` allows line breaks inside quotes; such files are not split, must
     share one layout and cannot have lines before the header.
     """
+    kept = {path_column: F.col("path")} if path_column else {}
     if multi_line:
         if skip_rows:
             raise ValueError("lines before the header cannot be skipped in multi-line files")
         rows = spark.read.csv(paths, sep=sep, header=True, multiLine=True, escape='"')
-        return _with_nulls(rows.select("*", *_path(path_column, F.col("_metadata.file_path"))))
+        source = {name: F.col("_metadata.file_path") for name in kept}
+        return _with_nulls(rows.select("*", *[c.alias(name) for name, c in source.items()]))
 
     lines = numbered_lines(spark, paths, encoding)
     heads = lines.where(F.col("line") == skip_rows).select("path", F.ltrim("value", F.lit("\ufeff")).alias("header"))
@@ -66,38 +68,25 @@ def read_delimited(
     if len(layouts) > 1:
         data = data.join(broadcast_if_small(heads), "path")
     parsed = {header: header_names(next(csv.reader([header], delimiter=sep))) for header in sorted(layouts)}
-    names = list(dict.fromkeys(name for layout in parsed.values() for name in layout))
-    row = _parsed_row(parsed, names, sep)
-    rows = data.select(row.alias("row"), *_path(path_column, F.col("path")))
-    columns = [F.col("row")[f"c{i}"].alias(name) for i, name in enumerate(names)]
-    return _with_nulls(rows.select(*columns, *([path_column] if path_column else [])))
+    return _with_nulls(_parsed(data, parsed, sep, kept))
 
 
-def _parsed_row(parsed: dict[str, list[str]], names: list[str], sep: str) -> Column:
-    """The line as a struct over all names, read by the layout of its file."""
+def _parsed(data: DataFrame, layouts: dict[str, list[str]], sep: str, kept: dict[str, Column]) -> DataFrame:
+    """Lines as columns: each line is parsed once, by the layout of its file."""
 
-    def by_layout(layout: list[str]) -> Column:
+    def cells(header: str, layout: list[str]) -> Column:
         schema = ", ".join(f"c{i} string" for i in range(len(layout)))
-        cells = F.from_csv(F.col("value"), schema, {"sep": sep, "escape": '"'})
-        place = {name: i for i, name in enumerate(layout)}
-        return F.struct(
-            *[
-                (cells[f"c{place[name]}"] if name in place else F.lit(None).cast("string")).alias(f"c{i}")
-                for i, name in enumerate(names)
-            ]
-        )
+        parsed = F.from_csv(F.col("value"), schema, {"sep": sep, "escape": '"'})
+        return parsed if len(layouts) == 1 else F.when(F.col("header") == header, parsed)
 
-    layouts = list(parsed.items())
-    if len(layouts) == 1:
-        return by_layout(layouts[0][1])
-    choice = F
-    for header, layout in layouts:
-        choice = choice.when(F.col("header") == header, by_layout(layout))
-    return choice
+    def column(name: str) -> Column:
+        places = [(i, layout.index(name)) for i, layout in enumerate(layouts.values()) if name in layout]
+        return F.coalesce(*[F.col(f"_p{i}")[f"c{place}"] for i, place in places]).alias(name)
 
-
-def _path(name: str | None, path: Column) -> list[Column]:
-    return [path.alias(name)] if name else []
+    parsed = [cells(header, layout).alias(f"_p{i}") for i, (header, layout) in enumerate(layouts.items())]
+    rows = data.select(*parsed, *[c.alias(f"_kept_{name}") for name, c in kept.items()])
+    names = dict.fromkeys(name for layout in layouts.values() for name in layout)
+    return rows.select(*map(column, names), *[F.col(f"_kept_{name}").alias(name) for name in kept])
 
 
 def _with_nulls(df: DataFrame) -> DataFrame:
@@ -129,6 +118,5 @@ def row_positions(spark: SparkSession, paths: Paths, sep: str = ",", encoding: s
         raise MixedReports(f"positions need one layout, found {len(header)} in {paths}")
     layout = header_names(next(csv.reader([header[0]["value"]], delimiter=sep)))
     body = lines.where("line > 0").withColumnRenamed("line", "position")
-    row = _parsed_row({"": layout}, layout, sep)
-    rows = body.select((F.col("position") - 1).alias("position"), row.alias("row"))
-    return rows.select("position", *[F.col("row")[f"c{i}"].alias(name) for i, name in enumerate(layout)])
+    body = body.withColumn("position", F.col("position") - 1)
+    return _parsed(body, {"": layout}, sep, {"position": F.col("position")})

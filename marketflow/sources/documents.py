@@ -43,15 +43,17 @@ def generic_records(documents: DataFrame, schema: T.StructType) -> DataFrame:
     A list gives its members; an object the members of its first list, in document
     order; an object without lists itself. Members are read by ``schema``.
     """
-    text = F.trim("document", F.lit(" \t\r\n\ufeff"))
-    members = F.map_entries(F.from_json(text, "map<string,variant>"))
+    texts = documents.select(F.trim("document", F.lit(" \t\r\n\ufeff")).alias("text"))
+    text = F.col("text")
+    members = F.when(text.startswith("{"), F.map_entries(F.from_json(text, "map<string,variant>")))
     lists = F.filter(members, lambda m: F.schema_of_variant(m["value"]).startswith("ARRAY"))
+    first = texts.select("text", F.get(lists, F.lit(0))["value"].alias("first_list"))
     rows = (
         F.when(text.startswith("["), text)
-        .when(text.startswith("{") & (F.size(lists) > 0), F.to_json(F.get(lists, F.lit(0))["value"]))
+        .when(F.col("first_list").isNotNull(), F.to_json("first_list"))
         .when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]")))
     )
-    return documents.select(F.inline(F.from_json(rows, T.ArrayType(schema))))
+    return first.select(F.inline(F.from_json(rows, T.ArrayType(schema))))
 
 
 def scalar_documents(documents: DataFrame) -> DataFrame:
@@ -69,14 +71,14 @@ def is_json(document: Column | str) -> Column:
 
 def tab_records(documents: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of TSV documents whose header lists ``columns`` in any order."""
-    lines = F.filter(F.split("document", "\r?\n"), lambda line: F.trim(line) != "")
-    header = F.split(F.get(lines, F.lit(0)), "\t")
-    split = documents.select(
-        header.alias("header"), F.explode(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))).alias("line")
+    split = documents.select(F.filter(F.split("document", "\r?\n"), lambda line: F.trim(line) != "").alias("lines"))
+    body = split.select(
+        F.split(F.get("lines", F.lit(0)), "\t").alias("header"),
+        F.explode(F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"),
     )
     schema = ", ".join(f"c{i} string" for i in range(len(columns)))
-    cells = F.from_csv("line", schema, {"sep": "\t", "escape": '"'})
-    ordered = split.select("header", F.array(*[cells[f"c{i}"] for i in range(len(columns))]).alias("cells"))
+    cells = body.select("header", F.from_csv("line", schema, {"sep": "\t", "escape": '"'}).alias("cells"))
+    ordered = cells.select("header", F.array(*[F.col("cells")[f"c{i}"] for i in range(len(columns))]).alias("cells"))
     position = {c: F.array_position("header", c).cast("int") for c in columns}
     return ordered.select(*[F.get("cells", position[c] - 1).alias(c) for c in columns])
 
@@ -96,11 +98,8 @@ def clean_xml(document: Column) -> Column:
     """Undouble quotes, and cut text that trails the last closing root tag."""
     text = F.trim(F.replace(document, F.lit('""'), F.lit('"')), F.lit(" \t\r\n"))
     root = F.regexp_extract(text, r"<(\w+)[>\s]", 1)
-    closing = F.concat(F.lit("</"), root, F.lit(">"))
-    # Everything before the last occurrence; an absent tag leaves the text as it is.
-    head = F.substring_index(text, closing, -1)
-    cut = F.substring(text, F.lit(1), F.char_length(text) - F.char_length(head))
-    return F.when((root != "") & F.contains(text, closing), cut).otherwise(text)
+    whole = F.regexp_substr(text, F.concat(F.lit("(?s)^.*</"), root, F.lit(">")))
+    return F.when(root != "", F.coalesce(whole, text)).otherwise(text)
 
 
 def _elements(text: Column, tag: str) -> Column:
