@@ -16,8 +16,12 @@ from pyspark.sql import types as T
 from marketflow.operators import load, lookups, messages
 from marketflow.session import broadcast_if_small
 
+# Store partitions: the stream that wrote them, and its micro-batch.
+_DELIVERY = "_delivery"
 _BATCH = "_batch"
-SEED = -1
+_MARKS = (_DELIVERY, _BATCH)
+SEED = "seed"
+STREAM = "stream"
 
 
 def arrivals(
@@ -49,41 +53,48 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
 
 def seed(initial: DataFrame, path: str) -> None:
     """Start a store with what the table already holds (possibly nothing)."""
-    _write(initial, path, SEED)
+    _write(initial, path, -1, SEED)
 
 
-def _write(df: DataFrame, path: str, batch_id: int) -> None:
+def _write(df: DataFrame, path: str, batch_id: int, delivery: str = STREAM) -> None:
     (
-        df.withColumn(_BATCH, F.lit(batch_id).cast("long"))
+        df.withColumns({_DELIVERY: F.lit(delivery), _BATCH: F.lit(batch_id).cast("long")})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(_BATCH)
+        .partitionBy(*_MARKS)
         .parquet(path)
     )
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    wide = T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())])
-    return spark.read.schema(wide).parquet(path)
+    marks = [T.StructField(_DELIVERY, T.StringType()), T.StructField(_BATCH, T.LongType())]
+    return spark.read.schema(T.StructType([*schema.fields, *marks])).parquet(path)
 
 
 def rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows of a store."""
-    return _stored(spark, path, schema).drop(_BATCH)
+    return _stored(spark, path, schema).drop(*_MARKS)
 
 
-def ingest_new(stream: DataFrame, path: str, checkpoint: str, granularity: str = "day") -> None:
-    """Insert-if-new for every micro-batch, against all earlier ones."""
+def ingest_new(
+    stream: DataFrame, path: str, checkpoint: str, granularity: str = "day", delivery: str = STREAM
+) -> None:
+    """Insert-if-new for every micro-batch, against all earlier ones.
+
+    Streams with their own checkpoint number their micro-batches from zero, so each
+    needs its own ``delivery`` name.
+    """
     schema = stream.schema
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        earlier = _stored(batch.sparkSession, path, schema).where(F.col(_BATCH) != batch_id).drop(_BATCH)
-        _write(load.new_rows(earlier, batch, granularity), path, batch_id)
+        own = (F.col(_DELIVERY) == delivery) & (F.col(_BATCH) == batch_id)
+        earlier = _stored(batch.sparkSession, path, schema).where(~own).drop(*_MARKS)
+        _write(load.new_rows(earlier, batch, granularity), path, batch_id, delivery)
 
     run_available(stream, checkpoint, each)
 
 
-def ingest_restated(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> None:
+def ingest_restated(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Keyed replace by log: the store keeps every micro-batch, readers see the last.
 
     A restated key costs one small write now and nothing is rewritten; see
@@ -95,7 +106,7 @@ def ingest_restated(stream: DataFrame, path: str, checkpoint: str, keys: Sequenc
 def restated_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
     """Rows of the last micro-batch of each key; rows with a null key all stay.
 
-    The last batch of every key is one small row per key, combined before the
+    The last batch of every restated key is one small row, combined before the
     shuffle; date and time keys count by day.
     """
     stored = _stored(spark, path, schema)
@@ -103,17 +114,14 @@ def restated_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Se
     kinds = dict(stored.dtypes)
     parts = {f"_k{i}": F.to_date(k) if kinds[k] in temporal else F.col(k) for i, k in enumerate(keys)}
     keyed = stored.select("*", *[c.alias(n) for n, c in parts.items()])
-    newest = (
-        keyed.where(F.col(_BATCH) >= 0).dropna(subset=list(parts)).groupBy(*parts).agg(F.max(_BATCH).alias("_newest"))
-    )
+    restated = keyed.where(F.col(_DELIVERY) != SEED).dropna(subset=list(parts))
+    newest = restated.groupBy(*parts).agg(F.max(_BATCH).alias("_newest"))
     joined = keyed.join(broadcast_if_small(newest), list(parts), "left")
     current = F.col("_newest").isNull() | (F.col(_BATCH) == F.col("_newest"))
-    return joined.where(current).drop("_newest", _BATCH, *parts)
+    return joined.where(current).drop("_newest", *_MARKS, *parts)
 
 
-def ingest_upserts(
-    stream: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str], mutable: Sequence[str]
-) -> None:
+def ingest_upserts(stream: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str]) -> None:
     """Log upserts, reduced per micro-batch to the first and last row of each key."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -151,19 +159,26 @@ def count_failures(
 
     State holds open windows only; rows later than the watermark are left out.
     """
+    # Watermarks need an instant; in the UTC session naive times convert one to one.
     counts = (
         stream.where(F.col(status) == failed)
+        .withColumn(at, F.col(at).cast("timestamp"))
         .withWatermark(at, watermark)
         .groupBy(F.window(at, window).alias("w"), F.col(service))
         .agg(F.count("*").alias("failures"))
-        .select(F.col("w.start").alias("window_start"), F.col(service), "failures")
+        .select(F.col("w.start").cast(stream.schema[at].dataType).alias("window_start"), F.col(service), "failures")
     )
     run_available(counts, checkpoint, lambda batch, i: _write(batch, path, i), mode="update")
 
 
-def failure_counts(spark: SparkSession, path: str, schema: T.StructType, service: str) -> DataFrame:
-    """The last count of every window."""
-    stored = _stored(spark, path, schema)
+def failure_counts(spark: SparkSession, path: str, schema: T.StructType, at: str, service: str) -> DataFrame:
+    """The last count of every window; ``schema`` is that of the task stream."""
+    fields = [
+        T.StructField("window_start", schema[at].dataType),
+        schema[service],
+        T.StructField("failures", T.LongType()),
+    ]
+    stored = _stored(spark, path, T.StructType(fields))
     return stored.groupBy("window_start", service).agg(F.max_by("failures", _BATCH).alias("failures"))
 
 
@@ -173,11 +188,18 @@ def ingest_codes(stream: DataFrame, path: str, checkpoint: str) -> None:
     run_available(coded, checkpoint, lambda batch, i: _write(batch, path, i))
 
 
+def code_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The codes received so far; ``schema`` is that of the payload stream."""
+    kept = [f for f in schema.fields if f.name not in ("event", "result")]
+    code = [T.StructField("phone", T.StringType()), T.StructField("otp_code", T.StringType())]
+    return rows(spark, path, T.StructType([*kept, *code]))
+
+
 def answer_requests(
     stream: DataFrame,
     path: str,
     checkpoint: str,
-    codes: Callable[[], DataFrame],
+    codes: DataFrame,
     key: str,
     at: str,
     created_at: str,
@@ -187,7 +209,12 @@ def answer_requests(
     """Look up the newest code of each requested phone in the code log."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        found = lookups.latest_within(batch, codes(), key, at, created_at, ["otp_code"], seconds, order)
+        found = lookups.latest_within(batch, codes, key, at, created_at, ["otp_code"], seconds, order)
         _write(found, path, batch_id)
 
     run_available(stream, checkpoint, each)
+
+
+def answers(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Answered requests; ``schema`` is that of the request stream."""
+    return rows(spark, path, T.StructType([*schema.fields, T.StructField("latest_otp_code", T.StringType())]))
