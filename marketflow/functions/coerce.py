@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Literals accepted as numbers, and the default week when a
-# description carries none.
+# The characters of finite numbers, the words for infinite ones, and
+# the default week when a description carries none.
 WHOLE = r"^[+-]?[0-9]+$"
-NUMERIC = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
+WHOLE_WITH_POINT = r"^[+-]?[0-9]+\.0*$"
+FINITE = r"^[0-9+.eE-]+$"
+INFINITE = r"^[+-]?(?i:inf|infinity)$"
 DEFAULT_WEEK = 53
 
 _LONG_EDGE = float(2**63)
@@ -21,9 +23,9 @@ def _col(c: Column | str) -> Column:
 
 
 def number(c: Column | str) -> Column:
-    """Double from numeric text; Spark's own cast would also accept ``5d``."""
+    """Double from numeric text; Spark's own cast would also accept ``5d`` and ``NaN``."""
     text = F.trim(_col(c).cast("string"))
-    return F.when(text.rlike(NUMERIC), text.try_cast("double"))
+    return F.when(text.rlike(FINITE) | text.rlike(INFINITE), text.try_cast("double"))
 
 
 def to_long(c: Column | str) -> Column:
@@ -31,7 +33,11 @@ def to_long(c: Column | str) -> Column:
     text = F.trim(_col(c).cast("string"))
     value = number(text)
     whole = (value == F.floor(value)) & (value >= -_LONG_EDGE) & (value < _LONG_EDGE)
-    return F.when(text.rlike(WHOLE), text.try_cast("long")).when(whole, value.try_cast("long"))
+    return (
+        F.when(text.rlike(WHOLE), text.try_cast("long"))
+        .when(text.rlike(WHOLE_WITH_POINT), F.substring_index(text, ".", 1).try_cast("long"))
+        .when(F.contains(F.lower(text), F.lit("e")) & whole, value.try_cast("long"))
+    )
 
 
 def has_percent(c: Column | str) -> Column:

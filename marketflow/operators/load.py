@@ -1,11 +1,15 @@
 """Load disciplines: (target, batch) to the target's new rows or new state.
 
-None of them writes; ``marketflow.sinks`` and ``marketflow.streaming`` do. At
-scale the target is far larger than the batch, so each discipline first cuts the
-target down by the batch's keys. Those keys are broadcast when their measured
-size allows, and then the target is filtered in place, without a shuffle; beyond
-that both sides are shuffled on the keys and adaptive execution splits the hot
-ones (``left_semi`` and ``left_anti`` joins can be split on their left side).
+None of them writes a table; ``marketflow.sinks`` and ``marketflow.streaming`` do.
+The distinct batch is staged once in the shared folder, as a loader's staging table
+would be, because its keys are measured, its keys are joined and its rows are added:
+its own lineage, however long, runs once.
+
+At scale the target is far larger than the batch, so each discipline first cuts the
+target down by the batch's keys. Those keys are broadcast when their measured size
+allows, and then the target is filtered in place, without a shuffle; beyond that
+both sides are shuffled on the keys and adaptive execution splits the hot ones
+(``left_semi`` and ``left_anti`` joins can be split on their left side).
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.functions import periods
-from marketflow.session import BROADCAST_LIMIT, broadcast_if_small
+from marketflow.session import BROADCAST_LIMIT, broadcast_if_small, stage
 
 _TEMPORAL = ("date", "timestamp", "timestamp_ntz")
 
@@ -63,6 +67,14 @@ def new_rows(
     Target rows are compared through a 64-bit digest first, so only rows that
     (nearly always) have a partner reach the full comparison, which decides.
     """
+    return _unmatched(target, _staged(batch), granularity, broadcast_limit)
+
+
+def _staged(batch: DataFrame) -> DataFrame:
+    return stage(batch.dropDuplicates(), "batch")
+
+
+def _unmatched(target: DataFrame, batch: DataFrame, granularity: str, broadcast_limit: int) -> DataFrame:
     names = batch.columns
 
     def keyed(df: DataFrame, *kept: str) -> DataFrame:
@@ -71,7 +83,7 @@ def new_rows(
         identity = F.struct(*[c.alias(f"_c{i}") for i, c in enumerate(_identity(df, names, granularity))])
         return df.select(*kept, identity.alias("_identity")).withColumn("_digest", F.xxhash64("_identity"))
 
-    fresh = keyed(batch.dropDuplicates(), "*")
+    fresh = keyed(batch, "*")
     digests = broadcast_if_small(fresh.select("_digest").distinct(), broadcast_limit)
     met = keyed(target).join(digests, "_digest", "left_semi").dropDuplicates()
     return fresh.join(met, ["_digest", "_identity"], "left_anti").select(*names)
@@ -112,7 +124,8 @@ def keyed_replace(
 
     Date keys match by day. Several batch rows of one key all survive.
     """
-    return append(without_keys(target, batch, keys, broadcast_limit), batch.dropDuplicates())
+    fresh = _staged(batch)
+    return append(without_keys(target, fresh, keys, broadcast_limit), fresh)
 
 
 def null_key_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -127,14 +140,12 @@ def month_replace(target: DataFrame, batch: DataFrame, date_column: str) -> Data
     No remaining target row can equal a dated batch row, so only rows without a
     date need the insert-if-new comparison.
     """
-    month = F.trunc(F.col(date_column), "MM")
-    months = broadcast_if_small(batch.select(month.alias("_month")).dropna().distinct())
+    column = F.col(date_column)
+    fresh = _staged(batch)
+    months = broadcast_if_small(fresh.select(F.trunc(column, "MM").alias("_month")).dropna().distinct())
     kept = target.join(months, F.trunc(target[date_column], "MM") == months["_month"], "left_anti")
-    fresh = batch.dropDuplicates()
-    undated = new_rows(
-        target.where(F.col(date_column).isNull()), fresh.where(F.col(date_column).isNull())
-    )
-    return append(append(kept, fresh.where(F.col(date_column).isNotNull())), undated)
+    undated = _unmatched(target.where(column.isNull()), fresh.where(column.isNull()), "day", BROADCAST_LIMIT)
+    return append(append(kept, fresh.where(column.isNotNull())), undated)
 
 
 def calendar_month_replace(target: DataFrame, batch: DataFrame, date_column: str, ref_date) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marketflow.functions import names, periods
 from marketflow.operators import dedup, load, projections
 from marketflow.operators.projections import Contract, Field
+from marketflow.session import stage
 from marketflow.sources import delimited
 
 
@@ -208,8 +209,12 @@ def load_report(
     spark: SparkSession, report: Report, paths, target: DataFrame | None, ref_date: date | str,
     encoding: str = "auto", contract: Contract | None = None, **stamps,
 ) -> Loaded:
-    """Files to the new state of the report's table."""
-    raw = scan_report(spark, report, paths, encoding)
+    """Files to the new state of the report's table.
+
+    The scanned rows are staged: emptiness, types and percent columns are decided on
+    the whole batch before its rows are used, and the files are parsed only once.
+    """
+    raw = stage(scan_report(spark, report, paths, encoding), "scan")
     return load_batch(report, raw, target, ref_date, contract, **stamps)
 
 

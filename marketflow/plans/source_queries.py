@@ -208,6 +208,21 @@ def xml_rows(spark, sf):
     return rows.select("id", "name", "price", "leaf", "box_size")
 
 
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, CAST(o_custkey AS VARCHAR) AS customer_ref, 'USD' AS total_currency
+FROM orders
+""")
+def xml_row_files(spark, sf):
+    """Large XML files, split between tasks by their row element."""
+    row = F.concat(
+        F.lit('<Row id="'), _text("o_orderkey"), F.lit('"><status>'), F.col("o_orderstatus"), F.lit('</status><customer ref="'),
+        _text("o_custkey"), F.lit('"/><total currency="USD"/></Row>'),
+    )
+    path = framed_files(table(spark, sf, "orders"), row, "<Rows>\n", "\n</Rows>", "\n", "xmlrows")
+    schema = T.StructType.fromDDL("_id string, status string, customer struct<_ref string>, total struct<_currency string>")
+    return documents.xml_files(spark, path, "Row", schema)
+
+
 @query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def csv_export(spark, sf):
     """Rows exported as CSV and read back."""

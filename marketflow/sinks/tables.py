@@ -51,8 +51,9 @@ def append_rows(df: DataFrame, name: str) -> None:
 def replace_table(df: DataFrame, name: str) -> None:
     """Make ``df``, which may read the table itself, its whole content."""
     spark = df.sparkSession
-    row = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
-    folder = f"{row['data_type'].rstrip('/').rsplit('__v', 1)[0]}__v{uuid.uuid4().hex}"
+    # Details follow the columns, one of which might have that name too.
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").tail(1)[0]["data_type"]
+    folder = f"{location.rstrip('/').rsplit('__v', 1)[0]}__v{uuid.uuid4().hex}"
     _ordered(df, name).write.parquet(folder)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(name)

@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.functions.names import header_names
-from marketflow.session import broadcast_if_small
-from marketflow.sources.lines import Paths, numbered_lines
+from marketflow.sources.lines import Paths, file_heads, numbered_lines
 
 # Cell texts that mean "no value".
 NULL_WORDS = (
@@ -56,34 +55,32 @@ def read_delimited(
         source = {name: F.col("_metadata.file_path") for name in kept}
         return _with_nulls(rows.select("*", *[c.alias(name) for name, c in source.items()]))
 
-    lines = numbered_lines(spark, paths, encoding)
-    heads = lines.where(F.col("line") == skip_rows).select("path", F.ltrim("value", F.lit("\ufeff")).alias("header"))
-    layouts = [row["header"] for row in heads.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    heads = file_heads(spark, paths, encoding, skip_rows).withColumn("head", F.ltrim("head", F.lit("\ufeff")))
+    layouts = [row["head"] for row in heads.select("head").distinct().limit(MAX_LAYOUTS + 1).collect()]
     if not layouts:
         raise EmptyReport(f"no header line in {paths}")
     if len(layouts) > MAX_LAYOUTS:
         raise MixedReports(f"more than {MAX_LAYOUTS} different header lines in {paths}")
 
+    lines = numbered_lines(spark, paths, heads=heads if len(layouts) > 1 else heads.drop("head"))
     data = lines.where((F.col("line").isNull() | (F.col("line") > skip_rows)) & (F.trim("value") != ""))
-    if len(layouts) > 1:
-        data = data.join(broadcast_if_small(heads), "path")
-    parsed = {header: header_names(next(csv.reader([header], delimiter=sep))) for header in sorted(layouts)}
+    parsed = {head: header_names(next(csv.reader([head], delimiter=sep))) for head in sorted(layouts)}
     return _with_nulls(_parsed(data, parsed, sep, kept))
 
 
 def _parsed(data: DataFrame, layouts: dict[str, list[str]], sep: str, kept: dict[str, Column]) -> DataFrame:
     """Lines as columns: each line is parsed once, by the layout of its file."""
 
-    def cells(header: str, layout: list[str]) -> Column:
+    def cells(head: str, layout: list[str]) -> Column:
         schema = ", ".join(f"c{i} string" for i in range(len(layout)))
         parsed = F.from_csv(F.col("value"), schema, {"sep": sep, "escape": '"'})
-        return parsed if len(layouts) == 1 else F.when(F.col("header") == header, parsed)
+        return parsed if len(layouts) == 1 else F.when(F.col("head") == head, parsed)
 
     def column(name: str) -> Column:
         places = [(i, layout.index(name)) for i, layout in enumerate(layouts.values()) if name in layout]
         return F.coalesce(*[F.col(f"_p{i}")[f"c{place}"] for i, place in places]).alias(name)
 
-    parsed = [cells(header, layout).alias(f"_p{i}") for i, (header, layout) in enumerate(layouts.items())]
+    parsed = [cells(head, layout).alias(f"_p{i}") for i, (head, layout) in enumerate(layouts.items())]
     rows = data.select(*parsed, *[c.alias(f"_kept_{name}") for name, c in kept.items()])
     names = dict.fromkeys(name for layout in layouts.values() for name in layout)
     return rows.select(*map(column, names), *[F.col(f"_kept_{name}").alias(name) for name in kept])
@@ -112,11 +109,12 @@ def row_positions(spark: SparkSession, paths: Paths, sep: str = ",", encoding: s
 
     Positions exist within a file's first split, which holds any exported sheet.
     """
-    lines = numbered_lines(spark, paths, encoding)
-    header = lines.where("line = 0").select("value").distinct().limit(2).collect()
-    if len(header) != 1:
-        raise MixedReports(f"positions need one layout, found {len(header)} in {paths}")
-    layout = header_names(next(csv.reader([header[0]["value"]], delimiter=sep)))
+    heads = file_heads(spark, paths, encoding)
+    lines = numbered_lines(spark, paths, heads=heads.drop("head"))
+    layouts = heads.select("head").distinct().limit(2).collect()
+    if len(layouts) != 1:
+        raise MixedReports(f"positions need files of one layout: {paths}")
+    layout = header_names(next(csv.reader([layouts[0]["head"]], delimiter=sep)))
     body = lines.where("line > 0").withColumnRenamed("line", "position")
     body = body.withColumn("position", F.col("position") - 1)
     return _parsed(body, {"": layout}, sep, {"position": F.col("position")})

@@ -123,6 +123,17 @@ def xml_records(documents: DataFrame, schema: T.StructType, tags: Sequence[str]
     return parsed.select(*[c.alias(name) for name, c in columns.items()])
 
 
+def xml_files(spark: SparkSession, paths: Paths, tag: str, schema: T.StructType) -> DataFrame:
+    """Rows of well-formed XML files whose row element is known.
+
+    Spark splits such files between tasks, so they may be of any size.
+    """
+    rows = spark.read.format("xml").option("rowTag", tag).schema(schema).load(paths)
+    columns = xml_row(schema, F.col("row"))
+    whole = rows.select(F.struct(*schema.names).alias("row"))
+    return whole.select(*[c.alias(name) for name, c in columns.items()])
+
+
 def xml_root_record(documents: DataFrame, schema: T.StructType) -> DataFrame:
     """Documents without row elements: the root itself is the row."""
     parsed = documents.select(F.from_xml(clean_xml(F.col("document")), schema.simpleString()).alias("row"))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.session import broadcast_if_small
+from marketflow.session import broadcast_if_small, stage
 
 # The five byte values code page 1252 leaves undefined.
 _UNDEFINED = "".join(chr(b) for b in range(0x80, 0xA0) if not bytes([b]).decode("cp1252", "ignore"))
@@ -45,49 +45,66 @@ def _decoded(value: Column, encoding: Column) -> Column:
     )
 
 
-def numbered_lines(spark: SparkSession, paths: Paths, encoding: str = "auto") -> DataFrame:
-    """Lines as ``path``, ``line`` (0-based, null past the first split) and ``value``.
-
-    With ``encoding="auto"`` each file is read as UTF-8 if all of it is valid, else
-    as code page 1252, else, when it holds a byte that page lacks, as Latin-1. That
-    rule needs every byte of the file, so it costs one more scan; name the encoding
-    to save it.
-    """
+def _raw(spark: SparkSession, paths: Paths) -> DataFrame:
     _pin_splits(spark)
-    raw = spark.read.text(paths).select(
+    return spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("id"),
         "value",
     )
-    first_id = F.min(F.when(F.col("split") == 0, F.col("id"))).alias("first_id")
+
+
+def file_heads(spark: SparkSession, paths: Paths, encoding: str = "auto", line: int = 0) -> DataFrame:
+    """One staged row per file: its first line id, its encoding and its ``line``.
+
+    With ``encoding="auto"`` each file is read as UTF-8 if all of it is valid, else
+    as code page 1252, else, when it holds a byte that page lacks, as Latin-1. Files
+    with fewer lines are left out. The aggregate combines before its shuffle, so
+    each task sends one row per file.
+    """
+    raw = _raw(spark, paths)
+    value, in_first = F.col("value"), F.col("split") == 0
+    first_id = F.when(in_first, F.col("id"))
+    found = [F.min(first_id).alias("first_id"), F.min_by("value", first_id).alias("head")]
     if encoding == "auto":
         valid = F.is_valid_utf8("value")
+        gaps = F.translate(_latin(value), _UNDEFINED, "") != _latin(value)
         per_file = raw.groupBy("path").agg(
-            first_id,
-            F.bool_and(valid).alias("utf8"),
-            F.bool_or(~valid & (F.translate(_latin(F.col("value")), _UNDEFINED, "") != _latin(F.col("value")))).alias(
-                "undefined"
-            ),
+            *found, F.bool_and(valid).alias("utf8"), F.bool_or(~valid & gaps).alias("undefined")
         )
         chosen = F.when(F.col("utf8"), "utf-8").when(~F.col("undefined"), "cp1252").otherwise("latin-1")
     else:
-        per_file = raw.where("split = 0").groupBy("path").agg(first_id)
+        per_file = raw.where(in_first).groupBy("path").agg(*found)
         chosen = F.lit(encoding)
-    files = broadcast_if_small(per_file.select("path", "first_id", chosen.alias("encoding")))
-    return raw.join(files, "path").select(
+    files = per_file.select("path", "first_id", chosen.alias("encoding"), "head")
+    if line:
+        files = stage(files.drop("head"), "files").withColumn("id", F.col("first_id") + line)
+        heads = raw.where(in_first).join(broadcast_if_small(files), ["path", "id"])
+        files = heads.select("path", "first_id", "encoding", value.alias("head"))
+    return stage(files.withColumn("head", _decoded(F.col("head"), F.col("encoding"))), "heads")
+
+
+def numbered_lines(spark: SparkSession, paths: Paths, encoding: str = "auto", heads: DataFrame | None = None) -> DataFrame:
+    """Lines as ``path``, ``line`` (0-based, null past the first split) and ``value``.
+
+    ``heads`` may bring the result of :func:`file_heads`; its ``head`` is kept.
+    """
+    files = heads if heads is not None else file_heads(spark, paths, encoding).drop("head")
+    kept = [c for c in files.columns if c == "head"]
+    return _raw(spark, paths).join(broadcast_if_small(files), "path").select(
         "path",
         F.when(F.col("split") == 0, F.col("id") - F.col("first_id")).alias("line"),
         _decoded(F.col("value"), F.col("encoding")).alias("value"),
+        *kept,
     )
 
 
 def file_labels(spark: SparkSession, paths: Paths, label: str, line: int = 0) -> DataFrame:
     """Per file the label in its metadata line: ``Brand=["X"]`` gives ``X``."""
     pattern = label + r'=\["?([^"\]]*)'
-    heads = numbered_lines(spark, paths, "utf-8").where(F.col("line") == line)
-    found = F.regexp_extract("value", pattern, 1)
-    return heads.select("path", F.nullif(found, F.lit("")).alias("label"))
+    found = F.regexp_extract("head", pattern, 1)
+    return file_heads(spark, paths, "utf-8", line).select("path", F.nullif(found, F.lit("")).alias("label"))
 
 
 def listed_files(spark: SparkSession, paths: Paths) -> DataFrame:
