@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.functions import periods
-from marketflow.session import BROADCAST_LIMIT, broadcast_if_small, stage
+from marketflow.session import BROADCAST_LIMIT, broadcast_if_small, fits_broadcast, stage
 
 _TEMPORAL = ("date", "timestamp", "timestamp_ntz")
 
@@ -64,8 +64,10 @@ def new_rows(
     compared by calendar day; ``"exact"`` compares them in full. Rows of one batch
     that differ only in time of day all stay.
 
-    Target rows are compared through a 64-bit digest first, so only rows that
-    (nearly always) have a partner reach the full comparison, which decides.
+    Only target rows within the days of the batch are read. If the batch's 64-bit row
+    digests are small they are broadcast, and of the target only rows that (nearly
+    always) have a partner go on to the full comparison, which decides. Otherwise
+    the target's distinct rows are shuffled once, repeats combined beforehand.
     """
     return _unmatched(target, _staged(batch), granularity, broadcast_limit)
 
@@ -74,6 +76,28 @@ def _staged(batch: DataFrame) -> DataFrame:
     return stage(batch.dropDuplicates(), "batch")
 
 
+def _within_days(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Target rows that lie in the batch's day range in every date or time column.
+
+    The bounds are literals, so they prune partitions and Parquet row groups.
+    """
+    temporal = {n: k for n, k in batch.dtypes if k in _TEMPORAL}
+    if not temporal:
+        return target
+    ends = [e(F.to_date(n)).cast("string") for n in temporal for e in (F.min, F.max)]
+    nulls = [F.count_if(F.col(n).isNull()) for n in temporal]
+    found = batch.agg(F.array(*ends).alias("ends"), F.array(*nulls).alias("nulls")).first()
+    for i, (name, kind) in enumerate(temporal.items()):
+        low, high = found["ends"][2 * i : 2 * i + 2]
+        column = F.col(name)
+        near = F.lit(False)
+        if low is not None:
+            after = F.date_add(F.lit(high).cast("date"), 1)
+            near = (column >= F.lit(low).cast("date").cast(kind)) & (column < after.cast(kind))
+        target = target.where(near | column.isNull() if found["nulls"][i] else near)
+    return target
+
+
 def _unmatched(target: DataFrame, batch: DataFrame, granularity: str, broadcast_limit: int) -> DataFrame:
     names = batch.columns
 
@@ -84,9 +108,11 @@ def _unmatched(target: DataFrame, batch: DataFrame, granularity: str, broadcast_
         return df.select(*kept, identity.alias("_identity")).withColumn("_digest", F.xxhash64("_identity"))
 
     fresh = keyed(batch, "*")
-    digests = broadcast_if_small(fresh.select("_digest").distinct(), broadcast_limit)
-    met = keyed(target).join(digests, "_digest", "left_semi").dropDuplicates()
-    return fresh.join(met, ["_digest", "_identity"], "left_anti").select(*names)
+    known = keyed(_within_days(target, batch))
+    digests = fresh.select("_digest").distinct()
+    if fits_broadcast(digests, broadcast_limit):
+        known = known.join(F.broadcast(digests), "_digest", "left_semi")
+    return fresh.join(known.dropDuplicates(), ["_digest", "_identity"], "left_anti").select(*names)
 
 
 def insert_if_new(

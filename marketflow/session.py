@@ -71,16 +71,19 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Is the measured size of ``df`` within ``limit``? ``limit=0`` skips measuring."""
+    flat = all(kind in _FLAT or kind.startswith("decimal") for _, kind in df.dtypes)
+    return bool(limit) and flat and measured_bytes(df) <= limit
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Mark ``df`` for broadcast only when its measured size is within ``limit``.
 
     Beyond the limit the frame is returned as it is, and the join shuffles both
-    sides with adaptive skew splitting. ``limit=0`` skips the measurement.
+    sides with adaptive skew splitting.
     """
-    flat = all(kind in _FLAT or kind.startswith("decimal") for _, kind in df.dtypes)
-    if limit and flat and measured_bytes(df) <= limit:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
 _FLAT = {

@@ -18,6 +18,10 @@ from marketflow.operators.projections import KINDS, Contract
 from marketflow.session import broadcast_if_small, stage
 
 
+# Up to this many touched partitions are named in the query, more are joined.
+MAX_LISTED = 1000
+
+
 def create_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
 
@@ -61,8 +65,12 @@ def replace_table(df: DataFrame, name: str) -> None:
 
 def replace_partitions(df: DataFrame, name: str) -> None:
     """Replace exactly the partitions that occur in ``df``, which may read the table."""
+    spark = df.sparkSession
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     staged = stage(_ordered(df, name), "partitions")
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    # Few files per partition, and several tasks for a partition that is much larger.
+    even = staged.hint("rebalance", *parts)
+    even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
 
 
 def insert_new(batch: DataFrame, name: str, granularity: str = "day") -> None:
@@ -88,9 +96,17 @@ def load_partitions(
     ``discipline`` must not move rows between partitions: its keys, or its period,
     have to contain the partition column.
     """
+    batch = stage(batch, "batch")
     target = batch.sparkSession.read.table(name)
-    touched = broadcast_if_small(batch.select(partition).distinct())
-    affected = target.join(touched, target[partition].eqNullSafe(touched[partition]), "left_semi")
+    touched = batch.select(partition).distinct()
+    values = [row[0] for row in touched.limit(MAX_LISTED + 1).collect()]
+    if len(values) <= MAX_LISTED:
+        # Listed values prune the table's partitions when the query is planned.
+        listed = F.col(partition).isin([v for v in values if v is not None])
+        affected = target.where(listed | F.col(partition).isNull() if None in values else listed)
+    else:
+        same = target[partition].eqNullSafe(touched[partition])
+        affected = target.join(broadcast_if_small(touched), same, "left_semi")
     replace_partitions(discipline(affected, batch), name)
 
 

@@ -55,3 +55,22 @@ def test_calendar_month_is_pushed_down(spark):
 def test_latest_per_key_combines_before_the_shuffle(spark):
     plan = plan_of(lookups.latest_per_key(table(spark, SF, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]))
     assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_insert_if_new_reads_only_the_days_of_the_batch(spark):
+    orders = table(spark, SF, "orders")
+    june = F.date_format("o_orderdate", "yyyy-MM") == "1998-06"
+    plan = plan_of(load.new_rows(orders, orders.where(june)))
+    scan = next(line for line in plan.splitlines() if "orders.parquet" in line)
+    assert "GreaterThanOrEqual(o_orderdate,1998-06-" in scan and "LessThan(o_orderdate,1998-0" in scan
+
+
+def test_without_broadcast_the_target_is_combined_then_shuffled_once(spark):
+    target = table(spark, SF, "lineitem").select("l_orderkey", "l_partkey")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(load.new_rows(target, target, broadcast_limit=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
+    assert "LeftSemi" not in plan

@@ -49,9 +49,11 @@ def test_insert_new_leaves_files_alone(spark, name):
     assert before <= set(spark.table(name).inputFiles())
 
 
-def test_only_touched_partitions_are_written(spark, name):
+@pytest.mark.parametrize("listed", [0, 1000])
+def test_only_touched_partitions_are_written(spark, name, monkeypatch, listed):
     tables.create_table(spark, name, (Field("sku"), Field("n", "long"), Field("day")), ["day"])
     tables.append_rows(frame(spark, ("d1", "a", 1), ("d2", "a", 2), ("d2", "b", 3)), name)
+    monkeypatch.setattr(tables, "MAX_LISTED", listed)
     untouched = {f for f in spark.table(name).inputFiles() if "day=d1" in f}
     tables.replace_keys_in_partitions(frame(spark, ("d2", "a", 9), ("d3", "c", 4)), name, ["day", "sku"], "day")
     assert rows(spark.table(name).select("day", "sku", "n")) == [("d1", "a", 1), ("d2", "a", 9), ("d2", "b", 3), ("d3", "c", 4)]
