@@ -18,6 +18,7 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
         },
