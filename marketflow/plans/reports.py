@@ -141,7 +141,7 @@ def scan_report(spark: SparkSession, report: Report, paths, encoding: str = "aut
     if report.source == "tsv":
         return delimited.read_tsv(spark, paths)
     if report.source == "sheet":
-        return names.keep_first_of_repeated(delimited.read_sheet(spark, paths, report.skip_rows))
+        return delimited.read_sheet(spark, paths, report.skip_rows)
     return delimited.read_delimited(spark, paths, report.skip_rows, encoding=encoding)
 
 

@@ -39,13 +39,19 @@ def read_delimited(
     encoding: str = "auto",
     multi_line: bool = False,
     path_column: str | None = None,
+    as_written: bool = False,
 ) -> DataFrame:
     """Rows of delimited files whose header follows ``skip_rows`` lines.
 
+    The header is the first line from there on that is not blank.
+
     Files may order their columns differently, or lack some: each is read by its
     own header, and columns are matched by name. All files are read in one scan.
     ``multi_line`` allows line breaks inside quotes; such files are not split, must
     share one layout and cannot have lines before the header.
+
+    Cells that spell "no value" become null and repeated header names get a suffix;
+    ``as_written`` keeps the cells' text and the first of repeated columns only.
     """
     kept = {path_column: F.col("path")} if path_column else {}
     if multi_line:
@@ -55,7 +61,8 @@ def read_delimited(
         source = {name: F.col("_metadata.file_path") for name in kept}
         return _with_nulls(rows.select("*", *[c.alias(name) for name, c in source.items()]))
 
-    heads = file_heads(spark, paths, encoding, skip_rows).withColumn("head", F.ltrim("head", F.lit("\ufeff")))
+    heads = file_heads(spark, paths, encoding, skip_rows, skip_blank=True)
+    heads = heads.withColumn("head", F.ltrim("head", F.lit("\ufeff")))
     layouts = [row["head"] for row in heads.select("head").distinct().limit(MAX_LAYOUTS + 1).collect()]
     if not layouts:
         raise EmptyReport(f"no header line in {paths}")
@@ -63,9 +70,16 @@ def read_delimited(
         raise MixedReports(f"more than {MAX_LAYOUTS} different header lines in {paths}")
 
     lines = numbered_lines(spark, paths, heads=heads if len(layouts) > 1 else heads.drop("head"))
-    data = lines.where((F.col("line").isNull() | (F.col("line") > skip_rows)) & (F.trim("value") != ""))
-    parsed = {head: header_names(next(csv.reader([head], delimiter=sep))) for head in sorted(layouts)}
-    return _with_nulls(_parsed(data, parsed, sep, kept))
+    data = lines.where((F.col("line").isNull() | (F.col("line") > F.col("head_line"))) & (F.trim("value") != ""))
+    cells = {head: next(csv.reader([head], delimiter=sep)) for head in sorted(layouts)}
+    if as_written:
+        return _parsed(data, {head: _unnamed(row) for head, row in cells.items()}, sep, kept).na.fill("")
+    return _with_nulls(_parsed(data, {head: header_names(row) for head, row in cells.items()}, sep, kept))
+
+
+def _unnamed(cells: list[str]) -> list[str]:
+    """Header cells as they are, except that blank ones get a position."""
+    return [cell or f"Unnamed: {i}" for i, cell in enumerate(cells)]
 
 
 def _parsed(data: DataFrame, layouts: dict[str, list[str]], sep: str, kept: dict[str, Column]) -> DataFrame:
@@ -96,12 +110,13 @@ def read_tsv(spark: SparkSession, paths: Paths, encoding: str = "utf-8") -> Data
 
 
 def read_sheet(spark: SparkSession, paths: Paths, header_row: int = 0) -> DataFrame:
-    """An exported sheet; cells stay as written, blank ones as empty text.
+    """An exported sheet; cells stay as written, blank ones as empty text, and of
+    repeated columns the first is kept.
 
     ``header_row`` counts the lines above the real header: sheets often carry a
     title row and a group row first.
     """
-    return read_delimited(spark, paths, skip_rows=header_row).na.fill("")
+    return read_delimited(spark, paths, skip_rows=header_row, as_written=True)
 
 
 def row_positions(spark: SparkSession, paths: Paths, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
@@ -110,7 +125,7 @@ def row_positions(spark: SparkSession, paths: Paths, sep: str = ",", encoding: s
     Positions exist within a file's first split, which holds any exported sheet.
     """
     heads = file_heads(spark, paths, encoding)
-    lines = numbered_lines(spark, paths, heads=heads.drop("head"))
+    lines = numbered_lines(spark, paths, heads=heads.drop("head", "head_line"))
     layouts = heads.select("head").distinct().limit(2).collect()
     if len(layouts) != 1:
         raise MixedReports(f"positions need files of one layout: {paths}")

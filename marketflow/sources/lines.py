@@ -55,18 +55,24 @@ def _raw(spark: SparkSession, paths: Paths) -> DataFrame:
     )
 
 
-def file_heads(spark: SparkSession, paths: Paths, encoding: str = "auto", line: int = 0) -> DataFrame:
-    """One staged row per file: its first line id, its encoding and its ``line``.
+def file_heads(
+    spark: SparkSession, paths: Paths, encoding: str = "auto", line: int = 0, skip_blank: bool = False
+) -> DataFrame:
+    """One staged row per file: first line id, encoding, and its ``line`` as ``head``.
+
+    With ``skip_blank`` the head is the first line from there on that is not blank;
+    ``head_line`` tells where it is. Files without such a line are left out.
 
     With ``encoding="auto"`` each file is read as UTF-8 if all of it is valid, else
-    as code page 1252, else, when it holds a byte that page lacks, as Latin-1. Files
-    with fewer lines are left out. The aggregate combines before its shuffle, so
-    each task sends one row per file.
+    as code page 1252, else, when it holds a byte that page lacks, as Latin-1. The
+    aggregates combine before their shuffle, so each task sends one row per file.
     """
     raw = _raw(spark, paths)
     value, in_first = F.col("value"), F.col("split") == 0
+    usable = (F.trim(value) != "") if skip_blank else F.lit(True)
     first_id = F.when(in_first, F.col("id"))
-    found = [F.min(first_id).alias("first_id"), F.min_by("value", first_id).alias("head")]
+    head_id = F.when(in_first & usable, F.col("id"))
+    found = [F.min(first_id).alias("first_id"), F.min(head_id).alias("head_id"), F.min_by("value", head_id).alias("head")]
     if encoding == "auto":
         valid = F.is_valid_utf8("value")
         gaps = F.translate(_latin(value), _UNDEFINED, "") != _latin(value)
@@ -77,21 +83,31 @@ def file_heads(spark: SparkSession, paths: Paths, encoding: str = "auto", line:
     else:
         per_file = raw.where(in_first).groupBy("path").agg(*found)
         chosen = F.lit(encoding)
-    files = per_file.select("path", "first_id", chosen.alias("encoding"), "head")
+    files = per_file.select("path", "first_id", chosen.alias("encoding"), "head_id", "head")
     if line:
-        files = stage(files.drop("head"), "files").withColumn("id", F.col("first_id") + line)
-        heads = raw.where(in_first).join(broadcast_if_small(files), ["path", "id"])
-        files = heads.select("path", "first_id", "encoding", value.alias("head"))
-    return stage(files.withColumn("head", _decoded(F.col("head"), F.col("encoding"))), "heads")
+        files = stage(files.drop("head_id", "head"), "files")
+        later = F.col("id") >= F.col("first_id") + line
+        lines = raw.where(in_first).join(broadcast_if_small(files), "path")
+        if not skip_blank:
+            later = F.col("id") == F.col("first_id") + line
+        files = lines.where(later & usable).groupBy("path", "first_id", "encoding").agg(
+            F.min("id").alias("head_id"), F.min_by("value", "id").alias("head")
+        )
+    heads = files.where(F.col("head_id").isNotNull()).select(
+        "path", "first_id", "encoding", (F.col("head_id") - F.col("first_id")).alias("head_line"),
+        _decoded(F.col("head"), F.col("encoding")).alias("head"),
+    )
+    return stage(heads, "heads")
 
 
 def numbered_lines(spark: SparkSession, paths: Paths, encoding: str = "auto", heads: DataFrame | None = None) -> DataFrame:
     """Lines as ``path``, ``line`` (0-based, null past the first split) and ``value``.
 
-    ``heads`` may bring the result of :func:`file_heads`; its ``head`` is kept.
+    ``heads`` may bring the result of :func:`file_heads`; what it says of the head is
+    kept.
     """
-    files = heads if heads is not None else file_heads(spark, paths, encoding).drop("head")
-    kept = [c for c in files.columns if c == "head"]
+    files = heads if heads is not None else file_heads(spark, paths, encoding).drop("head", "head_line")
+    kept = [c for c in files.columns if c.startswith("head")]
     return _raw(spark, paths).join(broadcast_if_small(files), "path").select(
         "path",
         F.when(F.col("split") == 0, F.col("id") - F.col("first_id")).alias("line"),

@@ -42,11 +42,11 @@ def test_stamps_by_report(spark, land):
 
 
 def test_competitors_sheet(spark, land):
-    path = land("a.csv", "Sku,Price,Sku\nx,1,y\nz,,w\n")
+    path = land("a.csv", "Sku,Price,Sku,\nx,NA,y,1\nz,,w,2\n")
     raw = reports.scan_report(spark, reports.family("competitors"), path)
-    assert "Sku" in raw.columns
+    assert raw.columns == ["Sku", "Price", "Unnamed: 3"] and raw.first()[:] == ("x", "NA", "1")
     state = reports.load_report(spark, reports.family("competitors"), path, None, "2025-06-10", period="p").state
-    assert state.columns[:2] == ["period", "sku"]
+    assert state.columns == ["period", "sku", "price", "unnamed_3"]
 
 
 def test_colliding_headers_are_an_error(spark, land):

@@ -70,6 +70,13 @@ def test_a_valid_looking_line_of_a_cp1252_file_is_cp1252(spark, land):
     assert {r["t"] for r in got.collect()} == {"Ã©", "€"}
 
 
+def test_blank_lines_before_the_header(spark, land, folder):
+    land("a.csv", "\n \nx,y\n1,2\n")
+    land("b.csv", "x,y\n\n3,4\n")
+    assert rows(delimited.read_delimited(spark, folder)) == [("1", "2"), ("3", "4")]
+    assert delimited.read_delimited(spark, land("c.tsv", "p\n\n\nx,y\n1,2\n"), skip_rows=1).first()[:] == ("1", "2")
+
+
 def test_no_header(spark, land):
     with pytest.raises(delimited.EmptyReport):
         delimited.read_delimited(spark, land("a.csv", "only\n"), skip_rows=3)
