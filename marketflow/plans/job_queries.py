@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketflow.functions import periods
+from marketflow.functions import names, periods
 from marketflow.operators import filters, load, nested, projections
 from marketflow.plans import reports
 from marketflow.plans.load_queries import (
@@ -209,3 +209,162 @@ def table_dedup(spark, sf):
     name = _table(spark, loads, "dedup")
     sinks.dedup_table(spark, name)
     return spark.read.table(name)
+
+
+@query("""
+WITH lines AS (SELECT o_orderkey, o_orderkey // 25 AS page, strftime(o_orderdate, '%b') || ' ' || day(o_orderdate) AS line FROM orders),
+pages AS (SELECT page, bool_or(contains(line, 'Jun')) AS cur, bool_or(NOT contains(line, 'Jun') AND contains(line, 'May')) AS prev FROM lines GROUP BY page)
+SELECT o_orderkey AS case_id, line AS opened FROM lines JOIN pages USING (page)
+WHERE prev AND page < COALESCE((SELECT MIN(page) FROM pages WHERE NOT cur AND NOT prev), 1e18)
+""")
+def report_support_pages(spark, sf):
+    """Paged cases: pages with rows of the previous month are kept and loaded as one batch."""
+    lines = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("Case ID"), F.floor(F.col("o_orderkey") / 25).cast("long").alias("page"),
+        F.concat_ws(" ", F.date_format("o_orderdate", "MMM"), F.dayofmonth("o_orderdate")).alias("Opened"),
+    )
+    pages = filters.month_pages(lines, "page", "Opened", "Jun", "May").where("kept").select("page")
+    kept = lines.join(pages, "page", "left_semi").drop("page")
+    contract = projections.contract(case_id="long", opened="string")
+    target = kept.limit(0).select(F.col("Case ID").alias("case_id"), F.col("Opened").alias("opened"))
+    return reports.load_batch(reports.family("support"), kept, target, "1998-06-15", contract).state
+
+
+@query("""
+SELECT '06/08/1998-06/15/1998' AS period, c_name AS sku, CAST(c_acctbal AS VARCHAR) AS price, CAST(c_custkey AS VARCHAR) AS rank
+FROM customer
+""")
+def report_competitors(spark, sf):
+    """An exported sheet with a repeated column, stamped with the trailing week."""
+    customers = table(spark, sf, "customer")
+    line = csv_line(F.col("c_name"), F.col("c_acctbal"), F.lit("again").alias("x"), F.col("c_custkey"))
+    path = headed_files(customers, line, ["SKU,Price,SKU,Rank"], "competitors")
+    week = periods.period_text(periods.trailing_week(periods.ref("1998-06-15")))
+    period = spark.range(1).select(week.alias("period")).first()["period"]
+    report = reports.family("competitors")
+    contract = projections.contract(period="string", sku="string", price="string", rank="string")
+    raw = reports.scan_report(spark, report, path)
+    target = spark.createDataFrame([], "period string, sku string, price string, rank string")
+    return reports.load_batch(report, raw, target, "1998-06-15", contract, period=period).state
+
+
+@query("""
+SELECT DATE '1998-06-15' AS loaded, s_name AS sku, s_suppkey AS units, s_acctbal AS value FROM supplier
+""")
+def report_awd_inventory(spark, sf):
+    """Inventory files with three lines before the header, stamped with the load date."""
+    line = csv_line(F.col("s_name"), F.col("s_suppkey"), _price("s_acctbal").alias("v"))
+    path = headed_files(table(spark, sf, "supplier"), line, ["Inventory", "As of today", "", "SKU,Units,Value ($)"], "awd")
+    first = reports.load_report(spark, reports.family("inventory"), path, None, "1998-06-15").state
+    typed = projections.conform(first, projections.contract(date="timestamp", sku="string", units="long", value="double"))
+    return typed.select(F.to_date("date").alias("loaded"), "sku", "units", "value")
+
+
+@query("""
+WITH day1 AS (SELECT TIMESTAMP '1998-06-14 00:00:00' AS date, 'B' || CAST(p_partkey AS VARCHAR) AS asin, p_size AS sessions_total,
+  CAST(p_size AS DOUBLE) AS unit_session_pct, p_retailprice AS ordered_product_sales FROM part)
+SELECT * FROM day1 UNION ALL SELECT TIMESTAMP '1998-06-12 00:00:00', asin, sessions_total, unit_session_pct, ordered_product_sales FROM day1
+""")
+def report_sales_traffic(spark, sf):
+    """Daily sales and traffic for yesterday and three days ago, each stamped with its day."""
+    asin = F.concat(F.lit("B"), F.col("p_partkey").cast("string"))
+    share = F.concat(F.col("p_size").cast("string"), F.lit("%"))
+    line = csv_line(asin.alias("a"), F.col("p_size"), share.alias("s"), _price("p_retailprice").alias("p"))
+    head = ["(Child) ASIN,Sessions - Total,Unit Session Percentage,Ordered Product Sales"]
+    path = headed_files(table(spark, sf, "part"), line, head, "traffic")
+    report = reports.family("sales_traffic_daily")
+    contract = projections.contract(date="timestamp", child_asin="string", sessions_total="long", unit_session_pct="double", ordered_product_sales="double")
+    state = spark.createDataFrame([], "date timestamp_ntz, child_asin string, sessions_total bigint, unit_session_pct double, ordered_product_sales double")
+    for day in ("1998-06-14", "1998-06-12"):
+        state = reports.load_report(spark, report, path, state, "1998-06-15", contract=contract, custom_date=day).state
+    return state.withColumnRenamed("child_asin", "asin")
+
+
+@query("""
+WITH t AS (SELECT o_orderdate AS snapshot_date, 'S' || CAST(o_custkey AS VARCHAR) AS sku, o_totalprice AS value FROM orders),
+b AS (SELECT DISTINCT snapshot_date, sku, value + 1 AS value FROM t WHERE snapshot_date >= DATE '2001-01-01')
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.snapshot_date = t.snapshot_date AND b.sku = t.sku)
+UNION ALL SELECT * FROM b
+""")
+def report_fba_inventory(spark, sf):
+    """Inventory snapshots of the year 2001, delivered again: keyed by day and sku."""
+    target = table(spark, sf, "orders").select(
+        F.col("o_orderdate").alias("snapshot_date"), F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("sku"),
+        F.col("o_totalprice").alias("value"),
+    )
+    again = target.where(F.col("snapshot_date") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+    line = csv_line(F.date_format("snapshot_date", "yyyy-MM-dd'T'HH:mm:ss").alias("d"), F.col("sku"), (F.col("value") + 1).alias("v"))
+    path = headed_files(again, line, ["snapshot-date,sku,value"], "snapshots")
+    return reports.load_report(spark, reports.family("fba_inventory"), path, target, "2001-09-01").state
+
+
+@query("""
+SELECT CAST('S-7' AS VARCHAR) AS sku, p_name AS search_query, p_size AS clicks, p_retailprice AS price_usd FROM part
+GROUP BY ALL
+""")
+def report_asin(spark, sf):
+    """Files with a metadata line, stamped with the sku they were asked for."""
+    line = csv_line(F.col("p_name"), F.col("p_size"), F.col("p_retailprice"))
+    path = headed_files(table(spark, sf, "part"), line, ['ASIN=["B1"],Week=[2]', "Search Query,Clicks,Price (USD)"], "asin")
+    return reports.load_report(spark, reports.family("asin"), path, None, "1998-06-15", sku="S-7").state
+
+
+TRAFFIC_SCHEMA = """
+date string, salesByDate struct<orderedProductSales struct<amount double, currencyCode string>, unitsOrdered bigint>,
+trafficByDate struct<sessions bigint, deep struct<buyBoxPercentage double>>
+"""
+
+
+@query("""
+SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_totalprice AS ordered_product_sales, o_custkey AS units_ordered,
+  o_orderkey AS sessions, CAST(50.5 AS DOUBLE) AS buy_box_pct FROM orders
+""")
+def report_seller_traffic(spark, sf):
+    """Traffic documents with nested records: flattened, camel-case names cleaned, loaded."""
+    orders = table(spark, sf, "orders")
+    money = F.struct(F.col("o_totalprice").alias("amount"), F.lit("USD").alias("currencyCode"))
+    deep = F.struct(F.lit(50.5).cast("double").alias("buyBoxPercentage"))
+    record = F.struct(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.struct(money.alias("orderedProductSales"), F.col("o_custkey").alias("unitsOrdered")).alias("salesByDate"),
+        F.struct(F.col("o_orderkey").alias("sessions"), deep.alias("deep")).alias("trafficByDate"),
+    )
+    path = framed_files(orders, F.to_json(record), '{"salesAndTrafficByDate": [', "]}", ",", "traffic")
+    schema = T.StructType.fromDDL(TRAFFIC_SCHEMA)
+    rows = documents.named_records(documents.read_documents(spark, path), documents.TRAFFIC_RECORDS, schema)
+    flat = nested.flatten_columns(rows, ["salesByDate", "trafficByDate"])
+    contract = (
+        projections.Field("date", "date"), projections.Field("ordered_product_sales", "double"),
+        projections.Field("units_ordered", "long"), projections.Field("sessions", "long"), projections.Field("buy_box_pct", "double"),
+    )
+    target = spark.createDataFrame([], "date date, ordered_product_sales double, units_ordered bigint, sessions bigint, buy_box_pct double")
+    return reports.load_batch(reports.family("seller_api"), flat, target, "1998-06-16", contract).state
+
+
+@query("""
+SELECT 'B' || CAST(p_partkey AS VARCHAR) AS asin, p_size AS orders, p_retailprice AS repeat_purchase_revenue, 'USD' AS currency_code FROM part
+""")
+def report_repeat_purchase(spark, sf):
+    """Repeat-purchase records: a money cell yields its members, the amount is renamed."""
+    money = F.struct(F.col("p_retailprice").alias("amount"), F.lit("USD").alias("currencyCode"))
+    record = F.struct(
+        F.concat(F.lit("B"), F.col("p_partkey").cast("string")).alias("asin"), F.col("p_size").alias("orders"),
+        money.alias("repeatPurchaseRevenue"),
+    )
+    path = framed_files(table(spark, sf, "part"), F.to_json(record), '{"dataByAsin": [', "]}", ",", "repeat")
+    schema = T.StructType.fromDDL("asin string, orders bigint, repeatPurchaseRevenue struct<amount double, currencyCode string>")
+    rows = documents.named_records(documents.read_documents(spark, path), documents.SEARCH_RECORDS, schema)
+    renamed = names.rename_repeat_purchase(nested.flatten_columns(rows, ["repeatPurchaseRevenue"]))
+    return names.clean_names(renamed, camel=True)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate FROM lineitem")
+def table_copy(spark, sf):
+    """A created, truncate-loaded and copied table; the original is dropped."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+    name = _table(spark, lines, "copied")
+    sinks.replace_table(lines, name)
+    copy = f"{name}_copy"
+    sinks.copy_table(spark, name, copy, scratch_path(spark, "copy"))
+    sinks.drop_table(spark, name)
+    return spark.read.table(copy)

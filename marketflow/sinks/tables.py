@@ -40,8 +40,9 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def copy_table(spark: SparkSession, source: str, target: str) -> None:
-    spark.read.table(source).write.saveAsTable(target)
+def copy_table(spark: SparkSession, source: str, target: str, location: str | None = None) -> None:
+    options = {"path": location} if location else {}
+    spark.read.table(source).write.options(**options).saveAsTable(target)
 
 
 def _ordered(df: DataFrame, name: str) -> DataFrame:
