@@ -181,8 +181,6 @@ def load_batch(
         contract = first_contract(report, batch) if target is None else _stored(report, target)
     typed = projections.conform(batch, contract)
     dropped = tuple(projections.dropped_columns(batch, contract))
-    if target is None:
-        target = typed.limit(0)
     return Loaded(_disciplined(report, target, typed), True, dropped, contract)
 
 
@@ -195,7 +193,9 @@ def _stored(report: Report, target: DataFrame) -> Contract:
     return tuple(kept)
 
 
-def _disciplined(report: Report, target: DataFrame, batch: DataFrame) -> DataFrame:
+def _disciplined(report: Report, target: DataFrame | None, batch: DataFrame) -> DataFrame:
+    if target is None:
+        return dedup.dedup_loads(batch) if report.load == "append_dedup" else batch.dropDuplicates()
     if report.load == "keyed_replace":
         return load.keyed_replace(target, batch, report.keys)
     if report.load == "month_replace":

@@ -103,7 +103,10 @@ def stream_codes(spark, sf):
     requests = events.where("event_type = 'error'").select("event_id", F.col("user_id").cast("string").alias("phone"), "ts")
     log, checkpoint = _places(spark, "codes")
     ingest.ingest_codes(ingest.arrivals(spark, _landed(messages, "messages"), messages.schema, max_files=2), log, checkpoint)
-    codes = ingest.code_log(spark, log, messages.schema).drop("event_id")
+
+    def codes(session):
+        return ingest.code_log(session, log, messages.schema).drop("event_id")
+
     answers, answered = _places(spark, "answers")
     stream = ingest.arrivals(spark, _landed(requests, "requests"), requests.schema)
     ingest.answer_requests(stream, answers, answered, codes, "phone", "ts", "ts", 86400)

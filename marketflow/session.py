@@ -27,7 +27,6 @@ def get_spark(app: str = "marketflow", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
         **conf,
     }

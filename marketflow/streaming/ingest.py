@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from marketflow.operators import load, lookups, messages
 from marketflow.session import broadcast_if_small
@@ -39,16 +40,24 @@ def arrivals(
     return reader.load(folder)
 
 
-def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Process everything that has arrived, then stop; the checkpoint remembers it."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(each)
-        .start()
-    )
-    query.awaitTermination()
+def run_available(
+    stream: DataFrame,
+    checkpoint: str,
+    each: Callable[[DataFrame, int], None],
+    mode: str = "append",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Process what has arrived, then stop; the checkpoint remembers it.
+
+    With ``every``, such as ``"10 minutes"``, the query goes on looking for files and is
+    returned running.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger)
+    query = writer.foreachBatch(each).start()
+    if not every:
+        query.awaitTermination()
+    return query
 
 
 def seed(initial: DataFrame, path: str) -> None:
@@ -56,14 +65,10 @@ def seed(initial: DataFrame, path: str) -> None:
     _write(initial, path, -1, SEED)
 
 
-def _write(df: DataFrame, path: str, batch_id: int, delivery: str = STREAM) -> None:
-    (
-        df.withColumns({_DELIVERY: F.lit(delivery), _BATCH: F.lit(batch_id).cast("long")})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_MARKS)
-        .parquet(path)
-    )
+def _write(df: DataFrame, path: str, batch_id: int, delivery: str = STREAM, mode: str = "overwrite") -> None:
+    marked = df.withColumns({_DELIVERY: F.lit(delivery), _BATCH: F.lit(batch_id).cast("long")})
+    writer = marked.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*_MARKS).parquet(path)
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -85,6 +90,7 @@ def ingest_new(
     needs its own ``delivery`` name.
     """
     schema = stream.schema
+    _write(stream.sparkSession.createDataFrame([], schema), path, -1, SEED, mode="ignore")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         own = (F.col(_DELIVERY) == delivery) & (F.col(_BATCH) == batch_id)
@@ -199,17 +205,20 @@ def answer_requests(
     stream: DataFrame,
     path: str,
     checkpoint: str,
-    codes: DataFrame,
+    codes: Callable[[SparkSession], DataFrame],
     key: str,
     at: str,
     created_at: str,
     seconds: int = lookups.CODE_SECONDS,
     order: Sequence[str] = (),
 ) -> None:
-    """Look up the newest code of each requested phone in the code log."""
+    """Look up the newest code of each requested phone in the code log.
+
+    ``codes`` reads the log anew for every micro-batch, as it keeps growing.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        found = lookups.latest_within(batch, codes, key, at, created_at, ["otp_code"], seconds, order)
+        found = lookups.latest_within(batch, codes(batch.sparkSession), key, at, created_at, ["otp_code"], seconds, order)
         _write(found, path, batch_id)
 
     run_available(stream, checkpoint, each)

@@ -74,3 +74,29 @@ def test_without_broadcast_the_target_is_combined_then_shuffled_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
     assert "LeftSemi" not in plan
+
+
+def test_a_hot_key_is_split_beyond_the_broadcast_limit(spark):
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    target = spark.range(0, 60000, 1, 8).select(hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    batch = spark.range(0, 60000, 7).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        kept = load.without_keys(target, batch, ["k"], broadcast_limit=0)
+        want = kept.count()
+        kept.collect()
+        assert "isSkew=true" in plan_of(kept) or "skew=true" in plan_of(kept)
+        assert want == 60000 - 20000 - sum(1 for i in range(0, 60000, 7) if i % 3)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

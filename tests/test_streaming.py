@@ -85,3 +85,23 @@ def test_codes(spark, folder):
     requests = spark.createDataFrame([("3", at(3))], "phone string, at timestamp_ntz")
     found = lookups.latest_within(requests, log, "phone", "at", "ts", ["otp_code"], 7200)
     assert found.first()["latest_otp_code"] == "000008"
+
+
+def test_ingest_without_a_seed(spark, folder):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    landed(spark, f"{folder}/in", [("a", at(1), 1), ("a", at(1), 1)])
+    ingest.ingest_new(ingest.arrivals(spark, f"{folder}/in", schema), f"{folder}/store", f"{folder}/cp")
+    assert rows(ingest.rows(spark, f"{folder}/store", schema)) == [("a", at(1), 1)]
+
+
+def test_a_running_query_is_returned(spark, folder):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    landed(spark, f"{folder}/in", [("a", at(1), 1)])
+    seen = []
+    stream = ingest.arrivals(spark, f"{folder}/in", schema)
+    query = ingest.run_available(stream, f"{folder}/cp", lambda batch, i: seen.append(batch.count()), every="1 second")
+    try:
+        query.processAllAvailable()
+        assert seen == [1] and query.isActive
+    finally:
+        query.stop()
