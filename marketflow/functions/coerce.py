@@ -51,8 +51,12 @@ def to_double(c: Column | str, percent: Column) -> Column:
     ``percent`` tells whether the whole column is a percent column: then only
     the percent sign is removed; otherwise dollar signs and thousands commas.
     """
+
+    def without(text: Column, mark: str) -> Column:
+        return F.replace(text, F.lit(mark), F.lit(""))
+
     text = _col(c).cast("string")
-    return F.when(percent, number(F.replace(text, F.lit("%"), F.lit("")))).otherwise(number(F.translate(text, "$,", "")))
+    return F.when(percent, number(without(text, "%"))).otherwise(number(without(without(text, "$"), ",")))
 
 
 def to_text(c: Column | str) -> Column:

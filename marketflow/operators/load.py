@@ -17,14 +17,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from marketflow.functions import periods
-from marketflow.session import BROADCAST_LIMIT, broadcast_if_small, fits_broadcast, stage
+from marketflow.session import BROADCAST_LIMIT, broadcast_if_small, stage
 
 _TEMPORAL = ("date", "timestamp", "timestamp_ntz")
 
+# Bytes a broadcast digest may take; there is at most one per batch row.
+_DIGEST_BYTES = 24
+
 
 def _identity(df: DataFrame, names: Sequence[str], granularity: str) -> list[Column]:
     """Columns as compared between target and batch: temporal ones by day."""
@@ -76,25 +79,31 @@ def _staged(batch: DataFrame) -> DataFrame:
     return stage(batch.dropDuplicates(), "batch")
 
 
-def _within_days(target: DataFrame, batch: DataFrame) -> DataFrame:
+def _extent(batch: DataFrame) -> Row:
+    """Row count, and per date or time column its first and last day and its nulls."""
+    temporal = [n for n, k in batch.dtypes if k in _TEMPORAL]
+    first = [F.min(F.to_date(n)).cast("string") for n in temporal]
+    last = [F.max(F.to_date(n)).cast("string") for n in temporal]
+    nulls = [F.count_if(F.col(n).isNull()) for n in temporal]
+    return batch.agg(
+        F.count("*").alias("rows"),
+        *[F.array(*found).alias(label) for label, found in (("first", first), ("last", last), ("nulls", nulls))],
+    ).first()
+
+
+def _within_days(target: DataFrame, batch: DataFrame, extent: Row) -> DataFrame:
     """Target rows that lie in the batch's day range in every date or time column.
 
     The bounds are literals, so they prune partitions and Parquet row groups.
     """
-    temporal = {n: k for n, k in batch.dtypes if k in _TEMPORAL}
-    if not temporal:
-        return target
-    ends = [e(F.to_date(n)).cast("string") for n in temporal for e in (F.min, F.max)]
-    nulls = [F.count_if(F.col(n).isNull()) for n in temporal]
-    found = batch.agg(F.array(*ends).alias("ends"), F.array(*nulls).alias("nulls")).first()
-    for i, (name, kind) in enumerate(temporal.items()):
-        low, high = found["ends"][2 * i : 2 * i + 2]
+    temporal = [(n, k) for n, k in batch.dtypes if k in _TEMPORAL]
+    for (name, kind), low, high, nulls in zip(temporal, extent["first"], extent["last"], extent["nulls"]):
         column = F.col(name)
         near = F.lit(False)
         if low is not None:
             after = F.date_add(F.lit(high).cast("date"), 1)
             near = (column >= F.lit(low).cast("date").cast(kind)) & (column < after.cast(kind))
-        target = target.where(near | column.isNull() if found["nulls"][i] else near)
+        target = target.where(near | column.isNull() if nulls else near)
     return target
 
 
@@ -107,10 +116,11 @@ def _unmatched(target: DataFrame, batch: DataFrame, granularity: str, broadcast_
         identity = F.struct(*[c.alias(f"_c{i}") for i, c in enumerate(_identity(df, names, granularity))])
         return df.select(*kept, identity.alias("_identity")).withColumn("_digest", F.xxhash64("_identity"))
 
+    extent = _extent(batch)
     fresh = keyed(batch, "*")
-    known = keyed(_within_days(target, batch))
-    digests = fresh.select("_digest").distinct()
-    if fits_broadcast(digests, broadcast_limit):
+    known = keyed(_within_days(target, batch, extent))
+    if extent["rows"] * _DIGEST_BYTES <= broadcast_limit:
+        digests = fresh.select("_digest").distinct()
         known = known.join(F.broadcast(digests), "_digest", "left_semi")
     return fresh.join(known.dropDuplicates(), ["_digest", "_identity"], "left_anti").select(*names)
 
