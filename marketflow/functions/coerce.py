@@ -7,13 +7,19 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters of finite numbers, the words for infinite ones, and
-# the default week when a description carries none.
+# The characters of finite numbers, the words for infinite ones, the
+# default week when a description carries none, the week in a page title, and the dates
+# in file names, in the order they are tried.
 WHOLE = r"^[+-]?[0-9]+$"
 WHOLE_WITH_POINT = r"^[+-]?[0-9]+\.0*$"
 FINITE = r"^[0-9+.eE-]+$"
 INFINITE = r"^[+-]?(?i:inf|infinity)$"
 DEFAULT_WEEK = 53
+WEEK_TITLE = r"Week\s+(\d+)"
+FILE_DATES = (
+    (r"(\d{2}_\d{2}_\d{4})", "dd_MM_yyyy"),
+    (r"(\d{4}-\d{2}-\d{2})", "yyyy-MM-dd"),
+)
 
 _LONG_EDGE = float(2**63)
 
@@ -103,7 +109,7 @@ def postal(c: Column | str) -> Column:
 
 def week_number(c: Column | str) -> Column:
     """The number after ``Week`` in a page title, else null."""
-    return F.nullif(F.regexp_extract(_col(c), r"Week\s+(\d+)", 1), F.lit("")).try_cast("int")
+    return F.nullif(F.regexp_extract(_col(c), WEEK_TITLE, 1), F.lit("")).try_cast("int")
 
 
 def trailing_number(c: Column | str, default: int = DEFAULT_WEEK) -> Column:
@@ -114,10 +120,8 @@ def trailing_number(c: Column | str, default: int = DEFAULT_WEEK) -> Column:
 
 def file_name_date(c: Column | str) -> Column:
     """First ``dd_MM_yyyy`` in a file name, or first ``yyyy-MM-dd`` if that is no date."""
-    name = _col(c)
-    day_first = F.try_to_date(F.regexp_extract(name, r"(\d{2}_\d{2}_\d{4})", 1), "dd_MM_yyyy")
-    year_first = F.try_to_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
-    return F.coalesce(day_first, year_first)
+    dates = [F.try_to_date(F.regexp_extract(_col(c), pattern, 1), form) for pattern, form in FILE_DATES]
+    return F.coalesce(*dates)
 
 
 def period_start(c: Column | str) -> Column:

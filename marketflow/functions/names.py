@@ -9,11 +9,15 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 
-# Name length limits of the two warehouse dialects.
+# Name length limits of the two warehouse dialects, the words names are
+# spelled with, and the prefix of names that would start with a digit.
 WAREHOUSE_NAME_LIMIT = 63
 CLOUD_NAME_LIMIT = 128
+PERCENT = "percent"
+LONG_PERCENT, SHORT_PERCENT = "percentage", "pct"
+DIGIT_PREFIX = "col_"
 
-_PUNCTUATION = str.maketrans({mark: "percent" if mark == "%" else "_" for mark in string.punctuation})
+_PUNCTUATION = str.maketrans({mark: PERCENT if mark == "%" else "_" for mark in string.punctuation})
 _WORD_BREAK = re.compile(r"(?<=[A-Za-z])(?=\d)|(?<=[a-z])(?=[A-Z])")
 
 
@@ -29,7 +33,7 @@ def snake_case(name: str) -> str:
 def warehouse_name(name: str, camel: bool = False) -> str:
     """Lower-case identifier for warehouse tables."""
     text = snake_case(name) if camel else name.lower()
-    return _identifier(text.replace(" ", "_").replace("percentage", "pct"), WAREHOUSE_NAME_LIMIT)
+    return _identifier(text.replace(" ", "_").replace(LONG_PERCENT, SHORT_PERCENT), WAREHOUSE_NAME_LIMIT)
 
 
 def cloud_name(name: str) -> str:
@@ -49,7 +53,7 @@ def share_name(name: str) -> str:
 
 def _identifier(text: str, limit: int) -> str:
     text = re.sub("__+", "_", text.translate(_PUNCTUATION)).strip("_")
-    return (f"col_{text}" if text[:1].isdigit() else text)[:limit]
+    return (DIGIT_PREFIX + text if text[:1].isdigit() else text)[:limit]
 
 
 def rename_all(df: DataFrame, rule: Callable[[str], str]) -> DataFrame:

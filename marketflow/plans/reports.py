@@ -172,8 +172,11 @@ def load_batch(
     """Prepare a raw batch, conform it to the stored contract and load it.
 
     Without a target this is a first load, and the contract is inferred. An empty
-    batch leaves the table as it is.
+    batch leaves the table as it is. The batch is staged: emptiness, types and percent
+    columns are decided on all of it before its rows are used, so that its files are
+    parsed only once.
     """
+    raw = stage(raw, "scan")
     if raw.isEmpty():
         return Loaded(target, False)
     batch = prepared(report, raw, ref_date, **stamps)
@@ -209,12 +212,8 @@ def load_report(
     spark: SparkSession, report: Report, paths, target: DataFrame | None, ref_date: date | str,
     encoding: str = "auto", contract: Contract | None = None, **stamps,
 ) -> Loaded:
-    """Files to the new state of the report's table.
-
-    The scanned rows are staged: emptiness, types and percent columns are decided on
-    the whole batch before its rows are used, and the files are parsed only once.
-    """
-    raw = stage(scan_report(spark, report, paths, encoding), "scan")
+    """Files to the new state of the report's table."""
+    raw = scan_report(spark, report, paths, encoding)
     return load_batch(report, raw, target, ref_date, contract, **stamps)
 
 

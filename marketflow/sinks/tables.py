@@ -18,6 +18,8 @@ from marketflow.operators.projections import KINDS, Contract
 from marketflow.session import broadcast_if_small, stage
 
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 # Up to this many touched partitions are named in the query, more are joined.
 MAX_LISTED = 1000
 
@@ -68,10 +70,19 @@ def replace_partitions(df: DataFrame, name: str) -> None:
     """Replace exactly the partitions that occur in ``df``, which may read the table."""
     spark = df.sparkSession
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if not parts:
+        raise ValueError(f"{name} is not partitioned")
     staged = stage(_ordered(df, name), "partitions")
     # Few files per partition, and several tasks for a partition that is much larger.
     even = staged.hint("rebalance", *parts)
-    even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    # Table inserts follow this setting only; as a writer option it is not heeded, and
+    # the default mode would empty the partitions that are not in the rows.
+    mode = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        even.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, mode)
 
 
 def insert_new(batch: DataFrame, name: str, granularity: str = "day") -> None:

@@ -58,6 +58,7 @@ def test_only_touched_partitions_are_written(spark, name, monkeypatch, listed):
     tables.replace_keys_in_partitions(frame(spark, ("d2", "a", 9), ("d3", "c", 4)), name, ["day", "sku"], "day")
     assert rows(spark.table(name).select("day", "sku", "n")) == [("d1", "a", 1), ("d2", "a", 9), ("d2", "b", 3), ("d3", "c", 4)]
     assert untouched <= set(spark.table(name).inputFiles())
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     with pytest.raises(ValueError):
         tables.replace_keys_in_partitions(frame(spark), name, ["sku"], "day")
 
