@@ -261,7 +261,7 @@ def report_awd_inventory(spark, sf):
 
 
 @query("""
-WITH day1 AS (SELECT TIMESTAMP '1998-06-14 00:00:00' AS date, 'B' || CAST(p_partkey AS VARCHAR) AS asin, p_size AS sessions_total,
+WITH day1 AS (SELECT TIMESTAMP '1998-06-14 00:00:00' AS date, 'B' || CAST(p_partkey AS VARCHAR) AS asin, CAST(p_size AS BIGINT) AS sessions_total,
   CAST(p_size AS DOUBLE) AS unit_session_pct, p_retailprice AS ordered_product_sales FROM part)
 SELECT * FROM day1 UNION ALL SELECT TIMESTAMP '1998-06-12 00:00:00', asin, sessions_total, unit_session_pct, ordered_product_sales FROM day1
 """)
@@ -299,7 +299,7 @@ def report_fba_inventory(spark, sf):
 
 
 @query("""
-SELECT CAST('S-7' AS VARCHAR) AS sku, p_name AS search_query, p_size AS clicks, p_retailprice AS price_usd FROM part
+SELECT CAST('S-7' AS VARCHAR) AS sku, p_name AS search_query, CAST(p_size AS BIGINT) AS clicks, p_retailprice AS price_usd FROM part
 GROUP BY ALL
 """)
 def report_asin(spark, sf):
@@ -342,7 +342,7 @@ def report_seller_traffic(spark, sf):
 
 
 @query("""
-SELECT 'B' || CAST(p_partkey AS VARCHAR) AS asin, p_size AS orders, p_retailprice AS repeat_purchase_revenue, 'USD' AS currency_code FROM part
+SELECT 'B' || CAST(p_partkey AS VARCHAR) AS asin, CAST(p_size AS BIGINT) AS orders, p_retailprice AS repeat_purchase_revenue, 'USD' AS currency_code FROM part
 """)
 def report_repeat_purchase(spark, sf):
     """Repeat-purchase records: a money cell yields its members, the amount is renamed."""
@@ -358,7 +358,7 @@ def report_repeat_purchase(spark, sf):
     return names.clean_names(renamed, camel=True)
 
 
-@query("SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate FROM lineitem")
+@query("SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_extendedprice, l_shipdate FROM lineitem")
 def table_copy(spark, sf):
     """A created, truncate-loaded and copied table; the original is dropped."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")

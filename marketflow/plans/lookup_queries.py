@@ -314,7 +314,7 @@ def search_sql() -> str:
             return "l_returnflag || ' ' || l_linestatus || ' ' || CAST(l_partkey AS VARCHAR)"
         if name.endswith("Price"):
             return f"l_extendedprice + {i}"
-        return f"l_discount + {i}" if name.endswith(("Share", "Rate")) else f"l_linenumber * {i}"
+        return f"l_discount + {i}" if name.endswith(("Share", "Rate")) else f"CAST(l_linenumber * {i} AS BIGINT)"
 
     columns = [f"{value(n, i)} AS {names.SEARCH_PERFORMANCE_COLUMNS[n]}" for i, n in enumerate(_leaves())]
     return f"SELECT {', '.join(columns)}, 'B' || CAST(l_partkey AS VARCHAR) AS sku, DATE '1998-06-13' AS reporting_date FROM lineitem"

@@ -130,7 +130,7 @@ def drop_repeated_columns(spark, sf):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_extendedprice AS price,
        CASE l_returnflag WHEN 'R' THEN CAST(l_linenumber AS DOUBLE) END AS mixed
 FROM lineitem
 """)
