@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow.functions import names, periods
-from marketflow.operators import filters, lookups, nested
+from marketflow.operators import filters, lookups, messages, nested
 from marketflow.plans.registry import query, table
 from marketflow.plans.schema_queries import CODES_SQL, payloads
-from marketflow.operators import messages
 
 NOW = "2024-01-15 12:00:00"
 
