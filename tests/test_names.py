@@ -43,7 +43,7 @@ def test_cloud_name_keeps_case_and_spaces():
 
 
 def test_simple_and_share_names():
-    assert names.simple_name("Amazon Choice Badge") == "amazon_choice_badge"
+    assert names.simple_name("Choice Badge") == "choice_badge"
     assert names.share_name("A  B") == "a_b"
     assert names.share_name("A____B") == "a__b"
 
