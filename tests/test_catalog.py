@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from marketflow.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +15,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -22,7 +24,7 @@ def test_entry(spark):
     assert df.columns == ["order_month", "o_orderstatus", "orders", "revenue"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", catalog.QUERIES)
 def test_query(spark, con, name):
     ok, note = check.compare(spark, con, SF, name)
     assert ok, note
