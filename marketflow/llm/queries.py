@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketflow.llm import exact, near, packing, quality, substrings
+from marketflow.llm import bpe, chats, exact, extract, licences, near, packing, quality, substrings, warc
+from marketflow.llm.labelled_pages import labelled_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +47,37 @@ def op3_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+@_query()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query()
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(table(spark, sf_dir, "pages"), extract.train(labelled_pages()))
+
+
+@_query()
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query()
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["licence"])))
+    return found.select(
+        "doc_id", "n_blocks", F.size("hits").cast("long").alias("n_hits"), F.array_join(names, ",").alias("licences"),
+        F.array_join(F.transform("hits", lambda h: F.concat_ws(":", h["line"].cast("string"), h["licence"])), ",").alias("places"),
+    )
+
+
 _BLANKS = r"[\x20\x09-\x0D]"
 
 
@@ -82,3 +115,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removals(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op9_reply_ordered_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.reply_ordered(table(spark, sf_dir, "conversations"))
