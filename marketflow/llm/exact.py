@@ -103,10 +103,13 @@ def _merged(arriving: DataFrame, snapshot: Snapshot) -> DataFrame:
     return met.unionByName(alone.join(broadcast_if_small(both.select("digest")), "digest", "left_anti"))
 
 
+def _keyed_columns(id_column: str, text: str) -> list[Column]:
+    chars = F.coalesce(F.char_length(F.col(text)), F.lit(0)).cast("long")
+    return [F.col(id_column).alias("id"), chars.alias("chars"), digest(F.col(text)).alias("digest")]
+
+
 def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    body = F.col(text)
-    chars = F.coalesce(F.char_length(body), F.lit(0)).cast("long")
-    return docs.select(F.col(id_column).alias("id"), chars.alias("chars"), digest(body).alias("digest"))
+    return docs.select(*_keyed_columns(id_column, text))
 
 
 def _groups(docs: DataFrame, keyed: DataFrame, arrives: Column, text: str) -> tuple[DataFrame, bool]:
@@ -123,10 +126,7 @@ def _groups(docs: DataFrame, keyed: DataFrame, arrives: Column, text: str) -> tu
     if differing.isEmpty():
         return groups, False
     few = broadcast_if_small(differing)
-    bodies = docs.select(
-        F.col("id"), F.coalesce(F.char_length(text), F.lit(0)).cast("long").alias("chars"),
-        digest(F.col(text)).alias("digest"), normalised(F.col(text)).alias("body"),
-    ).join(few, "digest", "left_semi")
+    bodies = docs.select(*_keyed_columns("id", text), normalised(F.col(text)).alias("body")).join(few, "digest", "left_semi")
     apart = bodies.groupBy("digest", "body").agg(F.min(_first()).alias("best"), F.count(F.lit(1)).alias("rows"))
     sure = groups.join(few, "digest", "left_anti").withColumn("body", F.lit(None).cast("string"))
     return stage(sure.unionByName(apart), "groups"), True
@@ -148,8 +148,8 @@ def duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", a
     groups, apart = _groups(plain, keyed, arrives, "text")
     size = broadcast_if_small(groups.select(F.col("digest").alias("of"), "best", "rows", *["body"] * apart))
     if apart:
-        rows = _keyed(plain, "id", "text").withColumn("text", normalised(plain["text"]))
-        rows = rows.withColumn("row", F.monotonically_increasing_id())
+        rows = plain.select(*_keyed_columns("id", "text"), normalised(F.col("text")).alias("text"))
+        rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "bodies")
         on = (F.col("digest") == F.col("of")) & F.coalesce(F.col("body") == F.col("text"), F.col("body").isNull())
     else:
         rows, on = keyed, F.col("digest") == F.col("of")

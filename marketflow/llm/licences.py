@@ -43,7 +43,7 @@ _HINT = re.compile(r"licen[sc]|permission is hereby|redistribut|copyright|warran
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 # Share of a template's words that must be there.
 WORDING = 0.85
-# Bytes of each 100 a block takes alone beyond the frame that a template must save, counted for a block of its own size.
+# Share that a template must save of the bytes that it, or the block if that is smaller, takes alone.
 SAVING = 0.35
 LEVEL = 19
 
@@ -64,13 +64,15 @@ class Scanner:
             for _, text in templates
         ]
         self.frame = len(self.alone.compress(b""))
+        self.sizes = [len(self.alone.compress(text.encode())) - self.frame for _, text in templates]
         self.longest = max(len(text) for _, text in templates)
 
     def savings(self, block: str) -> list[float]:
-        """Share of the block's compressed bytes that each template saves."""
+        """Bytes that each template saves, as a share of what the smaller of block and template takes alone."""
         raw = block.encode()
         alone = max(1, len(self.alone.compress(raw)) - self.frame)
-        return [1 - (len(c.compress(raw)) - self.frame) / alone for c in self.given]
+        saved = (alone - (len(c.compress(raw)) - self.frame) for c in self.given)
+        return [s / min(alone, size) for s, size in zip(saved, self.sizes, strict=True)]
 
     def differences(self, block: str, k: int) -> tuple[int, int]:
         """Words of template ``k`` that the block lacks, and extra words between its first and last common word."""

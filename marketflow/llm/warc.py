@@ -118,31 +118,45 @@ class _Reader:
 
     def __init__(self):
         self.inflate = None
-        self.raw: list[bytes] = []
+        self.pieces: list[bytes] = []
         self.content: list[bytes] = []
 
-    def _feed(self, raw: bytes) -> None:
-        self.raw.append(raw)
-        self.content.append(self.inflate.decompress(raw))
-
-    def take(self, piece: bytes) -> bytes | None:
-        """Offer the bytes that follow a magic. Returns a finished record (empty for an empty member); raises if they start none."""
-        raw = MAGIC + piece
-        if self.inflate is None:
-            inflate = zlib.decompressobj(31)
-            content = inflate.decompress(raw)
-            if not (content.startswith(b"WARC/") or inflate.eof and not content or not content and len(raw) < 64):
-                raise zlib.error("no record")
-            self.inflate, self.raw, self.content = inflate, [raw], [content]
-        else:
-            self._feed(raw)
+    def _feed(self, piece: bytes) -> bytes | None:
+        """The finished record (empty for an empty member), or none yet; raises if the bytes are no part of one."""
+        self.content.append(self.inflate.decompress(MAGIC + piece))
+        begins = b"".join(self.content)[:5] if not self.content[0] else self.content[0][:5]
+        if not b"WARC/".startswith(begins) or self.inflate.unused_data:
+            raise zlib.error("no record")
         if not self.inflate.eof:
             return None
-        if self.inflate.unused_data:
-            raise zlib.error("bytes between members")
-        record = b"".join(self.content)
         self.inflate = None
-        return record
+        return b"".join(self.content)
+
+    def take(self, piece: bytes) -> tuple[list[bytes], list[bytes]]:
+        """Offer the bytes that follow a magic: what turned out to begin no member, and finished records."""
+        lost, records, waiting = [], [], [piece]
+        while waiting:
+            piece = waiting.pop(0)
+            if self.inflate is None:
+                self.inflate, self.pieces, self.content = zlib.decompressobj(31), [], []
+            self.pieces.append(piece)
+            try:
+                record = self._feed(piece)
+            except zlib.error:
+                # The first magic was none; any of those that it swallowed may begin a member.
+                self.inflate = None
+                lost.append(self.pieces[0])
+                waiting = self.pieces[1:] + waiting
+                continue
+            if record:
+                records.append(record)
+        return lost, records
+
+    def rest(self) -> list[bytes]:
+        """The pieces of what has begun and not ended."""
+        begun = [] if self.inflate is None else self.pieces
+        self.inflate = None
+        return begun
 
 
 def _records(pieces: Iterator[tuple[str, int, bytes]]) -> Iterator[tuple]:
@@ -150,24 +164,20 @@ def _records(pieces: Iterator[tuple[str, int, bytes]]) -> Iterator[tuple]:
     reader, place, number = _Reader(), None, 0
     for file, start, piece in pieces:
         if (file, start) != place:
-            if reader.inflate is not None:
-                yield ("piece", *place, number, b"".join(reader.raw)[len(MAGIC) :])
-            first = place is None or place[0] != file or start == 0
-            reader, place, number = _Reader(), (file, start), 0
-            if first and start == 0 and not piece:
+            for k, left in enumerate(reader.rest()):
+                yield ("piece", *place, number + k, left)
+            place, number = (file, start), 0
+            if start == 0 and not piece:
                 continue  # what precedes the first magic of a file
-        try:
-            record = reader.take(piece)
-        except zlib.error:
-            # Compressed data of a member that began in an earlier range.
-            reader.inflate = None
-            yield ("piece", file, start, number, piece)
+        lost, records = reader.take(piece)
+        # Compressed data of a member that began in an earlier range.
+        for left in lost:
+            yield ("piece", file, start, number, left)
             number += 1
-            continue
-        if record:
+        for record in records:
             yield ("record", record)
-    if reader.inflate is not None:
-        yield ("piece", *place, number, b"".join(reader.raw)[len(MAGIC) :])
+    for k, left in enumerate(reader.rest()):
+        yield ("piece", *place, number + k, left)
 
 
 def _scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,11 +213,11 @@ def _mended(left):
 
     reader, out = _Reader(), []
     for piece in left.sort_values(["start", "number"])["piece"]:
-        # A range may hand over several magics at once.
-        record = reader.take(bytes(piece))
-        if record:
-            out.append(parse(record))
-    if reader.inflate is not None:
+        lost, records = reader.take(bytes(piece))
+        if lost:
+            raise ValueError(f"{left['file'].iloc[0]} holds bytes that are no record")
+        out += map(parse, records)
+    if reader.rest():
         raise ValueError(f"{left['file'].iloc[0]} ends inside a record")
     return pd.DataFrame(out, columns=_NAMES[:8])
 
