@@ -84,13 +84,24 @@ def yes_no(c: Column | str) -> Column:
     return F.when(_col(c) == "Yes", True).when(_col(c) == "No", False)
 
 
+# Spellings of dates in report files, tried in this order after ISO; months come before days.
+DATE_FORMATS = (
+    "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "d MMM yyyy", "d MMM yyyy H:mm:ss",
+    "MMM d, yyyy", "MMM d, yyyy H:mm:ss", "MMM d, yyyy h:mm a", "MMM d, yyyy h:mm:ss a",
+)
+_SPELLED = r"^(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2} [A-Za-z]{3} [0-9]{4}|[A-Za-z]{3} [0-9]{1,2}, [0-9]{4})"
+# A zone word after the time; times stay local to it.
+_ZONE_WORD = r"(?<=[0-9apmAPM])\s+(?!(?i:am|pm)$)[A-Z]{2,5}$"
+
+
 def to_timestamp(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
-    """Naive timestamp: ISO text first, then each pattern in turn."""
-    text = _col(c).cast("string")
+    """Naive timestamp: ISO text first, then each given pattern, then the usual spellings; a zone word at the end is left out."""
+    text = F.trim(F.regexp_replace(_col(c).cast("string"), _ZONE_WORD, ""))
     # A bare number is not a date; Spark's cast would read four digits as a year.
     iso = F.when(~text.rlike(r"^\s*[0-9]+\s*$"), text.try_cast("timestamp_ntz"))
-    patterned = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(iso, *patterned)
+    given = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    usual = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS])
+    return F.coalesce(iso, *given, F.when(text.rlike(_SPELLED), usual))
 
 
 def to_date(c: Column | str, formats: tuple[str, ...] = ()) -> Column:

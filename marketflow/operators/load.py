@@ -36,6 +36,21 @@ def _identity(df: DataFrame, names: Sequence[str], granularity: str) -> list[Col
     return [F.to_date(n) if n in by_day else F.col(n) for n in names]
 
 
+def _common_types(target: DataFrame, batch: DataFrame) -> dict[str, str]:
+    """The type both sides are compared in, per batch column whose types differ."""
+    theirs = dict(target.dtypes)
+    common = {}
+    for name, kind in batch.dtypes:
+        other = theirs[name]
+        if other == kind or {kind, other} <= set(_TEMPORAL):
+            continue
+        if "string" in (kind, other):
+            raise TypeError(f"{name} is {other} in the table and {kind} in the batch")
+        both = [F.lit(None).cast(k) for k in (kind, other)]
+        common[name] = batch.limit(0).select(F.coalesce(*both).alias("c")).dtypes[0][1]
+    return common
+
+
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
     """All rows of both, columns matched by name."""
     return target.unionByName(batch, allowMissingColumns=True)
@@ -109,11 +124,19 @@ def _within_days(target: DataFrame, batch: DataFrame, extent: Row) -> DataFrame:
 
 def _unmatched(target: DataFrame, batch: DataFrame, granularity: str, broadcast_limit: int) -> DataFrame:
     names = batch.columns
+    common = _common_types(target, batch)
+    # Mixed date and time columns that are compared in full are instants.
+    kinds, theirs = dict(batch.dtypes), dict(target.dtypes)
+    if granularity != "day":
+        common |= {n: "timestamp_ntz" for n in names if kinds[n] in _TEMPORAL and theirs[n] != kinds[n]}
 
     def keyed(df: DataFrame, *kept: str) -> DataFrame:
         # One struct as key: its null members equal each other, and the plan stays
-        # small for wide tables, unlike one null-safe comparison per column.
-        identity = F.struct(*[c.alias(f"_c{i}") for i, c in enumerate(_identity(df, names, granularity))])
+        # small for wide tables, unlike one null-safe comparison per column. Hashes
+        # differ by type, so both sides are brought to one type first.
+        parts = zip(names, _identity(df, names, granularity))
+        typed = [c.cast(common[n]) if n in common else c for n, c in parts]
+        identity = F.struct(*[c.alias(f"_c{i}") for i, c in enumerate(typed)])
         return df.select(*kept, identity.alias("_identity")).withColumn("_digest", F.xxhash64("_identity"))
 
     extent = _extent(batch)

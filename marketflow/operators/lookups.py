@@ -59,7 +59,8 @@ def latest_within(
     """Each request with the newest message of its key in the preceding ``seconds``.
 
     A message counts from its own instant up to, not including, ``seconds`` later.
-    Requests without one have null values; ``order`` breaks ties of equal times.
+    Requests without one have null values, and so have requests with a null key, which
+    equals no other key; ``order`` breaks ties of equal times.
 
     Requests and messages are merged into time buckets one span long, each message
     also into the next bucket, so a bucket holds all a request can see. One window
@@ -67,8 +68,10 @@ def latest_within(
     spread over its buckets, and no pairs are built.
     """
     micros = seconds * 1_000_000
-    requests = requests.select("*", _micros(F.col(at)).alias("_t"))
-    messages = messages.select(key, *values, *[c for c in order if c not in (*values, key)], _micros(F.col(created_at)).alias("_t"))
+    unkeyed = requests.where(F.col(key).isNull())
+    unkeyed = unkeyed.select("*", *[F.lit(None).cast(messages.schema[v].dataType).alias(f"latest_{v}") for v in values])
+    requests = requests.where(F.col(key).isNotNull()).select("*", _micros(F.col(at)).alias("_t"))
+    messages = messages.where(F.col(key).isNotNull()).select(key, *values, *[c for c in order if c not in (*values, key)], _micros(F.col(created_at)).alias("_t"))
     # One message per key and instant is enough; repeats combine before the shuffle.
     tie = F.struct(*(order or values))
     newest = messages.groupBy(key, "_t").agg(F.max_by(F.struct(*values), tie).alias("_m"))
@@ -87,10 +90,11 @@ def latest_within(
     seen = merged.select("*", F.last("_told", ignorenulls=True).over(window).alias("_last")).where("_kind = 1")
     fresh = F.col("_last.t") > F.col("_t") - micros
     names = [c for c in requests.columns if c != "_t"]
-    return seen.select(
-        *[F.col(c) if c == key else F.col(f"_r.`{c}`") for c in names],
+    found = seen.select(
+        *[F.col(c) if c == key else F.col(f"_r.`{c}`").alias(c) for c in names],
         *[F.when(fresh, F.col(f"_last.m.`{v}`")).alias(f"latest_{v}") for v in values],
     )
+    return found.unionByName(unkeyed)
 
 
 def _micros(ts: Column) -> Column:

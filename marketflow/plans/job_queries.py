@@ -43,9 +43,10 @@ FROM t
 def report_transaction(spark, sf):
     """A year of transactions, delivered again as files, replaces its months."""
     orders = table(spark, sf, "orders")
-    year = _transactions(orders, 1).where(periods.in_day(F.lit("1998-01-01").cast("timestamp_ntz"), periods.ref("1998-01-01")) & (F.year("date_time") == 1998))
+    year = _transactions(orders, 1).where(F.year("date_time") == 1998)
+    spelled = F.concat(F.date_format("date_time", "MMM d, yyyy h:mm:ss a"), F.lit(" PST"))
     line = csv_line(
-        F.col("order_id"), F.date_format("date_time", "yyyy-MM-dd HH:mm:ss").alias("d"), _price("total").alias("t"),
+        F.col("order_id"), spelled.alias("d"), _price("total").alias("t"),
         F.concat("order_postal", F.lit(".0")).alias("p"), F.lit("x").alias("x"),
     )
     path = headed_files(year, line, [*PREAMBLE, "Order ID,Date / Time,Total,Order Postal,Extra"], "transaction")
@@ -99,7 +100,7 @@ def report_search_performance(spark, sf):
     record = F.to_json(F.struct("*"))
     path = framed_files(search_records(table(spark, sf, "lineitem")), record, '{"dataByAsin": [', "]}", ",", "search")
     records = documents.named_records(documents.read_documents(spark, path), documents.SEARCH_RECORDS, search_schema())
-    batch = nested.search_performance(records, F.col("asin"), F.date_sub(periods.last_saturday(periods.ref("1998-06-15")), 0))
+    batch = nested.search_performance(records, F.col("asin"), periods.last_saturday(periods.ref("1998-06-15")))
     report = reports.family("search_performance")
     contract = projections.contract_of(batch)
     contract = tuple(projections.Field(f.name, "date") if f.name == "reporting_date" else f for f in contract)
@@ -368,3 +369,71 @@ def table_copy(spark, sf):
     sinks.copy_table(spark, name, copy, scratch_path(spark, "copy"))
     sinks.drop_table(spark, name)
     return spark.read.table(copy)
+
+
+@query("""
+WITH t AS (SELECT o_orderkey AS order_id, o_orderdate AS date_time, o_totalprice AS total, CAST(o_custkey AS VARCHAR) AS order_postal FROM orders)
+SELECT order_id, date_time, order_postal, strftime(date_time, '%Y-%m') AS month,
+       CASE WHEN date_time >= DATE '1998-01-01' AND date_time < DATE '1998-03-01' THEN total + 1 ELSE total END AS total
+FROM t
+""")
+def table_transaction(spark, sf):
+    """Two months of transactions, delivered again as files, replace their partitions of a catalog table."""
+    orders = table(spark, sf, "orders")
+    months = F.col("date_time").between(F.lit("1998-01-01").cast("timestamp_ntz"), F.lit("1998-02-28 23:59:59").cast("timestamp_ntz"))
+    spelled = F.concat(F.date_format("date_time", "MMM d, yyyy h:mm:ss a"), F.lit(" PST"))
+    line = csv_line(F.col("order_id"), spelled.alias("d"), _price("total").alias("t"), F.concat("order_postal", F.lit(".0")).alias("p"))
+    head = [*PREAMBLE, "Order ID,Date / Time,Total,Order Postal"]
+    report = reports.family("transaction")
+    name = f"mf_{uuid.uuid4().hex}"
+    contract = projections.contract_of(_transactions(orders, 0))
+    contract = tuple(projections.Field(f.name, f.kind, coercion="postal") if f.name == "order_postal" else f for f in contract)
+    first = headed_files(_transactions(orders, 0), line, head, "transaction")
+    again = headed_files(_transactions(orders, 1).where(months), line, head, "transaction")
+    for path in (first, again):
+        reports.load_into(spark, report, path, name, "1999-01-02", "month", encoding="utf-8", contract=contract)
+    return spark.read.table(name)
+
+
+@query("""
+SELECT DISTINCT l_returnflag AS brand, l_linestatus AS share_percent, l_shipdate AS reporting_date FROM lineitem
+""")
+def table_brand_share(spark, sf):
+    """Share files loaded twice into a catalog table: the second load appends nothing."""
+    line = csv_line("l_returnflag", "l_linestatus", F.date_format("l_shipdate", "M/d/yyyy").alias("d"))
+    path = headed_files(table(spark, sf, "lineitem"), line, ['Brand=["X"],Week=[3]', "Brand,Share %,Reporting Date"], "share")
+    name = f"mf_{uuid.uuid4().hex}"
+    for _ in range(2):
+        reports.load_into(spark, reports.family("brand_share"), path, name, "1998-06-15", encoding="utf-8")
+    return spark.read.table(name)
+
+
+@query("""
+SELECT o_custkey AS campaign_id, o_orderdate AS start_date, o_orderdate AS end_date, o_totalprice AS cost FROM orders
+""")
+def table_campaign(spark, sf):
+    """Gzipped JSON arrays of ad campaigns through the report's own scan, loaded twice into a catalog table."""
+    orders = table(spark, sf, "orders")
+    rows = orders.select(
+        F.col("o_custkey").alias("campaignId"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("startDate"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("endDate"), F.col("o_totalprice").alias("cost"),
+    )
+    path = framed_files(rows, F.to_json(F.struct("*")), "[", "]", ",", "campaign", compression="gzip")
+    name = f"mf_{uuid.uuid4().hex}"
+    for _ in range(2):
+        reports.load_into(spark, reports.family("sponsored_products_campaign"), path, name, "1998-06-15")
+    return spark.read.table(name)
+
+
+@query("""
+SELECT MIN(strftime(o_orderdate, '%Y-%m-01')) AS date, o_custkey, o_orderstatus FROM orders GROUP BY o_custkey, o_orderstatus
+""")
+def table_dedup_partitioned(spark, sf):
+    """The same on a table partitioned by load month, which is also loaded again in between."""
+    day = F.concat(F.date_format("o_orderdate", "yyyy-MM"), F.lit("-01")).alias("date")
+    loads = table(spark, sf, "orders").select(day, "o_custkey", "o_orderstatus")
+    name = _table(spark, loads, "dedup", ["date"])
+    sinks.replace_table(loads.where("date < '1996-01-01'"), name)
+    sinks.append_rows(loads, name)
+    sinks.dedup_table(spark, name)
+    return spark.read.table(name)

@@ -293,3 +293,11 @@ def dedup_distinct(spark, sf):
 @query("SELECT COUNT(*) AS row_count FROM lineitem")
 def count_rows(spark, sf):
     return dedup.count_rows(table(spark, sf, "lineitem"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
+def insert_if_new_types(spark, sf):
+    """A batch whose whole numbers and days have other types than the table's is no new rows."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    batch = orders.select(F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("double"), F.to_date("o_orderdate").alias("o_orderdate"))
+    return orders.unionByName(load.new_rows(orders, batch).select(orders.columns).to(orders.schema))

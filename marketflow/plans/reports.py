@@ -8,12 +8,14 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketflow.functions import names, periods
+from marketflow.functions import coerce, names, periods
 from marketflow.operators import dedup, load, projections
 from marketflow.operators.projections import Contract, Field
 from marketflow.session import stage
-from marketflow.sources import delimited
+from marketflow.sinks import tables
+from marketflow.sources import delimited, documents
 
 
 @dataclass(frozen=True)
@@ -119,12 +121,16 @@ COVERED: dict[str, Callable[[Column], Column]] = {
 
 @dataclass(frozen=True)
 class Loaded:
-    """Outcome of a load: the table's new state and what was noticed on the way."""
+    """Outcome of a load: the table's new state and what was noticed on the way.
+
+    ``nulled`` counts, per date or time column, texts that read as no date.
+    """
 
     state: DataFrame | None
     loaded: bool
     dropped: tuple[str, ...] = ()
     contract: Contract = ()
+    nulled: tuple[tuple[str, int], ...] = ()
 
 
 def family(name: str) -> Report:
@@ -136,13 +142,26 @@ def family(name: str) -> Report:
     raise KeyError(name)
 
 
-def scan_report(spark: SparkSession, report: Report, paths, encoding: str = "auto") -> DataFrame:
-    """All files of a delimited report as one batch of text columns."""
+def scan_report(spark: SparkSession, report: Report, paths, encoding: str = "auto", schema: T.StructType | None = None) -> DataFrame:
+    """All files of a report as one batch; delimited ones have text columns only.
+
+    ``schema`` is that of the members of JSON reports. Without it the members of an
+    array are read by the types found in all files.
+    """
     if report.source == "tsv":
         return delimited.read_tsv(spark, paths)
     if report.source == "sheet":
         return delimited.read_sheet(spark, paths, report.skip_rows)
-    return delimited.read_delimited(spark, paths, report.skip_rows, encoding=encoding)
+    if report.source == "csv":
+        return delimited.read_delimited(spark, paths, report.skip_rows, encoding=encoding)
+    if report.source == "json_array":
+        found = schema or spark.read.json(paths, multiLine=True).schema
+        return documents.array_records(spark, paths, found)
+    if report.source == "search_records":
+        if schema is None:
+            raise ValueError(f"{report.name} needs the schema of its records")
+        return documents.named_records(documents.read_documents(spark, paths), documents.SEARCH_RECORDS, schema)
+    raise ValueError(f"{report.name}: unknown source {report.source!r}")
 
 
 def prepared(
@@ -176,15 +195,38 @@ def load_batch(
     columns are decided on all of it before its rows are used, so that its files are
     parsed only once.
     """
+    typed = _typed(report, raw, target, ref_date, contract, **stamps)
+    if not typed.loaded:
+        return Loaded(target, False)
+    return replace(typed, state=_disciplined(report, target, typed.state))
+
+
+def _typed(
+    report: Report, raw: DataFrame, target: DataFrame | None, ref_date: date | str, contract: Contract | None, **stamps
+) -> Loaded:
+    """The batch itself as the table wants it."""
     raw = stage(raw, "scan")
     if raw.isEmpty():
-        return Loaded(target, False)
+        return Loaded(None, False)
     batch = prepared(report, raw, ref_date, **stamps)
     if contract is None:
         contract = first_contract(report, batch) if target is None else _stored(report, target)
     typed = projections.conform(batch, contract)
     dropped = tuple(projections.dropped_columns(batch, contract))
-    return Loaded(_disciplined(report, target, typed), True, dropped, contract)
+    return Loaded(typed, True, dropped, contract, _nulled(batch, contract))
+
+
+def _nulled(batch: DataFrame, contract: Contract) -> tuple[tuple[str, int], ...]:
+    """Texts of date and time columns that are not empty and read as no date, by one aggregate."""
+    kinds = dict(batch.dtypes)
+    temporal = [f for f in contract if f.kind in ("date", "timestamp") and kinds.get(f.name) == "string"]
+    if not temporal:
+        return ()
+    lost = [
+        F.count_if((F.trim(f.name) != "") & coerce.to_text(f.name).isNotNull() & coerce.to_timestamp(f.name, f.formats).isNull()).alias(f.name)
+        for f in temporal
+    ]
+    return tuple((n, c) for n, c in batch.agg(*lost).first().asDict().items() if c)
 
 
 def _stored(report: Report, target: DataFrame) -> Contract:
@@ -210,13 +252,51 @@ def _disciplined(report: Report, target: DataFrame | None, batch: DataFrame) ->
 
 def load_report(
     spark: SparkSession, report: Report, paths, target: DataFrame | None, ref_date: date | str,
-    encoding: str = "auto", contract: Contract | None = None, **stamps,
+    encoding: str = "auto", contract: Contract | None = None, schema: T.StructType | None = None, **stamps,
 ) -> Loaded:
     """Files to the new state of the report's table."""
-    raw = scan_report(spark, report, paths, encoding)
+    raw = scan_report(spark, report, paths, encoding, schema)
     return load_batch(report, raw, target, ref_date, contract, **stamps)
 
 
+def load_into(
+    spark: SparkSession, report: Report, paths, name: str, ref_date: date | str, partition: str | None = None,
+    encoding: str = "auto", contract: Contract | None = None, schema: T.StructType | None = None, **stamps,
+) -> Loaded:
+    """Files into the catalog table ``name``, which a first load creates.
+
+    Only what the report's discipline touches is written: new rows are appended, keys and
+    months are replaced in the partitions of ``partition`` that the batch has. A column of
+    that name is stored as it is; ``month`` is derived from the report's date column.
+    """
+    raw = scan_report(spark, report, paths, encoding, schema)
+    known = spark.catalog.tableExists(name)
+    target = spark.read.table(name) if known else None
+    derived = partition == "month" and bool(report.date_column)
+    if known and derived:
+        target = target.drop(partition)
+    outcome = _typed(report, raw, target, ref_date, contract, **stamps)
+    if not outcome.loaded:
+        return Loaded(target, False)
+    batch = stage(outcome.state, "typed")
+    if derived:
+        batch = batch.withColumn(partition, F.coalesce(F.date_format(report.date_column, "yyyy-MM"), F.lit("none")))
+    if not known:
+        writer = _disciplined(report, None, batch).write
+        (writer.partitionBy(partition) if partition else writer).saveAsTable(name)
+    elif report.load == "insert_if_new":
+        tables.insert_new(batch, name)
+    elif report.load == "append_dedup":
+        tables.append_content(batch, name)
+    elif partition and report.load == "month_replace":
+        tables.replace_months(batch, name, report.date_column, partition)
+    elif partition and report.load == "keyed_replace":
+        tables.replace_keys_in_partitions(batch, name, report.keys, partition)
+    else:
+        tables.replace_table(_disciplined(report, spark.read.table(name), batch), name)
+    return replace(outcome, state=spark.read.table(name))
+
+
 def covered_periods(days: DataFrame, day: str) -> DataFrame:
     """For each day the spans every report covers, one row per report and span."""
 

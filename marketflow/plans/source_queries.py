@@ -12,7 +12,7 @@ from marketflow.operators.projections import Field
 from marketflow.plans.lookup_queries import search_records, search_schema, search_sql
 from marketflow.plans.registry import query, table
 from marketflow.plans.rendered import csv_line, framed_files, headed_files
-from marketflow.session import scratch_path
+from marketflow.session import scratch_path, stage
 from marketflow.sinks import tables as sinks
 from marketflow.sources import delimited, documents, lines
 
@@ -260,3 +260,18 @@ def paged_files(spark, sf):
     orders.withColumn("page", F.col("o_orderstatus")).write.partitionBy("page").option("header", True).csv(path)
     raw = delimited.read_delimited(spark, f"{path}/page=*")
     return projections.conform(raw, projections.contract(o_orderkey="long", o_custkey="long", o_orderstatus="string"))
+
+
+@query("SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS position FROM orders")
+def sheet_positions(spark, sf):
+    """Every row of a sheet that many tasks read has its position below the header."""
+    orders = table(spark, sf, "orders").select("o_orderkey").orderBy("o_orderkey").coalesce(1)
+    path = headed_files(orders, csv_line("o_orderkey"), ["o_orderkey"], "positions")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        sheet = delimited.row_positions(spark, path)
+        return stage(sheet.select(coerce.to_long("o_orderkey").alias("o_orderkey"), "position"), "positions")
+    finally:
+        spark.conf.set(key, before)

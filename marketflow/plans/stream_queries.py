@@ -111,3 +111,21 @@ def stream_codes(spark, sf):
     stream = ingest.arrivals(spark, _landed(requests, "requests"), requests.schema)
     ingest.answer_requests(stream, answers, answered, codes, "phone", "ts", "ts", 86400)
     return ingest.answers(spark, answers, requests.schema)
+
+
+@query("""
+SELECT event_id, ts, user_id, value + CASE WHEN ts < TIMESTAMP '2024-01-08 00:00:00' THEN 1 WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 2 ELSE 0 END AS value
+FROM events
+""")
+def stream_restated_twice(spark, sf):
+    """Two streams with checkpoints of their own restate different weeks of one store; keys are whole rows here."""
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
+    store, checkpoint = _places(spark, "restated")
+    ingest.seed(events, store)
+    weeks = (("2024-01-01", "2024-01-08", 1), ("2024-01-08", "2024-01-15", 2))
+    for start, end, more in weeks:
+        inside = (F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+        week = events.where(inside).withColumn("value", F.col("value") + more)
+        stream = ingest.arrivals(spark, _landed(week, "restated"), events.schema)
+        ingest.ingest_restated(stream, store, f"{checkpoint}-{more}")
+    return ingest.restated_rows(spark, store, events.schema, ["event_id"])

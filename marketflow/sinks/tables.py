@@ -9,19 +9,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.operators import dedup, load
 from marketflow.operators.projections import KINDS, Contract
-from marketflow.session import broadcast_if_small, stage
+from marketflow.session import broadcast_if_small, scratch_path, stage
 
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
-# Up to this many touched partitions are named in the query, more are joined.
-MAX_LISTED = 1000
+# Partitions named in one statement.
+_SPECS = 200
 
 
 def create_schema(spark: SparkSession, name: str) -> None:
@@ -55,34 +56,59 @@ def append_rows(df: DataFrame, name: str) -> None:
     _ordered(df, name).write.mode("append").insertInto(name)
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def replace_table(df: DataFrame, name: str) -> None:
-    """Make ``df``, which may read the table itself, its whole content."""
+    """Make ``df``, which may read the table itself, its whole content.
+
+    The catalog keeps a folder per partition, so the partitions of a partitioned table
+    are registered anew; files of the old ones can then never come back.
+    """
     spark = df.sparkSession
+    parts = _partition_columns(spark, name)
+    if parts:
+        present = spark.read.table(name).select(*parts).distinct().collect()
     # Details follow the columns, one of which might have that name too.
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").tail(1)[0]["data_type"]
     folder = f"{location.rstrip('/').rsplit('__v', 1)[0]}__v{uuid.uuid4().hex}"
-    _ordered(df, name).write.parquet(folder)
+    _ordered(df, name).write.partitionBy(*parts).parquet(folder)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    if parts:
+        specs = [", ".join(f"`{p}` = {_literal(row[p])}" for p in parts) for row in present]
+        for at in range(0, len(specs), _SPECS):
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs[at : at + _SPECS]))
+        spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def replace_partitions(df: DataFrame, name: str) -> None:
     """Replace exactly the partitions that occur in ``df``, which may read the table."""
     spark = df.sparkSession
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    parts = _partition_columns(spark, name)
     if not parts:
         raise ValueError(f"{name} is not partitioned")
-    staged = stage(_ordered(df, name), "partitions")
+    path = scratch_path(spark, "partitions")
+    rows = _ordered(df, name)
+    rows.write.parquet(path)
+    # Table inserts follow a setting of the session only; as a writer option it is not
+    # heeded, and the default mode would empty the partitions that are not in the rows.
+    # A session of its own keeps it from inserts that run at the same time.
+    apart = spark.newSession()
+    apart.conf.set(_OVERWRITE_MODE, "dynamic")
+    apart.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    apart.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
     # Few files per partition, and several tasks for a partition that is much larger.
-    even = staged.hint("rebalance", *parts)
-    # Table inserts follow this setting only; as a writer option it is not heeded, and
-    # the default mode would empty the partitions that are not in the rows.
-    mode = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        even.write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, mode)
+    even = apart.read.schema(rows.schema).parquet(path).hint("rebalance", *parts)
+    even.write.mode("overwrite").insertInto(name)
+    spark.catalog.refreshTable(name)
 
 
 def insert_new(batch: DataFrame, name: str, granularity: str = "day") -> None:
@@ -110,15 +136,11 @@ def load_partitions(
     """
     batch = stage(batch, "batch")
     target = batch.sparkSession.read.table(name)
-    touched = batch.select(partition).distinct()
-    values = [row[0] for row in touched.limit(MAX_LISTED + 1).collect()]
-    if len(values) <= MAX_LISTED:
-        # Listed values prune the table's partitions when the query is planned.
-        listed = F.col(partition).isin([v for v in values if v is not None])
-        affected = target.where(listed | F.col(partition).isNull() if None in values else listed)
-    else:
-        same = target[partition].eqNullSafe(touched[partition])
-        affected = target.join(broadcast_if_small(touched), same, "left_semi")
+    # The touched values, one per partition folder, prune the table's partitions when
+    # the query is planned.
+    values = [row[0] for row in batch.select(partition).distinct().collect()]
+    listed = F.col(partition).isin([v for v in values if v is not None])
+    affected = target.where(listed | F.col(partition).isNull() if None in values else listed)
     replace_partitions(discipline(affected, batch), name)
 
 
@@ -129,6 +151,36 @@ def replace_keys_in_partitions(batch: DataFrame, name: str, keys: Sequence[str],
     load_partitions(batch, name, partition, lambda target, rows: load.keyed_replace(target, rows, keys))
 
 
+def append_content(batch: DataFrame, name: str) -> None:
+    """Append what the table does not say yet; load stamps do not count as content.
+
+    Only if some content was loaded with a later stamp before is the table rewritten, as
+    the earliest stamp is kept.
+    """
+    spark = batch.sparkSession
+    target = spark.read.table(name)
+    fresh = stage(dedup.dedup_loads(_ordered(batch, name)), "content")
+    stamps = [c for c in dedup.LOAD_COLUMNS if c in fresh.columns]
+    content = [c for c in fresh.columns if c not in stamps]
+    new = load.new_rows(target.select(*content), fresh.select(*content), "exact")
+    same = reduce(lambda a, b: a & b, [fresh[c].eqNullSafe(new[c]) for c in content])
+    rows = stage(fresh.join(new, same, "left_semi"), "new")
+    known = fresh.select(F.xxhash64(*content).alias("_content"), *[F.col(c).alias(f"_{c}") for c in stamps])
+    earlier = F.lit(False)
+    for c in stamps:
+        earlier = earlier | (F.col(f"_{c}") < F.col(c))
+    late = target.withColumn("_content", F.xxhash64(*content)).join(broadcast_if_small(known), "_content").where(earlier)
+    if stamps and not late.isEmpty():
+        replace_table(dedup.dedup_loads(load.append(target, fresh)), name)
+    else:
+        append_rows(rows, name)
+
+
+def replace_months(batch: DataFrame, name: str, date_column: str, partition: str) -> None:
+    """Month replace on a table partitioned by a column that follows from the month."""
+    load_partitions(batch, name, partition, lambda target, rows: load.month_replace(target, rows, date_column))
+
+
 def dedup_table(spark: SparkSession, name: str) -> None:
     """Rewrite a table without repeated content."""
     replace_table(dedup.dedup_loads(spark.read.table(name)), name)

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.functions.names import header_names
-from marketflow.sources.lines import Paths, file_heads, numbered_lines
+from marketflow.session import broadcast_if_small
+from marketflow.sources.lines import Paths, heads_of, numbered_lines
 
 # Cell texts that mean "no value".
 NULL_WORDS = (
@@ -19,16 +20,13 @@ NULL_WORDS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# A load is for files of one report; more layouts than this are an input mistake.
-MAX_LAYOUTS = 200
-
 
 class MixedReports(ValueError):
-    """The paths of one load hold too many different header lines."""
+    """The paths of one load hold different header lines where one is needed."""
 
 
 class EmptyReport(ValueError):
-    """No file of the load has a header line."""
+    """A file of the load has lines, but no header line; or no file has any."""
 
 
 def read_delimited(
@@ -61,43 +59,54 @@ def read_delimited(
         source = {name: F.col("_metadata.file_path") for name in kept}
         return _with_nulls(rows.select("*", *[c.alias(name) for name, c in source.items()]))
 
-    heads = file_heads(spark, paths, encoding, skip_rows, skip_blank=True)
-    heads = heads.withColumn("head", F.ltrim("head", F.lit("\ufeff")))
-    layouts = [row["head"] for row in heads.select("head").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if not layouts:
-        raise EmptyReport(f"no header line in {paths}")
-    if len(layouts) > MAX_LAYOUTS:
-        raise MixedReports(f"more than {MAX_LAYOUTS} different header lines in {paths}")
-
-    lines = numbered_lines(spark, paths, heads=heads if len(layouts) > 1 else heads.drop("head"))
-    data = lines.where((F.col("line").isNull() | (F.col("line") > F.col("head_line"))) & (F.trim("value") != ""))
-    cells = {head: next(csv.reader([head], delimiter=sep)) for head in sorted(layouts)}
+    lines = numbered_lines(spark, paths, encoding)
+    heads = heads_of(lines, skip_rows, skip_blank=True).withColumn("head", F.ltrim("head", F.lit("\ufeff")))
+    layouts = _layouts(heads, paths)
+    data = lines.join(broadcast_if_small(heads), "path").where((F.col("line") > F.col("head_line")) & (F.trim("value") != ""))
+    cells = {head: next(csv.reader([head], delimiter=sep)) for head in layouts}
     if as_written:
         return _parsed(data, {head: _unnamed(row) for head, row in cells.items()}, sep, kept).na.fill("")
     return _with_nulls(_parsed(data, {head: header_names(row) for head, row in cells.items()}, sep, kept))
 
 
+def _layouts(heads: DataFrame, paths: Paths) -> list[str]:
+    """The different header lines; they make up the schema, so the driver has to see them."""
+    lacking = [row["path"] for row in heads.where("head is null").select("path").orderBy("path").limit(5).collect()]
+    if lacking:
+        raise EmptyReport(f"no header line in {', '.join(lacking)}")
+    layouts = sorted(row["head"] for row in heads.select("head").distinct().collect())
+    if not layouts:
+        raise EmptyReport(f"no lines in {paths}")
+    return layouts
+
+
 def _unnamed(cells: list[str]) -> list[str]:
     """Header cells as they are, except that blank ones get a position."""
     return [cell or f"Unnamed: {i}" for i, cell in enumerate(cells)]
 
 
 def _parsed(data: DataFrame, layouts: dict[str, list[str]], sep: str, kept: dict[str, Column]) -> DataFrame:
-    """Lines as columns: each line is parsed once, by the layout of its file."""
-
-    def cells(head: str, layout: list[str]) -> Column:
-        schema = ", ".join(f"c{i} string" for i in range(len(layout)))
-        parsed = F.from_csv(F.col("value"), schema, {"sep": sep, "escape": '"'})
-        return parsed if len(layouts) == 1 else F.when(F.col("head") == head, parsed)
-
-    def column(name: str) -> Column:
-        places = [(i, layout.index(name)) for i, layout in enumerate(layouts.values()) if name in layout]
-        return F.coalesce(*[F.col(f"_p{i}")[f"c{place}"] for i, place in places]).alias(name)
-
-    parsed = [cells(head, layout).alias(f"_p{i}") for i, (head, layout) in enumerate(layouts.items())]
-    rows = data.select(*parsed, *[c.alias(f"_kept_{name}") for name, c in kept.items()])
-    names = dict.fromkeys(name for layout in layouts.values() for name in layout)
-    return rows.select(*map(column, names), *[F.col(f"_kept_{name}").alias(name) for name in kept])
+    """Lines as columns. Each line is parsed once into cells; the layout of its file tells where a column's cell is."""
+    width = max(map(len, layouts.values()))
+    columns = list(dict.fromkeys(name for layout in layouts.values() for name in layout))
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    cells = F.from_csv(F.col("value"), schema, {"sep": sep, "escape": '"'})
+    rows = data.select(cells.alias("_cells"), "head", *[c.alias(f"_kept_{name}") for name, c in kept.items()])
+    extra = [F.col(f"_kept_{name}").alias(name) for name in kept]
+    if len(layouts) == 1:
+        (layout,) = layouts.values()
+        return rows.select(*[F.col(f"_cells.c{layout.index(name)}").alias(name) for name in columns], *extra)
+    places = [(head, [layout.index(name) if name in layout else -1 for name in columns]) for head, layout in layouts.items()]
+    known = data.sparkSession.createDataFrame(places, "head string, _places array<int>")
+    placed = rows.join(broadcast_if_small(known.withColumn("_places", F.array_join("_places", ","))), "head")
+    placed = placed.withColumn("_places", F.split("_places", ",").cast("array<int>"))
+    placed = placed.withColumn("_cells", F.array(*[F.col(f"_cells.c{i}") for i in range(width)]))
+
+    def cell(k: int) -> Column:
+        place = F.element_at("_places", k + 1)
+        return F.when(place >= 0, F.get("_cells", place)).alias(columns[k])
+
+    return placed.select(*[cell(k) for k in range(len(columns))], *extra)
 
 
 def _with_nulls(df: DataFrame) -> DataFrame:
@@ -120,16 +129,12 @@ def read_sheet(spark: SparkSession, paths: Paths, header_row: int = 0) -> DataFr
 
 
 def row_positions(spark: SparkSession, paths: Paths, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
-    """Data rows of small sheets with their 0-based position below the header.
-
-    Positions exist within a file's first split, which holds any exported sheet.
-    """
-    heads = file_heads(spark, paths, encoding)
-    lines = numbered_lines(spark, paths, heads=heads.drop("head", "head_line"))
-    layouts = heads.select("head").distinct().limit(2).collect()
+    """Data rows of sheets with their 0-based position below the header."""
+    lines = numbered_lines(spark, paths, encoding)
+    heads = heads_of(lines)
+    layouts = _layouts(heads, paths)
     if len(layouts) != 1:
         raise MixedReports(f"positions need files of one layout: {paths}")
-    layout = header_names(next(csv.reader([layouts[0]["head"]], delimiter=sep)))
-    body = lines.where("line > 0").withColumnRenamed("line", "position")
-    body = body.withColumn("position", F.col("position") - 1)
-    return _parsed(body, {"": layout}, sep, {"position": F.col("position")})
+    layout = header_names(next(csv.reader(layouts, delimiter=sep)))
+    body = lines.where("line > 0").select("value", (F.col("line") - 1).alias("position"), F.lit(layouts[0]).alias("head"))
+    return _parsed(body, {layouts[0]: layout}, sep, {"position": F.col("position")})

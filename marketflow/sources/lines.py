@@ -1,15 +1,15 @@
 """Text files as numbered, decoded lines.
 
-Spark splits large text files between tasks. The lines before a report's header
-lie in a file's first split, so only lines of first splits carry a number; every
-later line is known to be data.
+Spark splits large text files between tasks. Lines are counted per split, the counts
+of a file are summed up over its few splits, and each line is numbered from the count
+of the splits before its own: numbers are true throughout a file of any size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketflow.session import broadcast_if_small, stage
@@ -45,9 +45,14 @@ def _decoded(value: Column, encoding: Column) -> Column:
     )
 
 
-def _raw(spark: SparkSession, paths: Paths) -> DataFrame:
+def landed(spark: SparkSession, paths: Paths) -> list[str]:
+    """The files of ``paths`` as they are now. All scans of a load use one listing, so a file that lands meanwhile waits."""
+    return sorted(spark.read.text(paths).inputFiles())
+
+
+def _raw(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     _pin_splits(spark)
-    return spark.read.text(paths).select(
+    return spark.read.text(list(files)).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("id"),
@@ -55,72 +60,60 @@ def _raw(spark: SparkSession, paths: Paths) -> DataFrame:
     )
 
 
-def file_heads(
-    spark: SparkSession, paths: Paths, encoding: str = "auto", line: int = 0, skip_blank: bool = False
-) -> DataFrame:
-    """One staged row per file: first line id, encoding, and its ``line`` as ``head``.
-
-    With ``skip_blank`` the head is the first line from there on that is not blank;
-    ``head_line`` tells where it is. Files without such a line are left out.
+def _files(raw: DataFrame, encoding: str) -> tuple[DataFrame, DataFrame]:
+    """Staged rows per split (first id, lines before it) and per file (encoding).
 
     With ``encoding="auto"`` each file is read as UTF-8 if all of it is valid, else
-    as code page 1252, else, when it holds a byte that page lacks, as Latin-1. The
-    aggregates combine before their shuffle, so each task sends one row per file.
+    as code page 1252, else, when it holds a byte that page lacks, as Latin-1. One
+    scan; the aggregate combines before its shuffle, so each task sends one row per
+    split.
     """
-    raw = _raw(spark, paths)
-    value, in_first = F.col("value"), F.col("split") == 0
-    usable = (F.trim(value) != "") if skip_blank else F.lit(True)
-    first_id = F.when(in_first, F.col("id"))
-    head_id = F.when(in_first & usable, F.col("id"))
-    found = [F.min(first_id).alias("first_id"), F.min(head_id).alias("head_id"), F.min_by("value", head_id).alias("head")]
+    value = F.col("value")
+    found = [F.min("id").alias("first_id"), F.count("*").alias("lines")]
     if encoding == "auto":
         valid = F.is_valid_utf8("value")
         gaps = F.translate(_latin(value), _UNDEFINED, "") != _latin(value)
-        per_file = raw.groupBy("path").agg(
-            *found, F.bool_and(valid).alias("utf8"), F.bool_or(~valid & gaps).alias("undefined")
-        )
-        chosen = F.when(F.col("utf8"), "utf-8").when(~F.col("undefined"), "cp1252").otherwise("latin-1")
+        found += [F.bool_and(valid).alias("utf8"), F.bool_or(~valid & gaps).alias("undefined")]
+    counted = stage(raw.groupBy("path", "split").agg(*found), "splits")
+    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = counted.select("path", "split", "first_id", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
+    if encoding == "auto":
+        chosen = F.when(F.bool_and("utf8"), "utf-8").when(~F.bool_or("undefined"), "cp1252").otherwise("latin-1")
     else:
-        per_file = raw.where(in_first).groupBy("path").agg(*found)
         chosen = F.lit(encoding)
-    files = per_file.select("path", "first_id", chosen.alias("encoding"), "head_id", "head")
-    if line:
-        files = stage(files.drop("head_id", "head"), "files")
-        later = F.col("id") >= F.col("first_id") + line
-        lines = raw.where(in_first).join(broadcast_if_small(files), "path")
-        if not skip_blank:
-            later = F.col("id") == F.col("first_id") + line
-        files = lines.where(later & usable).groupBy("path", "first_id", "encoding").agg(
-            F.min("id").alias("head_id"), F.min_by("value", "id").alias("head")
-        )
-    heads = files.where(F.col("head_id").isNotNull()).select(
-        "path", "first_id", "encoding", (F.col("head_id") - F.col("first_id")).alias("head_line"),
-        _decoded(F.col("head"), F.col("encoding")).alias("head"),
-    )
-    return stage(heads, "heads")
-
-
-def numbered_lines(spark: SparkSession, paths: Paths, encoding: str = "auto", heads: DataFrame | None = None) -> DataFrame:
-    """Lines as ``path``, ``line`` (0-based, null past the first split) and ``value``.
-
-    ``heads`` may bring the result of :func:`file_heads`; what it says of the head is
-    kept.
+    return splits, counted.groupBy("path").agg(chosen.alias("encoding"))
+
+
+def _numbered(raw: DataFrame, splits: DataFrame) -> DataFrame:
+    joined = raw.join(broadcast_if_small(splits), ["path", "split"])
+    return joined.select("path", (F.col("id") - F.col("first_id") + F.col("before")).alias("line"), "value")
+
+
+def numbered_lines(spark: SparkSession, paths: Paths, encoding: str = "auto") -> DataFrame:
+    """Lines as ``path``, ``line`` (0-based), ``value`` and the file's ``encoding``, which ``value`` is decoded by."""
+    raw = _raw(spark, landed(spark, paths))
+    splits, files = _files(raw, encoding)
+    lines = _numbered(raw, splits).join(broadcast_if_small(files), "path")
+    return lines.withColumn("value", _decoded(F.col("value"), F.col("encoding")))
+
+
+def heads_of(lines: DataFrame, line: int = 0, skip_blank: bool = False) -> DataFrame:
+    """One staged row per file: ``head``, its ``line``, and ``head_line``, where that is.
+
+    With ``skip_blank`` the head is the first line from there on that is not blank.
+    Files without such a line have a null head.
     """
-    files = heads if heads is not None else file_heads(spark, paths, encoding).drop("head", "head_line")
-    kept = [c for c in files.columns if c.startswith("head")]
-    return _raw(spark, paths).join(broadcast_if_small(files), "path").select(
-        "path",
-        F.when(F.col("split") == 0, F.col("id") - F.col("first_id")).alias("line"),
-        _decoded(F.col("value"), F.col("encoding")).alias("value"),
-        *kept,
-    )
+    usable = (F.col("line") >= line) & (F.trim("value") != "") if skip_blank else F.col("line") == line
+    at = F.when(usable, F.col("line"))
+    return stage(lines.groupBy("path").agg(F.min(at).alias("head_line"), F.min_by("value", at).alias("head")), "heads")
 
 
 def file_labels(spark: SparkSession, paths: Paths, label: str, line: int = 0) -> DataFrame:
     """Per file the label in its metadata line: ``Brand=["X"]`` gives ``X``."""
     pattern = label + r'=\["?([^"\]]*)'
     found = F.regexp_extract("head", pattern, 1)
-    return file_heads(spark, paths, "utf-8", line).select("path", F.nullif(found, F.lit("")).alias("label"))
+    heads = heads_of(numbered_lines(spark, paths, "utf-8"), line)
+    return heads.where("head is not null").select("path", F.nullif(found, F.lit("")).alias("label"))
 
 
 def listed_files(spark: SparkSession, paths: Paths) -> DataFrame:

@@ -7,6 +7,8 @@ load exactly-once, also when executors or the driver are lost half way.
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +22,10 @@ from marketflow.session import broadcast_if_small
 # Store partitions: the stream that wrote them, and its micro-batch.
 _DELIVERY = "_delivery"
 _BATCH = "_batch"
-_MARKS = (_DELIVERY, _BATCH)
+# When a micro-batch was written, to order those of several streams.
+_WRITTEN = "_written"
+_MARKS = (_DELIVERY, _BATCH, _WRITTEN)
 SEED = "seed"
-STREAM = "stream"
 
 
 def arrivals(
@@ -60,19 +63,27 @@ def run_available(
     return query
 
 
+def delivery_name(checkpoint: str) -> str:
+    """The name of a stream in its store: streams with a checkpoint of their own number their micro-batches from zero."""
+    return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def seed(initial: DataFrame, path: str) -> None:
     """Start a store with what the table already holds (possibly nothing)."""
     _write(initial, path, -1, SEED)
 
 
-def _write(df: DataFrame, path: str, batch_id: int, delivery: str = STREAM, mode: str = "overwrite") -> None:
-    marked = df.withColumns({_DELIVERY: F.lit(delivery), _BATCH: F.lit(batch_id).cast("long")})
+def _write(df: DataFrame, path: str, batch_id: int, delivery: str, mode: str = "overwrite") -> None:
+    written = F.lit(0 if delivery == SEED else time.time_ns()).cast("long")
+    marked = df.withColumns({_WRITTEN: written, _DELIVERY: F.lit(delivery), _BATCH: F.lit(batch_id).cast("long")})
     writer = marked.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*_MARKS).parquet(path)
+    writer.partitionBy(_DELIVERY, _BATCH).parquet(path)
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    marks = [T.StructField(_DELIVERY, T.StringType()), T.StructField(_BATCH, T.LongType())]
+    marks = [
+        T.StructField(_WRITTEN, T.LongType()), T.StructField(_DELIVERY, T.StringType()), T.StructField(_BATCH, T.LongType()),
+    ]
     return spark.read.schema(T.StructType([*schema.fields, *marks])).parquet(path)
 
 
@@ -82,14 +93,16 @@ def rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def ingest_new(
-    stream: DataFrame, path: str, checkpoint: str, granularity: str = "day", delivery: str = STREAM
-) -> None:
+    stream: DataFrame, path: str, checkpoint: str, granularity: str = "day", delivery: str | None = None, every: str | None = None
+) -> StreamingQuery:
     """Insert-if-new for every micro-batch, against all earlier ones.
 
-    Streams with their own checkpoint number their micro-batches from zero, so each
-    needs its own ``delivery`` name.
+    Every stream writes under its own ``delivery`` name, by default that of its
+    checkpoint. With ``every`` the query goes on and is returned running; so it is for
+    all ingests.
     """
     schema = stream.schema
+    delivery = delivery or delivery_name(checkpoint)
     _write(stream.sparkSession.createDataFrame([], schema), path, -1, SEED, mode="ignore")
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -97,20 +110,23 @@ def ingest_new(
         earlier = _stored(batch.sparkSession, path, schema).where(~own).drop(*_MARKS)
         _write(load.new_rows(earlier, batch, granularity), path, batch_id, delivery)
 
-    run_available(stream, checkpoint, each)
+    return run_available(stream, checkpoint, each, every=every)
 
 
-def ingest_restated(stream: DataFrame, path: str, checkpoint: str) -> None:
+def ingest_restated(
+    stream: DataFrame, path: str, checkpoint: str, delivery: str | None = None, every: str | None = None
+) -> StreamingQuery:
     """Keyed replace by log: the store keeps every micro-batch, readers see the last.
 
     A restated key costs one small write now and nothing is rewritten; see
     :func:`restated_rows`.
     """
-    run_available(stream, checkpoint, lambda batch, i: _write(batch.dropDuplicates(), path, i))
+    name = delivery or delivery_name(checkpoint)
+    return run_available(stream, checkpoint, lambda batch, i: _write(batch.dropDuplicates(), path, i, name), every=every)
 
 
 def restated_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """Rows of the last micro-batch of each key; rows with a null key all stay.
+    """Rows of the last micro-batch of each key, of whichever stream; rows with a null key all stay.
 
     The last batch of every restated key is one small row, combined before the
     shuffle; date and time keys count by day.
@@ -121,19 +137,18 @@ def restated_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Se
     parts = {f"_k{i}": F.to_date(k) if kinds[k] in temporal else F.col(k) for i, k in enumerate(keys)}
     keyed = stored.select("*", *[c.alias(n) for n, c in parts.items()])
     restated = keyed.where(F.col(_DELIVERY) != SEED).dropna(subset=list(parts))
-    newest = restated.groupBy(*parts).agg(F.max(_BATCH).alias("_newest"))
+    newest = restated.groupBy(*parts).agg(F.max(_WRITTEN).alias("_newest"))
     joined = keyed.join(broadcast_if_small(newest), list(parts), "left")
-    current = F.col("_newest").isNull() | (F.col(_BATCH) == F.col("_newest"))
+    current = F.col("_newest").isNull() | (F.col(_WRITTEN) == F.col("_newest"))
     return joined.where(current).drop("_newest", *_MARKS, *parts)
 
 
-def ingest_upserts(stream: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str]) -> None:
+def ingest_upserts(
+    stream: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str], delivery: str | None = None, every: str | None = None
+) -> StreamingQuery:
     """Log upserts, reduced per micro-batch to the first and last row of each key."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        _write(_ends(batch, key, order), path, batch_id)
-
-    run_available(stream, checkpoint, each)
+    name = delivery or delivery_name(checkpoint)
+    return run_available(stream, checkpoint, lambda batch, i: _write(_ends(batch, key, order), path, i, name), every=every)
 
 
 def _ends(batch: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -160,7 +175,9 @@ def count_failures(
     failed: str = "failed",
     window: str = "1 hour",
     watermark: str = "1 hour",
-) -> None:
+    delivery: str | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
     """Failed tasks per event-time window and service, kept up to date in a store.
 
     State holds open windows only; rows later than the watermark are left out.
@@ -174,7 +191,8 @@ def count_failures(
         .agg(F.count("*").alias("failures"))
         .select(F.col("w.start").cast(stream.schema[at].dataType).alias("window_start"), F.col(service), "failures")
     )
-    run_available(counts, checkpoint, lambda batch, i: _write(batch, path, i), mode="update")
+    name = delivery or delivery_name(checkpoint)
+    return run_available(counts, checkpoint, lambda batch, i: _write(batch, path, i, name), mode="update", every=every)
 
 
 def failure_counts(spark: SparkSession, path: str, schema: T.StructType, at: str, service: str) -> DataFrame:
@@ -185,13 +203,16 @@ def failure_counts(spark: SparkSession, path: str, schema: T.StructType, at: str
         T.StructField("failures", T.LongType()),
     ]
     stored = _stored(spark, path, T.StructType(fields))
-    return stored.groupBy("window_start", service).agg(F.max_by("failures", _BATCH).alias("failures"))
+    return stored.groupBy("window_start", service).agg(F.max_by("failures", _WRITTEN).alias("failures"))
 
 
-def ingest_codes(stream: DataFrame, path: str, checkpoint: str) -> None:
+def ingest_codes(
+    stream: DataFrame, path: str, checkpoint: str, delivery: str | None = None, every: str | None = None
+) -> StreamingQuery:
     """Payload stream to the code log; rows without a code are left out."""
     coded = messages.message_codes(stream)
-    run_available(coded, checkpoint, lambda batch, i: _write(batch, path, i))
+    name = delivery or delivery_name(checkpoint)
+    return run_available(coded, checkpoint, lambda batch, i: _write(batch, path, i, name), every=every)
 
 
 def code_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -211,17 +232,26 @@ def answer_requests(
     created_at: str,
     seconds: int = lookups.CODE_SECONDS,
     order: Sequence[str] = (),
-) -> None:
+    delivery: str | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
     """Look up the newest code of each requested phone in the code log.
 
-    ``codes`` reads the log anew for every micro-batch, as it keeps growing.
+    ``codes`` reads the log anew for every micro-batch, as it keeps growing; of the log
+    only the span that the requests can see is read on.
     """
+    name = delivery or delivery_name(checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        found = lookups.latest_within(batch, codes(batch.sparkSession), key, at, created_at, ["otp_code"], seconds, order)
-        _write(found, path, batch_id)
-
-    run_available(stream, checkpoint, each)
+        bounds = batch.agg(F.min(at).cast("string").alias("low"), F.max(at).cast("string").alias("high")).first()
+        log = codes(batch.sparkSession)
+        # Literal bounds on the stored column are pushed into the scan.
+        low, high = (F.lit(bounds[b]).cast(log.schema[created_at].dataType) for b in ("low", "high"))
+        seen = log.where((F.col(created_at) > low - F.expr(f"interval {int(seconds)} seconds")) & (F.col(created_at) <= high))
+        found = lookups.latest_within(batch, seen, key, at, created_at, ["otp_code"], seconds, order)
+        _write(found, path, batch_id, name)
+
+    return run_available(stream, checkpoint, each, every=every)
 
 
 def answers(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

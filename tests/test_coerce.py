@@ -88,3 +88,15 @@ def test_periods_in_text(spark):
 @pytest.mark.parametrize("empty, expected", [([], True)])
 def test_all_of_nothing(spark, empty, expected):
     assert spark.range(1).select(coerce.all_of(empty)).first()[0] is expected
+
+
+def test_spelled_dates(spark):
+    import datetime as dt
+
+    texts = {
+        "06/15/2024": dt.datetime(2024, 6, 15), "15 Jun 2024": dt.datetime(2024, 6, 15), "Jan 5, 2025 12:03:15 AM PST": dt.datetime(2025, 1, 5, 0, 3, 15),
+        "Jan 5, 2025": dt.datetime(2025, 1, 5), "6/5/2024 13:02": dt.datetime(2024, 6, 5, 13, 2), "Jan 5, 2025 1:03:15 PM": dt.datetime(2025, 1, 5, 13, 3, 15),
+        "2025-01-05 10:00:00 UTC": dt.datetime(2025, 1, 5, 10), "soon": None, "13/45/2024": None, "": None, "May": None,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", coerce.to_timestamp("t").alias("at"))
+    assert {r["t"]: r["at"] for r in frame.collect()} == texts

@@ -156,3 +156,11 @@ def test_one_hot_key(spark):
         state = load.keyed_replace(target, batch, ["k"], limit)
         assert state.count() == 3000 - 1000 - 1 + 2
         assert load.new_rows(target, target, broadcast_limit=limit).count() == 0
+
+
+def test_types_that_differ_are_compared_by_value(spark):
+    target = spark.createDataFrame([(1, "x")], "n int, s string")
+    batch = spark.createDataFrame([(1, "x"), (2, "y")], "n bigint, s string")
+    assert rows(load.new_rows(target, batch)) == [(2, "y")]
+    with pytest.raises(TypeError):
+        load.new_rows(target, spark.createDataFrame([("1", "x")], "n string, s string"))

@@ -174,3 +174,12 @@ def test_listing(spark):
     assert filters.first_per_key(found, "key", "id").first()["id"] == 1
     ready = spark.createDataFrame([(1, "IN_PROGRESS"), (3, "DONE"), (2, "DONE")], "pos int, processingStatus string")
     assert filters.first_ready(ready, "pos").first()["pos"] == 2
+
+
+def test_null_keys_have_no_latest(spark):
+    import datetime as dt
+
+    requests = spark.createDataFrame([(None, dt.datetime(2025, 6, 1, 10)), ("p", dt.datetime(2025, 6, 1, 10))], "phone string, at timestamp_ntz")
+    told = spark.createDataFrame([(None, "1", dt.datetime(2025, 6, 1, 10)), ("p", "2", dt.datetime(2025, 6, 1, 10))], "phone string, code string, made timestamp_ntz")
+    got = lookups.latest_within(requests, told, "phone", "at", "made", ["code"], 60).collect()
+    assert {r["phone"]: r["latest_code"] for r in got} == {None: None, "p": "2"}

@@ -52,3 +52,14 @@ def test_competitors_sheet(spark, land):
 def test_colliding_headers_are_an_error(spark, land):
     with pytest.raises(NameCollision):
         reports.load_report(spark, reports.family("promotions"), land("a.csv", "a b,a-b\n1,2\n"), None, "2025-06-02")
+
+
+def test_unknown_sources_and_lost_dates(spark, land):
+    import dataclasses
+
+    with pytest.raises(ValueError):
+        reports.scan_report(spark, dataclasses.replace(reports.family("promotions"), source="odd"), "x")
+    path = land("a.csv", "p\n" * 7 + "Order ID,Date / Time,Total\n1,\"Jan 5, 2025 12:03:15 AM PST\",1\n2,whenever,1\n")
+    outcome = reports.load_report(spark, reports.family("transaction"), path, None, "2025-02-01")
+    assert outcome.nulled == (("date_time", 1),)
+    assert sorted(str(r["date_time"]) for r in outcome.state.collect()) == ["2025-01-05 00:03:15", "None"]

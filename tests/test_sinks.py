@@ -49,11 +49,9 @@ def test_insert_new_leaves_files_alone(spark, name):
     assert before <= set(spark.table(name).inputFiles())
 
 
-@pytest.mark.parametrize("listed", [0, 1000])
-def test_only_touched_partitions_are_written(spark, name, monkeypatch, listed):
+def test_only_touched_partitions_are_written(spark, name):
     tables.create_table(spark, name, (Field("sku"), Field("n", "long"), Field("day")), ["day"])
     tables.append_rows(frame(spark, ("d1", "a", 1), ("d2", "a", 2), ("d2", "b", 3)), name)
-    monkeypatch.setattr(tables, "MAX_LISTED", listed)
     untouched = {f for f in spark.table(name).inputFiles() if "day=d1" in f}
     tables.replace_keys_in_partitions(frame(spark, ("d2", "a", 9), ("d3", "c", 4)), name, ["day", "sku"], "day")
     assert rows(spark.table(name).select("day", "sku", "n")) == [("d1", "a", 1), ("d2", "a", 9), ("d2", "b", 3), ("d3", "c", 4)]
@@ -88,3 +86,37 @@ def test_measured_bytes(spark):
     df = spark.createDataFrame([("abcd",), (None,)], "x string")
     assert measured_bytes(df) == 2 * 24 + 4
     assert measured_bytes(df.limit(0)) == 0
+
+
+def test_partitioned_tables_are_rewritten_whole(spark, name):
+    data = [("d1", "a", 1), ("d2", "a", 1), ("d2", "b", 2), ("it's", "c", 3), (None, "d", 4)]
+    frame(spark, *data).write.partitionBy("day").saveAsTable(name)
+    tables.replace_table(frame(spark, ("d2", "x", 9), (None, "y", 8)), name)
+    assert rows(spark.table(name).select("day", "sku", "n")) == sorted([("d2", "x", 9), (None, "y", 8)], key=repr)
+    tables.append_rows(frame(spark, ("d2", "x", 9)), name)
+    tables.dedup_table(spark, name)
+    assert rows(spark.table(name).select("day", "sku", "n")) == sorted([("d2", "x", 9), (None, "y", 8)], key=repr)
+
+
+def test_two_threads_replace_partitions_of_two_tables(spark, name):
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = [f"{name}_{k}" for k in range(2)]
+    for n in names:
+        frame(spark, ("d1", "a", 1), ("d2", "b", 2)).write.partitionBy("day").saveAsTable(n)
+    with ThreadPoolExecutor(2) as pool:
+        for _ in range(3):
+            list(pool.map(lambda n: tables.replace_partitions(frame(spark, ("d2", "c", 3)), n), names))
+    for n in names:
+        assert rows(spark.table(n).select("day", "sku", "n")) == [("d1", "a", 1), ("d2", "c", 3)]
+        tables.drop_table(spark, n)
+
+
+def test_append_content(spark, name):
+    load = lambda *data: spark.createDataFrame(list(data), "sku string, date string")
+    load(("a", "2025-06-02")).write.saveAsTable(name)
+    files = set(spark.table(name).inputFiles())
+    tables.append_content(load(("a", "2025-06-03"), ("b", "2025-06-03"), ("b", "2025-06-04")), name)
+    assert rows(spark.table(name)) == [("a", "2025-06-02"), ("b", "2025-06-03")] and files <= set(spark.table(name).inputFiles())
+    tables.append_content(load(("a", "2025-06-01")), name)
+    assert rows(spark.table(name)) == [("a", "2025-06-01"), ("b", "2025-06-03")]

@@ -201,3 +201,37 @@ def test_tables(spark):
     assert tables.read_table(spark, "mf_source_test").count() == 3
     assert tables.column_names(spark, "mf_source_test") == ["id"]
     assert tables.stored_contract(spark, "mf_source_test")[0].kind == "long"
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_positions_of_a_sheet_in_many_splits(spark, land, small_splits):
+    path = land("k.csv", "sku,asin\n" + "".join(f"s{i},a{i}\n" for i in range(5000)))
+    got = delimited.row_positions(spark, path).collect()
+    assert len(got) == 5000 and all(r["sku"] == f"s{r['position']}" for r in got)
+
+
+def test_a_preamble_longer_than_a_split(spark, land, small_splits):
+    path = land("k.csv", "".join(f"note {i}\n" for i in range(3000)) + "sku,asin\ns,a\n")
+    assert rows(delimited.read_delimited(spark, path, skip_rows=3000)) == [("s", "a")]
+
+
+def test_a_file_without_header_is_named(spark, land, folder):
+    land("a.csv", "p1\np2\np3\nsku\nx\n")
+    land("short.csv", "p1\np2\n")
+    with pytest.raises(delimited.EmptyReport, match="short.csv"):
+        delimited.read_delimited(spark, folder, skip_rows=3)
+
+
+def test_many_layouts(spark, land, folder):
+    for k in range(300):
+        land(f"{k}.csv", f"sku,c{k}\ns{k},{k}\n" if k % 2 else f"c{k},sku\n{k},s{k}\n")
+    frame = delimited.read_delimited(spark, folder, encoding="utf-8")
+    assert len(frame.columns) == 301
+    got = {r["sku"]: [v for c, v in r.asDict().items() if c != "sku" and v is not None] for r in frame.collect()}
+    assert got == {f"s{k}": [str(k)] for k in range(300)}

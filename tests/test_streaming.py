@@ -38,7 +38,7 @@ def test_a_repeated_micro_batch_overwrites_itself(spark, folder):
     df = spark.createDataFrame([("a", at(1), 1)], SCHEMA)
     ingest.seed(df.limit(0), f"{folder}/store")
     for _ in range(2):
-        ingest._write(df, f"{folder}/store", 0)
+        ingest._write(df, f"{folder}/store", 0, "one")
     assert ingest.rows(spark, f"{folder}/store", df.schema).count() == 1
 
 
@@ -105,3 +105,22 @@ def test_a_running_query_is_returned(spark, folder):
         assert seen == [1] and query.isActive
     finally:
         query.stop()
+
+
+def test_streams_of_one_store_leave_each_other_alone(spark, folder):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    ingest.seed(spark.createDataFrame([("a", at(1), 1), ("b", at(1), 2)], SCHEMA), f"{folder}/store")
+    for k, batch in enumerate([[("a", at(1), 5)], [("b", at(1), 6)], [("a", at(1), 7)]]):
+        landed(spark, f"{folder}/in{k}", batch)
+        ingest.ingest_restated(ingest.arrivals(spark, f"{folder}/in{k}", schema), f"{folder}/store", f"{folder}/cp{k}")
+    assert rows(ingest.restated_rows(spark, f"{folder}/store", schema, ["k"])) == [("a", at(1), 7), ("b", at(1), 6)]
+
+
+def test_answers_read_only_the_span_of_the_requests(spark, folder):
+    log = spark.createDataFrame([("3", "1", at(1)), ("3", "2", at(9)), ("4", "3", at(9))], "phone string, otp_code string, made timestamp_ntz")
+    log.coalesce(1).write.parquet(f"{folder}/log")
+    spark.createDataFrame([("3", at(9)), (None, at(9))], "phone string, at timestamp_ntz").write.parquet(f"{folder}/in")
+    schema = spark.read.parquet(f"{folder}/in").schema
+    codes = lambda session: session.read.parquet(f"{folder}/log")
+    ingest.answer_requests(ingest.arrivals(spark, f"{folder}/in", schema), f"{folder}/store", f"{folder}/cp", codes, "phone", "at", "made")
+    assert rows(ingest.answers(spark, f"{folder}/store", schema)) == sorted([("3", at(9), "2"), (None, at(9), None)], key=repr)
