@@ -4,7 +4,8 @@ Texts are cut into pre-tokens. A chunk of documents numbers its distinct pre-tok
 document, the numbers in order: these are the positions. The distinct words of all chunks are shuffled by
 their hash, every distinct word is encoded once in its hash bucket, and the ids are joined back to the
 chunks, where the numbers put them into place. Words travel in one row per chunk and bucket, so that
-neither a frequent word nor its positions pile up anywhere. Decoding looks every id up in the table of
+neither a frequent word nor its positions pile up anywhere; the positions are written once, bucketed by
+chunk, and do not move again. Decoding looks every id up in the table of
 token bytes, whose size is that of the vocabulary.
 
 Defined cases: a null or empty text has no ids; strings of special tokens are ordinary text; rows that
@@ -15,6 +16,7 @@ ignored.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +31,12 @@ from pyspark.sql import functions as F
 
 from marketflow.llm.batches import slices
 from marketflow.llm.tokens import SPACE
-from marketflow.session import stage
+from marketflow.session import scratch_path
 
 # Buckets the distinct words are dealt into.
-BUCKETS = 256
+BUCKETS = 128
+# Characters of one chunk, or one document.
+CHUNK_CHARS = 6 << 20
 # Words a bucket remembers before it starts its table anew.
 TABLE_WORDS = 1_000_000
 
@@ -58,34 +62,56 @@ def _unpacked(raw: bytes, count: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, count).T).view("<u4").ravel()
 
 
-_CHUNK = "chunk long, bucket int, words array<string>, doc_ids array<long>, sizes array<int>, codes binary"
+class _Numbers(dict):
+    """Numbers words in the order they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def _joined(words: list[bytes]) -> bytes:
+    """Words as one compressed string, their sizes first."""
+    sizes = np.array([len(w) for w in words], "<u4").tobytes()
+    return zstandard.compress(len(words).to_bytes(4, "little") + sizes + b"".join(words), 3)
+
+
+def _split(raw: bytes) -> list[str]:
+    plain = zstandard.decompress(raw)
+    count = int.from_bytes(plain[:4], "little")
+    text = plain[4 + 4 * count :]
+    ends = np.cumsum(np.frombuffer(plain, "<u4", count, 4)).tolist()
+    return [text[a:b].decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+_CHUNK = "chunk long, bucket int, words binary, doc_ids array<long>, sizes array<int>, codes binary"
 
 
 def _chunks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
-    """Per chunk, one row per bucket with its distinct words, and one row with the documents."""
+    """Per chunk, one row per bucket with its distinct words in order, and one row with the documents."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = splitter(pattern).findall
         names = ["chunk", "bucket", "words", "doc_ids", "sizes", "codes"]
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
         chunk = TaskContext.get().partitionId() << 32
         for part in parts:
             rows, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts]):
-                found = [find(t) if t else [] for t in texts[a:b]]
-                flat = [w for one in found for w in one]
-                distinct = list(dict.fromkeys(flat))
-                dealt = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in distinct], np.int32)
-                order = np.argsort(dealt, kind="stable")
-                number = np.empty(len(order), np.int64)
-                number[order] = np.arange(len(order))
-                table = dict(zip(distinct, number.tolist(), strict=True))
-                codes = np.fromiter(map(table.__getitem__, flat), np.uint32, len(flat))
-                held, first = np.unique(dealt[order], return_index=True)
-                ordered = [distinct[k] for k in order.tolist()]
-                edges = [*first.tolist(), len(ordered)]
-                out = [(chunk, -1, None, rows[a:b], [len(one) for one in found], _packed(codes))]
-                out += [(chunk, k, ordered[i:j], None, None, None) for k, i, j in zip(held.tolist(), edges[:-1], edges[1:], strict=True)]
+            for a, b in slices([len(t or "") for t in texts], CHUNK_CHARS):
+                table, codes = _Numbers(), []
+                for text in texts[a:b]:
+                    found = find(text) if text else []
+                    codes.append(np.fromiter(map(table.__getitem__, found), np.uint32, len(found)))
+                words = [w.encode() for w in table]
+                dealt = [xxhash.xxh3_64_intdigest(w) % buckets for w in words]
+                order = sorted(range(len(words)), key=lambda k: (dealt[k], words[k]))
+                number = np.empty(len(order), np.uint32)
+                number[order] = np.arange(len(order), dtype=np.uint32)
+                out = [(chunk, -1, None, rows[a:b], [len(c) for c in codes], _packed(number[np.concatenate(codes)]))]
+                held, first = np.unique([dealt[k] for k in order], return_index=True)
+                edges = [*first.tolist(), len(order)]
+                for k, i, j in zip(held.tolist(), edges[:-1], edges[1:], strict=True):
+                    out.append((chunk, int(k), _joined([words[w] for w in order[i:j]]), None, None, None))
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
                 chunk += 1
 
@@ -115,7 +141,7 @@ def _encoded_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
                 if bucket != last or len(table) > TABLE_WORDS:
                     table, last = {}, bucket
                 mine = []
-                for word in found:
+                for word in _split(found):
                     got = table.get(word)
                     if got is None:
                         got = table[word] = encode(word)
@@ -164,13 +190,22 @@ def _reassembled(chunks: DataFrame) -> DataFrame:
 def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """doc_id and ``ids``, little-endian unsigned 32-bit integers, of every row."""
     plain = docs.select(F.col(id_column).cast("long"), F.col(text).cast("string"))
-    chunks = stage(_chunks(plain, pattern, buckets), "chunks")
+    chunks = _bucketed(_chunks(plain, pattern, buckets))
     words = _encoded_words(chunks.where("bucket >= 0"), path, pattern)
     by_chunk = words.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts", "ids")).alias("words"))
     bodies = chunks.where("bucket < 0").select("chunk", "doc_ids", "sizes", "codes")
     return _reassembled(bodies.join(by_chunk, "chunk", "left"))
 
 
+def _bucketed(chunks: DataFrame) -> DataFrame:
+    """``chunks`` written once, as a table in the shared folder that is bucketed by chunk, so that the join back moves only ids."""
+    spark = chunks.sparkSession
+    name = f"marketflow_chunks_{uuid.uuid4().hex}"
+    writer = chunks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
+    writer.option("path", scratch_path(spark, "chunks")).saveAsTable(name)
+    return spark.read.table(name)
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with the bytes its ids stand for."""
 
