@@ -29,13 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.batches import slices
+from marketflow.llm.batches import bound, slices
 from marketflow.llm.tokens import SPACE
 from marketflow.session import scratch_path
 
 # Buckets the distinct words are dealt into.
 BUCKETS = 128
-# Characters of one chunk, or one document.
+# Characters after which a chunk ends.
 CHUNK_CHARS = 6 << 20
 # Words a bucket remembers before it starts its table anew.
 TABLE_WORDS = 1_000_000
@@ -84,6 +84,14 @@ def _split(raw: bytes) -> list[str]:
     return [text[a:b].decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
+def _counted(counts: np.ndarray) -> bytes:
+    return len(counts).to_bytes(4, "little") + _packed(counts)
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    return _unpacked(raw[4:], int.from_bytes(raw[:4], "little")).astype(np.int64)
+
+
 _CHUNK = "chunk long, bucket int, words binary, doc_ids array<long>, sizes array<int>, codes binary"
 
 
@@ -95,25 +103,33 @@ def _chunks(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
         names = ["chunk", "bucket", "words", "doc_ids", "sizes", "codes"]
         kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
         chunk = TaskContext.get().partitionId() << 32
+        table, codes, rows, size = _Numbers(), [], [], 0
+
+        def made() -> pa.RecordBatch:
+            words = [w.encode() for w in table]
+            dealt = [xxhash.xxh3_64_intdigest(w) % buckets for w in words]
+            order = sorted(range(len(words)), key=lambda k: (dealt[k], words[k]))
+            number = np.empty(len(order), np.uint32)
+            number[order] = np.arange(len(order), dtype=np.uint32)
+            out = [(chunk, -1, None, rows, [len(c) for c in codes], _packed(number[np.concatenate(codes)]))]
+            held, first = np.unique([dealt[k] for k in order], return_index=True)
+            edges = [*first.tolist(), len(order)]
+            for k, i, j in zip(held.tolist(), edges[:-1], edges[1:], strict=True):
+                out.append((chunk, int(k), _joined([words[w] for w in order[i:j]]), None, None, None))
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
         for part in parts:
-            rows, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for a, b in slices([len(t or "") for t in texts], CHUNK_CHARS):
-                table, codes = _Numbers(), []
-                for text in texts[a:b]:
-                    found = find(text) if text else []
-                    codes.append(np.fromiter(map(table.__getitem__, found), np.uint32, len(found)))
-                words = [w.encode() for w in table]
-                dealt = [xxhash.xxh3_64_intdigest(w) % buckets for w in words]
-                order = sorted(range(len(words)), key=lambda k: (dealt[k], words[k]))
-                number = np.empty(len(order), np.uint32)
-                number[order] = np.arange(len(order), dtype=np.uint32)
-                out = [(chunk, -1, None, rows[a:b], [len(c) for c in codes], _packed(number[np.concatenate(codes)]))]
-                held, first = np.unique([dealt[k] for k in order], return_index=True)
-                edges = [*first.tolist(), len(order)]
-                for k, i, j in zip(held.tolist(), edges[:-1], edges[1:], strict=True):
-                    out.append((chunk, int(k), _joined([words[w] for w in order[i:j]]), None, None, None))
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-                chunk += 1
+            for row, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                found = find(text) if text else []
+                codes.append(np.fromiter(map(table.__getitem__, found), np.uint32, len(found)))
+                rows.append(row)
+                size += len(text or "")
+                if size >= CHUNK_CHARS:
+                    yield made()
+                    chunk += 1
+                    table, codes, rows, size = _Numbers(), [], [], 0
+        if rows:
+            yield made()
 
     return docs.mapInArrow(run, _CHUNK)
 
@@ -146,7 +162,7 @@ def _encoded_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
                     if got is None:
                         got = table[word] = encode(word)
                     mine.append(got)
-                counts.append(np.array([len(m) for m in mine], "<u4").tobytes())
+                counts.append(_counted(np.array([len(m) for m in mine], np.uint32)))
                 ids.append(_packed(np.array([i for m in mine for i in m], np.uint32)))
             columns = [part.column("chunk"), part.column("bucket"), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "counts", "ids"])
@@ -172,7 +188,7 @@ def _reassembled(chunks: DataFrame) -> DataFrame:
                 row = part.slice(at, 1)
                 doc_ids, sizes = (row.column(n).to_pylist()[0] for n in ("doc_ids", "sizes"))
                 words = sorted(row.column("words").to_pylist()[0] or [], key=lambda w: w["bucket"])
-                counts = [np.frombuffer(w["counts"], "<u4").astype(np.int64) for w in words]
+                counts = [_counts(w["counts"]) for w in words]
                 ids = [_unpacked(w["ids"], int(c.sum())) for w, c in zip(words, counts, strict=True)]
                 counts = np.concatenate(counts) if counts else np.empty(0, np.int64)
                 ids = np.concatenate(ids) if ids else np.empty(0, "<u4")
@@ -189,6 +205,7 @@ def _reassembled(chunks: DataFrame) -> DataFrame:
 
 def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """doc_id and ``ids``, little-endian unsigned 32-bit integers, of every row."""
+    bound(docs.sparkSession)
     plain = docs.select(F.col(id_column).cast("long"), F.col(text).cast("string"))
     chunks = _bucketed(_chunks(plain, pattern, buckets))
     words = _encoded_words(chunks.where("bucket >= 0"), path, pattern)

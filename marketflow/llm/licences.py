@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.batches import slices
+from marketflow.llm.batches import bound, slices
 
 # Wordings of licence notices.
 TEMPLATES = [
@@ -147,6 +147,7 @@ _HITS = "array<struct<line:long,licence:string,saving:double,missing:long,extra:
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_blocks (candidates) and ``hits`` of every row."""
+    bound(docs.sparkSession)
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     names = ["line", "licence", "saving", "missing", "extra"]
     kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()]

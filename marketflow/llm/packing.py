@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.batches import slices
+from marketflow.llm.batches import bound, slices
 from marketflow.llm.tokens import encoder
 from marketflow.session import stage
 
@@ -42,6 +42,7 @@ RANK_ROWS = 100_000
 
 def pieces(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): documents cut at multiples of ``capacity``."""
+    bound(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
 

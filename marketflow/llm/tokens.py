@@ -46,6 +46,8 @@ class TextEncoder:
         self.whole, self.plain = (
             tiktoken.Encoding("own", pat_str=p, mergeable_ranks=ranks, special_tokens={}) if self.ranked else None for p in (pattern, plain)
         )
+        if self.ranked:
+            self.slow = None
 
     def encode(self, text: str | None) -> bytes:
         if not text:

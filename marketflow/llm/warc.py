@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm.batches import slices
+from marketflow.llm.batches import bound, slices
 from marketflow.session import broadcast_if_small, scratch_path, stage
 
 MAGIC = b"\x1f\x8b\x08"
@@ -75,6 +75,7 @@ def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 def write(pages: DataFrame, path: str, least_bytes: int = 0, id_column: str = "page_id", url: str = "url", html: str = "html") -> None:
     """Write one record per row of ``pages`` below ``path``."""
+    bound(pages.sparkSession)
     body = F.coalesce(F.col(html).cast("string"), F.lit(""))
     plain = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("html"))
     plain = plain.withColumn("key", F.when(F.octet_length("html") >= least_bytes, F.sha2("html", 256)))

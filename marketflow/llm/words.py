@@ -13,7 +13,7 @@ _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 # Entries a task keeps in its word table; a full table is emptied and filled anew, so results do not depend on it.
-TABLE_ENTRIES = 1 << 18
+TABLE_ENTRIES = 1 << 16
 
 
 class _WordTable(dict):
