@@ -177,8 +177,12 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", a
     arrives = F.coalesce(default_split() if arrives is None else arrives, F.lit(True))
     keyed = stage(_keyed(plain, "id", "text"), "keyed")
     groups, apart = _groups(plain, keyed, arrives, "text")
-    mark, best, body = (batches.fresh(docs, n) for n in ("digest", "best", "body"))
-    size = broadcast_if_small(groups.select(F.col("digest").alias(mark), F.col("best").alias(best), *[F.col("body").alias(body)] * apart))
+    mark, best, less, body = (batches.fresh(docs, n) for n in ("digest", "best", "less", "body"))
+    # Flat columns, so that their size can be measured and texts stay where they are.
+    told = groups.select(
+        F.col("digest").alias(mark), F.col("best.id").alias(best), F.col("best.less").alias(less), *[F.col("body").alias(body)] * apart
+    )
+    size = broadcast_if_small(told)
     own = batches.fresh(docs, "own_digest")
     rows = docs.withColumn(own, digest(F.col(text)))
     on = F.col(own) == F.col(mark)
@@ -186,7 +190,7 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", a
         on = on & (F.col(body).isNull() | (F.col(body) == normalised(F.col(text))))
     joined = rows.join(size, on, "left")
     chars = F.coalesce(F.char_length(F.col(text)), F.lit(0)).cast("long")
-    front = F.col(f"{best}.id").eqNullSafe(F.col(id_column)) & (-F.col(f"{best}.less") == chars)
-    single = joined.where(F.col(best).isNull()).select(docs.columns)
-    shared = joined.where(F.col(best).isNotNull() & front).dropDuplicates([own, text]).select(docs.columns)
+    front = F.col(best).eqNullSafe(F.col(id_column)) & (-F.col(less) == chars)
+    single = joined.where(F.col(mark).isNull()).select(docs.columns)
+    shared = joined.where(F.col(mark).isNotNull() & front).dropDuplicates([own, text]).select(docs.columns)
     return single.unionByName(shared)
