@@ -3,7 +3,12 @@
 A block of text that repeats a licence compresses much better with that licence as a dictionary. Blocks
 with a word that licences use are compressed alone and with every template as a raw zstandard dictionary;
 templates are ranked by the bytes they save, and those that save enough are confirmed by their wording: the
-words of the template must be there, in order, but for a few.
+words of the template must be there, in order, but for a few. Words that tell licences apart (names, versions,
+NC, SA and ND, Lesser, Affero, clauses) must agree exactly: none may be missing, added, or follow directly.
+
+The templates are short licences in full and, of the long ones, the notices that their publishers ask for and
+SPDX tags; the full text of a long licence is not among them. The opening that the BSD licences share is
+reported as ``BSD`` where the clauses do not follow.
 
 Defined cases: a null or empty text has no blocks; equal savings are ranked by the fewer wording
 differences, then by name; rows that repeat are scanned each; an empty table gives an empty result; other
@@ -12,10 +17,11 @@ columns, whatever their names, are ignored.
 
 from __future__ import annotations
 
-import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -36,11 +42,111 @@ TEMPLATES = [
      "as published by the Free Software Foundation, either version 3 of the License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
      "following conditions are met"),
 ]
-_HINT = re.compile(r"licen[sc]|permission is hereby|redistribut|copyright|warrant|spdx", re.IGNORECASE)
-_WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
+_AS_IS = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+    "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+    "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution."
+)
+_BSD_THIRD = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission."
+)
+_BSD_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+    "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+    "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+TEMPLATES += [
+    ("MIT", f"{_GRANT}, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies "
+     f"or substantial portions of the Software. {_AS_IS}"),
+    ("MIT-0", f"{_GRANT}. {_AS_IS}"),
+    ("BSD-2-Clause", f"{_BSD} {_BSD_AS_IS}"),
+    ("BSD-3-Clause", f"{_BSD} {_BSD_THIRD} {_BSD_AS_IS}"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+     "the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE "
+     "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+     "redistribute it freely, subject to the following restrictions"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+     "sell, or distribute this software"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+     "this file, You can obtain one at"),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except "
+     "in compliance with the License."),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("Apache-1.1", "Apache Software License, Version 1.1"),
+    ("CC0-1.0", "This work is licensed under a Creative Commons Zero 1.0 Universal License."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+]
+for _name, _title, _versions in (
+    ("GPL", "GNU General Public License", ("2.0", "3.0")), ("LGPL", "GNU Lesser General Public License", ("2.1", "3.0")),
+    ("LGPL", "GNU Library General Public License", ("2.0",)), ("AGPL", "GNU Affero General Public License", ("3.0",)),
+):
+    for _version in _versions:
+        _short = _version.removesuffix(".0")
+        for _what in ("program", "library", "software"):
+            _gives = f"This {_what} is free software: you can redistribute it and/or modify it under the terms of the {_title}"
+            TEMPLATES += [
+                (f"{_name}-{_version}", f"{_gives} as published by the Free Software Foundation, either version {_short} of the License"),
+                (f"{_name}-{_version}", f"{_gives} version {_short} as published by the Free Software Foundation"),
+            ]
+        TEMPLATES += [
+            (f"{_name}-{_version}", f"This work is licensed under the {_title}, version {_short}."),
+            (f"{_name}-{_version}", f"Licensed under the {_title}, version {_short}."),
+            (f"{_name}-{_version}", f"Released under the {_title} v{_short}"),
+        ]
+_CC = {"NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+for _parts in ((), ("NC",), ("SA",), ("ND",), ("NC", "SA"), ("NC", "ND")):
+    for _version, _scope in (("4.0", "International"), ("3.0", "Unported")):
+        _code, _title = "-".join(["BY", *_parts]), "-".join(["Attribution", *(_CC[p] for p in _parts)])
+        TEMPLATES += [
+            (f"CC-{_code}-{_version}", f"This work is licensed under a Creative Commons {_title} {_version} {_scope} License."),
+            (f"CC-{_code}-{_version}", f"Creative Commons {_title} {_version} {_scope} License"),
+            (f"CC-{_code}-{_version}", f"Licensed under CC {_code} {_version}."),
+        ]
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in sorted({name for name, _ in TEMPLATES} - {"BSD"})]
+TEMPLATES = list(dict.fromkeys(TEMPLATES))
+_HINT = re.compile(r"licen[sc]|permission is|permission to use|redistribut|copyright|warrant|spdx|unencumbered", re.IGNORECASE)
+_WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
+# Words of one meaning that are written together or apart.
+_JOINED = [
+    (re.compile(pattern), word)
+    for pattern, word in (
+        (r"\bnon[\s\-]+commercial\b", "noncommercial"), (r"\bshare[\s\-]+alike\b", "sharealike"),
+        (r"\bno[\s\-]*deriv(?:ative)?s?(?:[\s\-]+works)?\b", "noderivatives"),
+    )
+]
+_NAMED_VERSION = re.compile(r"([a-z]{2,})v?(\d+(?:\.\d+)*)|v(\d+(?:\.\d+)*)")
+# Words that tell licences apart wherever they stand in a notice, and those that do so also right after it.
+_CHANGES = frozenset("noncommercial sharealike noderivatives nc sa nd lesser library affero clear patent advertising endorse promote".split())
+_NAMES = frozenset(
+    "apache mit bsd isc gnu gpl lgpl agpl mozilla mpl eclipse epl boost bsl zlib unlicense unencumbered cc cc0 creative commons attribution "
+    "zero neither clause documentation substantial".split()
+)
+# A number after one of these is a version.
+_BEFORE_VERSION = _CHANGES | _NAMES | frozenset("version versions v by license licence licenses identifier spdx".split())
 # Share of a template's words that must be there.
 WORDING = 0.85
 # Share that a template must save of the bytes that it, or the block if that is smaller, takes alone.
@@ -49,14 +155,71 @@ LEVEL = 19
 
 
 def _words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    text = text.lower()
+    for pattern, word in _JOINED:
+        text = pattern.sub(word, text)
+    found = []
+    for word in _WORD.findall(text):
+        named = _NAMED_VERSION.fullmatch(word)
+        if word == "cc0" or not named or named[1] and named[1] not in _NAMES:
+            parts = [word]
+        else:
+            parts = [named[1], named[2]] if named[1] else ["v", named[3]]
+        found += [re.sub(r"(?:\.0)+$", "", p) if p[0].isdigit() else p for p in parts]
+    return found
+
+
+def _telling(words: list[str]) -> np.ndarray:
+    """Which words tell licences apart: 1 inside a notice, 2 also right after it."""
+    out = np.zeros(len(words), np.int64)
+    for k, word in enumerate(words):
+        if word in _CHANGES:
+            out[k] = 2
+        elif word in _NAMES:
+            out[k] = 1
+        elif word[0].isdigit() and len(word) < 4 and (k and words[k - 1] in _BEFORE_VERSION or words[k + 1 : k + 2] == ["clause"]):
+            out[k] = 2
+    return out
+
+
+_ONE, _MISSING, _NEVER = 1 << 40, 1 << 20, 1 << 50
+
+
+def _places(wanted: list[str], telling: np.ndarray, found: list[str], told: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Where ``wanted`` stands in ``found``, best first and apart: (first word, word after the last, missing, extra words).
+
+    Every place has the fewest differences; costs are packed as total, missing words and distance of the start.
+    """
+    n = len(found)
+    codes = {w: k for k, w in enumerate(dict.fromkeys(wanted))}
+    here = np.array([codes.get(w, -1) for w in found], np.int64)
+    passed = np.r_[0, np.cumsum(np.where(told > 0, _NEVER, _ONE))]
+    cost = np.arange(n, -1, -1, dtype=np.int64)
+    for word, tells in zip(wanted, telling.tolist(), strict=True):
+        above = cost
+        cost = above + (_NEVER if tells else _ONE + _MISSING)
+        same = here == codes[word]
+        cost[1:] = np.where(same, np.minimum(cost[1:], above[:-1]), cost[1:])
+        cost = np.minimum.accumulate(cost - passed) + passed
+    total, missing = cost // _ONE, cost // _MISSING % (_ONE // _MISSING)
+    allowed = (1 - WORDING) * len(wanted)
+    good = np.flatnonzero((total < _NEVER // _ONE) & (missing <= allowed) & (total - missing <= allowed))
+    out: list[tuple[int, int, int, int]] = []
+    for end in sorted(good.tolist(), key=lambda j: (total[j], j)):
+        start = n - int(cost[end] % _MISSING)
+        if all(end <= a or start >= b for a, b, _, _ in out) and not (end < n and told[end] == 2):
+            out.append((start, end, int(missing[end]), int(total[end] - missing[end])))
+    return out
 
 
 class Scanner:
     """Compressors of all templates."""
 
     def __init__(self, templates: list[tuple[str, str]]):
-        self.templates = [(name, text, _words(text)) for name, text in templates]
+        self.templates = []
+        for name, text in templates:
+            wanted = _words(text)
+            self.templates.append((name, text, wanted, Counter(wanted), _telling(wanted)))
         settings = {"level": LEVEL, "write_content_size": False, "write_checksum": False}
         self.alone = zstandard.ZstdCompressor(**settings)
         self.given = [
@@ -67,36 +230,38 @@ class Scanner:
         self.sizes = [len(self.alone.compress(text.encode())) - self.frame for _, text in templates]
         self.longest = max(len(text) for _, text in templates)
 
-    def savings(self, block: str) -> list[float]:
-        """Bytes that each template saves, as a share of what the smaller of block and template takes alone."""
+    def saving(self, block: str, k: int) -> float:
+        """Bytes that template ``k`` saves, as a share of what the smaller of block and template takes alone."""
         raw = block.encode()
         alone = max(1, len(self.alone.compress(raw)) - self.frame)
-        saved = (alone - (len(c.compress(raw)) - self.frame) for c in self.given)
-        return [s / min(alone, size) for s, size in zip(saved, self.sizes, strict=True)]
+        return (alone - (len(self.given[k].compress(raw)) - self.frame)) / min(alone, self.sizes[k])
 
-    def differences(self, block: str, k: int) -> tuple[int, int]:
-        """Words of template ``k`` that the block lacks, and extra words between its first and last common word."""
-        wanted, found = self.templates[k][2], _words(block)
-        common = [m for m in difflib.SequenceMatcher(None, wanted, found, autojunk=False).get_matching_blocks() if m.size]
-        same = sum(m.size for m in common)
-        extra = common[-1].b + common[-1].size - common[0].b - same if common else 0
-        return len(wanted) - same, extra
+    def wordings(self, block: str) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
+        """Templates whose wording the block holds, with the places."""
+        found = _words(block)
+        told, there = _telling(found), set(found)
+        out = []
+        for k, (_, _, wanted, counts, telling) in enumerate(self.templates):
+            missing = sum(c for w, c in counts.items() if w not in there)
+            if missing > (1 - WORDING) * len(wanted) or any(t and w not in there for w, t in zip(wanted, telling.tolist(), strict=True)):
+                continue
+            places = _places(wanted, telling, found, told)
+            if places:
+                out.append((k, places))
+        return out
 
     def match(self, block: str) -> tuple[str, float, int, int] | None:
         """The licence of a block: name, saving, missing and extra words."""
-        ranked = sorted(enumerate(self.savings(block)), key=lambda s: -s[1])
         confirmed = []
-        for k, saving in ranked:
-            if saving < SAVING:
-                break
-            missing, extra = self.differences(block, k)
-            size = len(self.templates[k][2])
-            if missing <= (1 - WORDING) * size and extra <= (1 - WORDING) * size:
-                confirmed.append((-saving, missing + extra, self.templates[k][0], missing, extra))
+        for k, places in self.wordings(block):
+            saving = self.saving(block, k)
+            _, _, missing, extra = places[0]
+            if saving >= SAVING:
+                confirmed.append((-saving * self.sizes[k], missing + extra, self.templates[k][0], saving, missing, extra))
         if not confirmed:
             return None
-        saving, _, name, missing, extra = min(confirmed)
-        return name, -saving, missing, extra
+        _, _, name, saving, missing, extra = min(confirmed)
+        return name, saving, missing, extra
 
     def blocks(self, text: str) -> Iterator[tuple[int, str]]:
         """Candidate blocks with their first line: hinting lines, and paragraphs of several lines around them."""

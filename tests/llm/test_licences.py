@@ -37,3 +37,31 @@ def test_frame(spark, docs):
     got = sorted(((r["doc_id"], r["n_blocks"], [h["licence"] for h in r["hits"]]) for r in licences.scan(frame).collect()), key=repr)
     assert got == [(1, 1, ["MIT"]), (1, 1, ["MIT"]), (2, 0, []), (None, 0, [])]
     assert licences.scan(docs([])).count() == 0
+
+
+def test_neighbours_are_told_apart():
+    for title, name in (
+        ("Creative Commons Attribution-NonCommercial 4.0 International License", "CC-BY-NC-4.0"),
+        ("Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "CC-BY-NC-ND-4.0"),
+        ("Creative Commons Attribution-ShareAlike 3.0 Unported License", "CC-BY-SA-3.0"), ("Creative Commons Attribution 4.0 International License", "CC-BY-4.0"),
+    ):
+        assert names(f"This work is licensed under a {title}.") == [name]
+    assert names("Licensed under the Apache License, Version 1.1.") == ["Apache-1.1"]
+    assert names("Licensed under the Apache License, Version 3.0.") == []
+    for title, name in (
+        ("General Public License, version 2", "GPL-2.0"), ("Lesser General Public License, version 3", "LGPL-3.0"), ("General Public License, version 3.0", "GPL-3.0"),
+        ("Affero General Public License, version 3", "AGPL-3.0"), ("Lesser General Public License, version 2.1", "LGPL-2.1"), ("Free Documentation License, version 3", None),
+    ):
+        assert names(f"This work is licensed under the GNU {title}.") == ([name] if name else [])
+    assert names("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0"]
+    assert names("SPDX-License-Identifier: MIT-0") == ["MIT-0"] and names("SPDX-License-Identifier: MIT") == ["MIT"]
+    both = licences._BSD + " " + licences._BSD_AS_IS
+    assert names(both) == ["BSD-2-Clause"] and names(both.replace("THIS SOFTWARE", licences._BSD_THIRD + " THIS SOFTWARE", 1)) == ["BSD-3-Clause"]
+    assert names(TEMPLATES[8][1]) == ["BSD"]
+
+
+def test_every_template_is_its_own_licence():
+    for name, text in TEMPLATES:
+        assert names(text) == [name], text
+    full = {name: text for name, text in TEMPLATES if text.startswith(licences._GRANT)}
+    assert names(full["MIT-0"].replace("do so.", "do so. ")) == ["MIT-0"]
