@@ -1,8 +1,10 @@
 """Licence notices by conditional compression.
 
-A block of text that repeats a licence compresses much better with that licence as a dictionary. Blocks
-with a word that licences use are compressed alone and with every template as a raw zstandard dictionary;
-templates are ranked by the bytes they save, and those that save enough are confirmed by their wording: the
+A block of text that repeats a licence compresses much better with that licence as a dictionary. A block is
+the part of a text around words that licences use, as far as a template can reach in both directions, also
+over lines and paragraphs; blocks that overlap are one. The places of a block that hold the wording of a
+template are compressed alone and with the template as a raw zstandard dictionary, and are ranked by the bytes
+that it saves; of places that overlap the one that saves most counts, all others are reported. Wording means: the
 words of the template must be there, in order, but for a few. Words that tell licences apart (names, versions,
 NC, SA and ND, Lesser, Affero, clauses) must agree exactly: none may be missing, added, or follow directly.
 
@@ -10,7 +12,7 @@ The templates are short licences in full and, of the long ones, the notices that
 SPDX tags; the full text of a long licence is not among them. The opening that the BSD licences share is
 reported as ``BSD`` where the clauses do not follow.
 
-Defined cases: a null or empty text has no blocks; equal savings are ranked by the fewer wording
+Defined cases: a null or empty text has no blocks; the line of a notice is that of its first word; equal savings are ranked by the fewer wording
 differences, then by name; rows that repeat are scanned each; an empty table gives an empty result; other
 columns, whatever their names, are ignored.
 """
@@ -18,6 +20,7 @@ columns, whatever their names, are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -132,7 +135,7 @@ _HINT = re.compile(r"licen[sc]|permission is|permission to use|redistribut|copyr
 _WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 # Words of one meaning that are written together or apart.
 _JOINED = [
-    (re.compile(pattern), word)
+    (re.compile(pattern, re.IGNORECASE), word)
     for pattern, word in (
         (r"\bnon[\s\-]+commercial\b", "noncommercial"), (r"\bshare[\s\-]+alike\b", "sharealike"),
         (r"\bno[\s\-]*deriv(?:ative)?s?(?:[\s\-]+works)?\b", "noderivatives"),
@@ -152,21 +155,30 @@ WORDING = 0.85
 # Share that a template must save of the bytes that it, or the block if that is smaller, takes alone.
 SAVING = 0.35
 LEVEL = 19
-
-
-def _words(text: str) -> list[str]:
-    text = text.lower()
-    for pattern, word in _JOINED:
-        text = pattern.sub(word, text)
-    found = []
-    for word in _WORD.findall(text):
-        named = _NAMED_VERSION.fullmatch(word)
-        if word == "cc0" or not named or named[1] and named[1] not in _NAMES:
-            parts = [word]
-        else:
-            parts = [named[1], named[2]] if named[1] else ["v", named[3]]
-        found += [re.sub(r"(?:\.0)+$", "", p) if p[0].isdigit() else p for p in parts]
-    return found
+# Reaches of a template that one part of a long block spans.
+PART = 8
+
+
+def _words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """Words as they are compared, and where they stand."""
+    joined = sorted((m.start(), m.end(), word) for pattern, word in _JOINED for m in pattern.finditer(text))
+    found, spans = [], []
+    after = 0
+    for start, end, word in [*joined, (len(text), len(text), "")]:
+        for m in _WORD.finditer(text, after, start):
+            lower = m[0].lower()
+            named = _NAMED_VERSION.fullmatch(lower)
+            if lower == "cc0" or not named or named[1] and named[1] not in _NAMES:
+                parts = [lower]
+            else:
+                parts = [named[1], named[2]] if named[1] else ["v", named[3]]
+            found += [re.sub(r"(?:\.0)+$", "", p) if p[0].isdigit() else p for p in parts]
+            spans += [m.span()] * len(parts)
+        if word:
+            found.append(word)
+            spans.append((start, end))
+        after = end
+    return found, spans
 
 
 def _telling(words: list[str]) -> np.ndarray:
@@ -218,7 +230,7 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]]):
         self.templates = []
         for name, text in templates:
-            wanted = _words(text)
+            wanted, _ = _words(text)
             self.templates.append((name, text, wanted, Counter(wanted), _telling(wanted)))
         settings = {"level": LEVEL, "write_content_size": False, "write_checksum": False}
         self.alone = zstandard.ZstdCompressor(**settings)
@@ -228,83 +240,78 @@ class Scanner:
         ]
         self.frame = len(self.alone.compress(b""))
         self.sizes = [len(self.alone.compress(text.encode())) - self.frame for _, text in templates]
-        self.longest = max(len(text) for _, text in templates)
+        # Words that a place of a template can span.
+        self.reach = int((2 - WORDING) * max(len(t[2]) for t in self.templates)) + 1
 
-    def saving(self, block: str, k: int) -> float:
-        """Bytes that template ``k`` saves, as a share of what the smaller of block and template takes alone."""
-        raw = block.encode()
+    def saving(self, block: str, k: int) -> tuple[int, float]:
+        """Bytes that template ``k`` saves, and their share of what the smaller of block and template takes alone."""
+        raw = block.encode(errors="surrogatepass")
         alone = max(1, len(self.alone.compress(raw)) - self.frame)
-        return (alone - (len(self.given[k].compress(raw)) - self.frame)) / min(alone, self.sizes[k])
+        saved = alone - (len(self.given[k].compress(raw)) - self.frame)
+        return saved, saved / min(alone, self.sizes[k])
 
-    def wordings(self, block: str) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
-        """Templates whose wording the block holds, with the places."""
-        found = _words(block)
+    def wordings(self, found: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+        """Templates that a block's words hold: template, first word, word after the last, missing and extra words."""
         told, there = _telling(found), set(found)
-        out = []
         for k, (_, _, wanted, counts, telling) in enumerate(self.templates):
             missing = sum(c for w, c in counts.items() if w not in there)
             if missing > (1 - WORDING) * len(wanted) or any(t and w not in there for w, t in zip(wanted, telling.tolist(), strict=True)):
                 continue
-            places = _places(wanted, telling, found, told)
-            if places:
-                out.append((k, places))
-        return out
-
-    def match(self, block: str) -> tuple[str, float, int, int] | None:
-        """The licence of a block: name, saving, missing and extra words."""
-        confirmed = []
-        for k, places in self.wordings(block):
-            saving = self.saving(block, k)
-            _, _, missing, extra = places[0]
-            if saving >= SAVING:
-                confirmed.append((-saving * self.sizes[k], missing + extra, self.templates[k][0], saving, missing, extra))
-        if not confirmed:
-            return None
-        _, _, name, saving, missing, extra = min(confirmed)
-        return name, saving, missing, extra
-
-    def blocks(self, text: str) -> Iterator[tuple[int, str]]:
-        """Candidate blocks with their first line: hinting lines, and paragraphs of several lines around them."""
-        lines = text.split("\n")
-        hints = [n for n, line in enumerate(lines) if _HINT.search(line)]
-        done = -1
-        for n in hints:
-            if n <= done:
-                continue
-            yield from ((n, s) for s in self._sentences(lines[n]))
-            first = last = n
-            size = len(lines[n])
-            # A notice may be wrapped: follow the paragraph as far as a template can reach.
-            while last + 1 < len(lines) and lines[last + 1].strip() and size < 2 * self.longest:
-                last += 1
-                size += 1 + len(lines[last])
-            if last > first:
-                yield first, " ".join(lines[first : last + 1])
-
-    def _sentences(self, line: str) -> Iterator[str]:
-        """A short line as it is; of a long line the parts around its hints that a template can cover."""
-        if len(line) <= 2 * self.longest:
-            yield line
-            return
-        reach = self.longest
-        end = -1
-        for hint in _HINT.finditer(line):
-            if hint.start() < end:
-                continue
-            start, end = max(0, hint.start() - reach), hint.start() + reach
-            yield line[start:end]
+            for place in _places(wanted, telling, found, told):
+                yield k, *place
+
+    def matches(self, text: str, spans: list[tuple[int, int]], found: list[str]) -> list[tuple[int, int, str, float, int, int]]:
+        """Licences of a block's words, given with their places in ``text``: first and last character, name, saving, missing, extra."""
+        ranked = []
+        for k, first, end, missing, extra in self.wordings(found):
+            start, stop = spans[first][0], spans[end - 1][1]
+            saved, share = self.saving(text[start:stop], k)
+            if share >= SAVING:
+                ranked.append((-saved, missing + extra, self.templates[k][0], start, stop, share, missing, extra))
+        kept: list[tuple[int, int, str, float, int, int]] = []
+        for _, _, name, start, stop, share, missing, extra in sorted(ranked):
+            if all(stop <= a or start >= b for a, b, *_ in kept):
+                kept.append((start, stop, name, share, missing, extra))
+        return kept
+
+    def blocks(self, spans: list[tuple[int, int]], hints: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """Candidate blocks as ranges of words. Long ones are dealt into parts that share the reach of a template."""
+        ends = [b for _, b in spans]
+        windows: list[list[int]] = []
+        for a, b in hints:
+            first, last = bisect_right(ends, a), bisect_right(ends, b - 1)
+            start, stop = max(0, first - self.reach), min(len(spans), last + 1 + self.reach)
+            if windows and start <= windows[-1][1]:
+                windows[-1][1] = stop
+            else:
+                windows.append([start, stop])
+        for start, stop in windows:
+            while stop - start > PART * self.reach:
+                yield start, start + PART * self.reach
+                start += (PART - 1) * self.reach
+            yield start, stop
 
     def scan(self, text: str | None) -> tuple[int, list[tuple]]:
         """Number of candidate blocks, and (line, licence, saving, missing, extra) of the confirmed ones, one per line and licence."""
-        found: dict[tuple[int, str], tuple] = {}
-        count = 0
-        if text and _HINT.search(text):
-            for line, block in self.blocks(text):
-                count += 1
-                hit = self.match(block)
-                if hit and ((line, hit[0]) not in found or hit[1] > found[line, hit[0]][2]):
-                    found[line, hit[0]] = (line, *hit)
-        return count, sorted(found.values())
+        hints = [m.span() for m in _HINT.finditer(text)] if text else []
+        if not hints:
+            return 0, []
+        found, spans = _words(text)
+        count, hits = 0, []
+        for first, end in self.blocks(spans, hints):
+            count += 1
+            hits += self.matches(text, spans[first:end], found[first:end])
+        best: dict[tuple[int, str], tuple] = {}
+        placed: list[tuple[int, int]] = []
+        # Parts of a long block may both hold the edge of a notice; the longer reading counts.
+        for start, stop, name, *rest in sorted(set(hits), key=lambda h: (h[0] - h[1], h)):
+            if any(start < b and stop > a for a, b in placed):
+                continue
+            placed.append((start, stop))
+            line = text.count("\n", 0, start)
+            if (line, name) not in best or rest[0] > best[line, name][2]:
+                best[line, name] = (line, name, *rest)
+        return count, sorted(best.values())
 
 
 _HITS = "array<struct<line:long,licence:string,saving:double,missing:long,extra:long>>"

@@ -65,3 +65,22 @@ def test_every_template_is_its_own_licence():
         assert names(text) == [name], text
     full = {name: text for name, text in TEMPLATES if text.startswith(licences._GRANT)}
     assert names(full["MIT-0"].replace("do so.", "do so. ")) == ["MIT-0"]
+
+
+def test_all_licences_of_a_block_and_whole_notices():
+    assert names("Released under the MIT License. Docs: Licensed under the Apache License, Version 2.0.") == ["Apache-2.0", "MIT"]
+    authors = "Copyright (c) 2019 Ann Example, Bob Example, Carl Example and Dora Example of the example working group, all rights. "
+    assert names(prose(1, 300) + " " + authors + MIT + " " + prose(2, 300)) == ["MIT"]
+    gpl = TEMPLATES[5][1]
+    for k in range(8, len(gpl.split()), 6):
+        cut = gpl.split()
+        wrapped = " ".join(cut[:6]) + "\n" + " ".join(cut[6:k]) + "\n\n" + " ".join(cut[k:])
+        assert names("intro\n\n" + wrapped + "\n\nrest") == ["GPL-3.0"]
+        assert Scanner(TEMPLATES).scan("intro\n\n" + wrapped)[1][0][0] == 2
+    paragraphs = (licences._BSD + " " + licences._BSD_THIRD + " " + licences._BSD_AS_IS).replace(". ", ".\n\n")
+    assert names(prose(3, 200) + "\n\n" + paragraphs) == ["BSD-3-Clause"]
+
+
+def test_notices_of_long_blocks():
+    text = "\n".join(("warranty " * 300, "Released under the MIT License.")[k % 2] for k in range(40))
+    assert [h[:2] for h in Scanner(TEMPLATES).scan(text)[1]] == [(k, "MIT") for k in range(1, 40, 2)]
