@@ -1,10 +1,13 @@
 """Chats in reply order without quotations, by DataFrame functions only.
 
 Lines that begin with ``>`` are quoted, as deep as there are signs. A passage is a run of lines of one
-depth. The whole passage, its paragraphs and its lines are normalised (lower case, single spaces) and
-hashed, as are the own words of the messages of conversations that quote; a unit is linked with the latest earlier
-message of the conversation that holds it, and a passage with the message that holds most of its characters. A message
-replies to the original of its outermost linked passage; replies follow the message that began their
+depth. The whole passage, its paragraphs, its lines and its sentences are normalised (lower case, single spaces) and
+hashed, as are the own words of the messages of conversations that quote; so are the runs of up to five, and of 10, 20
+and 40 words of both, over line ends and without punctuation around words, since a quotation may begin and end anywhere in a line and be
+wrapped anew. Of a passage, these runs count from five words on, and whole lines, sentences and passages that are shorter. The
+latest earlier messages of the conversation that hold a unit are compared by the characters of the passage that
+all their units cover, then by those in whole lines, sentences and paragraphs; the passage is linked with the best, of
+equal ones the latest. A message replies to the original of its outermost linked passage; replies follow the message that began their
 thread. Lines that only say who wrote what follows are part of the quotation.
 
 Turns are dealt into ranges wherever messages of one conversation are ordered, so that no conversation is
@@ -24,8 +27,16 @@ from marketflow.session import broadcast_if_small, stage
 
 # Turns of one range.
 RANGE = 1024
+# Words of a run that links.
+RUN = 5
+# Longer runs find an original whose parts several later messages repeat.
+LONGER = (10, 20, 40)
 _LAST = (1 << 63) - 1
 _QUOTE = r"^[ \t]*(?:>[ \t]*)+"
+_SENTENCE = r"(?<=[.!?\u2026])\s+"
+_AROUND = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+_COVERS = "array<struct<place:bigint,chars:bigint>>"
+_UNITS = f"array<struct<unit:string,size:bigint,covers:{_COVERS}>>"
 _SAYS = r"(?i)\b(wrote|writes|schrieb|écrit|escribió)\s*:\s*$"
 
 
@@ -34,10 +45,58 @@ def normalised(text: Column) -> Column:
 
 
 def _units(text: Column) -> Column:
-    """Hashes of the whole, the paragraphs and the lines of a text, each with its size."""
-    parts = F.concat(F.array(text), F.split(text, r"\n[ \t]*\n"), F.split(text, "\n"))
+    """Hashes of the whole, the paragraphs, the lines and the sentences of a text, each with its size."""
+    parts = F.concat(F.array(text), F.split(text, r"\n[ \t]*\n"), F.split(text, "\n"), F.split(text, _SENTENCE))
     kept = F.filter(F.array_distinct(F.transform(parts, normalised)), lambda u: F.length(u) > 0)
-    return F.transform(kept, lambda u: F.struct(F.sha2(u, 256).alias("unit"), F.length(u).cast("long").alias("size")))
+    return F.transform(kept, lambda u: F.struct(F.sha2(u, 256).alias("unit"), F.length(u).cast("long").alias("size"), F.array().cast(_COVERS).alias("covers")))
+
+
+def _words(text: Column) -> Column:
+    """Words without the punctuation around them; what is only punctuation stays."""
+    bare = F.transform(F.split(normalised(text), " "), lambda w: F.coalesce(F.nullif(F.regexp_replace(w, _AROUND, ""), F.lit("")), w))
+    return F.filter(bare, lambda w: F.length(w) > 0)
+
+
+def _runs(words: Column, size: Column, before: Column) -> Column:
+    """Hashes of all runs of ``size`` words, each with the places (``before`` words precede) and lengths of its words."""
+
+    def run(k: Column) -> Column:
+        held = F.slice(words, k, size)
+        covers = F.transform(held, lambda w, i: F.struct((before + k + i).cast("long").alias("place"), F.length(w).cast("long").alias("chars")))
+        unit = F.sha2(F.concat(F.lit("run "), F.array_join(held, " ")), 256)
+        return F.struct(unit.alias("unit"), F.lit(0).cast("long").alias("size"), covers.alias("covers"))
+
+    starts = F.sequence(F.lit(1), F.size(words) - size + 1)
+    return F.when((size > 0) & (F.size(words) >= size), F.transform(starts, run)).otherwise(F.array().cast(_UNITS))
+
+
+def _short_runs(parts: Column) -> Column:
+    """For the words of the parts of a text, the runs that are a whole part of fewer than RUN words."""
+
+    def run(words: Column, k: Column) -> Column:
+        before = F.aggregate(F.slice(parts, 1, k), F.lit(0), lambda n, p: n + F.size(p))
+        return F.when(F.size(words) < RUN, _runs(words, F.size(words), before)).otherwise(F.array().cast(_UNITS))
+
+    return F.transform(parts, run)
+
+
+def _with_words(texts: DataFrame, text: str) -> DataFrame:
+    """``words`` of the text and of its lines and sentences, as columns, so that they are split once."""
+    parts = {"line_words": F.split(text, "\n"), "sentence_words": F.split(text, _SENTENCE)}
+    return texts.withColumn("words", _words(F.col(text))).withColumns({n: F.transform(p, _words) for n, p in parts.items()})
+
+
+def _quoted_runs() -> Column:
+    """Runs of RUN words and of the LONGER sizes, and the shorter lines and sentences (and the passage itself if it is shorter)."""
+    words = F.col("words")
+    runs = [_runs(words, F.least(F.lit(RUN), F.size(words)), F.lit(0)), *(_runs(words, F.lit(n), F.lit(0)) for n in LONGER)]
+    short = [F.flatten(_short_runs(F.col(parts))) for parts in ("line_words", "sentence_words")]
+    return F.array_distinct(F.concat(*runs, *short))
+
+
+def _own_runs() -> Column:
+    words = F.col("words")
+    return F.concat(*[F.transform(_runs(words, F.lit(n), F.lit(0)), lambda u: u["unit"]) for n in (*range(1, RUN + 1), *LONGER)])
 
 
 def _joined(order: str, line: str) -> Column:
@@ -72,17 +131,26 @@ def _latest_before(events: DataFrame) -> DataFrame:
 def _links(messages: DataFrame, passages: DataFrame) -> DataFrame:
     """Per passage with an original: row, run, depth, conv, at and the original's turn."""
     quoting = broadcast_if_small(passages.select("conv").distinct())
-    quoted = passages.select("conv", "at", "row", "run", "depth", F.explode(_units(F.col("passage"))).alias("u"))
-    quoted = quoted.select("conv", "at", "row", "run", "depth", "u.unit", "u.size", F.lit(None).cast("long").alias("said"))
-    own = messages.join(quoting, "conv", "left_semi").select("conv", "at", F.explode(_units(F.col("clean"))).alias("u"))
-    own = own.select("conv", "at", "u.unit").distinct()
+    units = F.concat(_units(F.col("passage")), _quoted_runs())
+    quoted = _with_words(passages, "passage").select("conv", "at", "row", "run", "depth", F.explode(units).alias("u"))
+    quoted = stage(quoted.select("conv", "at", "row", "run", "depth", "u.unit", "u.size", "u.covers"), "quoted")
+    texts = messages.join(quoting, "conv", "left_semi").withColumn("words", _words(F.col("clean")))
+    units = F.concat(F.transform(_units(F.col("clean")), lambda u: u["unit"]), _own_runs())
+    own = texts.select("conv", "at", F.explode(units).alias("unit"))
     # Only units that are quoted are ordered.
-    own = own.join(quoted.select("conv", "unit").distinct(), ["conv", "unit"], "left_semi")
-    events = quoted.unionByName(own.withColumn("said", F.col("at")), allowMissingColumns=True)
+    own = stage(own.join(quoted.select("conv", "unit").distinct(), ["conv", "unit"], "left_semi").distinct(), "own")
+    events = quoted.drop("size", "covers").withColumn("said", F.lit(None).cast("long"))
+    events = events.unionByName(own.withColumn("said", F.col("at")), allowMissingColumns=True)
     found = _latest_before(events).where("said is null and original is not null")
-    scores = found.groupBy("row", "run", "depth", "conv", "at", "original").agg(F.sum("size").alias("score"))
-    best = scores.groupBy("row", "run", "depth", "conv", "at").agg(F.max(F.struct("score", "original")).alias("best"))
-    return best.select("row", "run", "depth", "conv", "at", F.col("best.original").alias("original"))
+    key = ["row", "run", "depth", "conv", "at"]
+    possible = found.select(*key, "original").distinct()
+    # What each possible original holds of the passage, other messages aside.
+    held = quoted.join(possible, key).join(own.select("conv", F.col("at").alias("original"), "unit"), ["conv", "original", "unit"], "left_semi")
+    scores = held.groupBy(*key, "original").agg(F.flatten(F.collect_set("covers")).alias("covers"), F.sum("size").alias("whole"))
+    covered = F.aggregate(F.array_distinct("covers"), F.lit(0).cast("long"), lambda n, w: n + w["chars"])
+    scores = scores.withColumn("covered", covered)
+    best = scores.groupBy(*key).agg(F.max(F.struct("covered", "whole", "original")).alias("best"))
+    return best.select(*key, F.col("best.original").alias("original"))
 
 
 def _threads(replies: DataFrame) -> DataFrame:

@@ -37,3 +37,23 @@ def test_long_threads_and_whole_passages(spark):
 def test_empty_and_plain(spark):
     plan = chats.reply_ordered(spark.createDataFrame([], SCHEMA))
     assert plan.count() == 0 and "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_parts_of_lines_and_wrapped_quotations_link(spark):
+    long = "We should move the nightly load to the second cluster because the first one is full. Nobody objects so far, I think. Shall we?"
+    talk = [
+        (1, 0, "u", "Hello there. How are you?"), (1, 1, "a", "> How are you?\nFine."), (1, 2, "u", long), (1, 3, "a", "the second cluster because of cost"),
+        (1, 4, "u", "> load to the second cluster because\n> the first one is full. Nobody\n> objects so\n\nYes."), (1, 5, "a", "> Nobody\n> objects so far, I think.\n\nI do."),
+        (1, 6, "u", "> second cluster, because the moon shines\nno"), (1, 7, "u", "> there\nWhere?"), (1, 8, "u", "> Shall we? Fine.\nok"),
+    ]
+    found = {r["turn"]: r for r in chats.reply_ordered(spark.createDataFrame([(*t, "x", "x") for t in talk], SCHEMA)).collect()}
+    assert [found[k]["reply_to"] for k in range(9)] == [None, 0, None, None, 2, 2, None, 0, 2]
+    assert found[4]["message"] == "Yes." and found[5]["thread"] == 2
+
+
+def test_the_original_covers_most(spark):
+    words = [f"w{k}" for k in range(20)]
+    talk = [(1, 0, "u", "so " + " ".join(words) + " end"), (1, 1, "a", " ".join(words[:13])), (1, 2, "a", " ".join(words[7:]))]
+    talk.append((1, 3, "u", "> " + " ".join(words[:9]) + "\n> " + " ".join(words[9:]) + "\nyes"))
+    found = {r["turn"]: r["reply_to"] for r in chats.reply_ordered(spark.createDataFrame([(*t, "x", "x") for t in talk], SCHEMA)).collect()}
+    assert found[3] == 0
