@@ -16,8 +16,10 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(
 
 # Elements by what the page language says of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-HIDDEN = RAW | frozenset("head svg math object audio video canvas select datalist".split())
+RAW = frozenset("script style textarea title".split())
+# Scripts, styles and form fields; the rest is left to the reader of the tree.
+HIDDEN = RAW | frozenset("head select datalist".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table "
@@ -29,6 +31,8 @@ ENDS = {
     "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select",)), "body": (("head",), ("body",)),
 }
+# An open select or datalist ends at elements that cannot stand in it.
+_ENDS_FIELD = (BLOCK | frozenset("input textarea select datalist".split())) - frozenset("option optgroup hr legend".split())
 _ENDS_P = BLOCK - frozenset("body html caption tbody td tfoot th thead tr option optgroup legend".split())
 _P_FENCES = frozenset("button table td th caption html object".split())
 
@@ -72,6 +76,8 @@ def parse(page: str | None, mark: str | None = None) -> Page:
     while at < size:
         found = _TAG.search(page, at)
         start = found.start() if found else size
+        if start > at and tags[stack[-1]] == "head" and not page[at:start].isspace():
+            close(len(stack) - 1)
         if start > at and not hidden:
             pieces.append((block, stack[-1], html.unescape(page[at:start])))
         if not found:
@@ -89,6 +95,10 @@ def parse(page: str | None, mark: str | None = None) -> Page:
             else:
                 block += tag in BLOCK
             continue
+        if hidden and tag not in IN_HEAD:
+            end_open(("head",), ("template",))
+        if hidden and tag in _ENDS_FIELD:
+            end_open(("select", "datalist"), ())
         if tag in _ENDS_P:
             end_open(("p",), _P_FENCES)
         if tag in ENDS:

@@ -75,3 +75,22 @@ def test_all_pages_of_the_table(spark, model):
     for r in found:
         assert r["text"] == between(raw[r["page_id"]]) and r["n_chars"] == len(r["text"])
     assert extract.main_text(pages.limit(0), model).count() == 0
+
+
+def pieces_of(page):
+    return " ".join("".join(t for _, _, t in dom.parse(page).pieces).split())
+
+
+def test_only_scripts_styles_and_forms_are_hidden(model):
+    text = "The river carried the boats past the old mill, and the miller waved to the people on them until they were gone."
+    for page in (
+        f"<head><title>T</title><article><p>{text}</p></article>", f"<html><head><title>T</title><style>p{{}}</style><p>{text}",
+        f"<head><meta charset=utf-8><noscript><link rel=x></noscript>{text}", f"<head><title>T</title></head><body>{text}",
+        f"<article><form><select><option>a</form><p>{text}</p></article>", f"<article><select><option>a<option>b<p>{text}</p></article>",
+        f"<article><svg><path d=x><p>{text}</p></article>", f"<article><canvas><p>{text}</p></article>", f"<article><noscript><p>{text}</p></noscript></article>",
+        f"<article><object data=x><p>{text}</p></article>", f"<article><p>{text}</p><script>var a</script><textarea>b</textarea></article>",
+    ):
+        assert pieces_of(page) == text, page
+    assert pieces_of("<p>so <math><mi>a</mi></math> is") == "so a is"
+    page = f"<head><title>T</title><article><p>{text}</p><p>{text}</p></article>"
+    assert extract.texts([page], model)[0].split() == (text + " " + text).split()
