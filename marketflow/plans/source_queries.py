@@ -192,10 +192,11 @@ SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_retailprice AS V
 FROM part
 """)
 def xml_rows(spark, sf):
-    """XML files: rows below other elements, attributes, a text leaf, trailing text."""
+    """XML files: rows below other elements, attributes, a text leaf, rows in comments, CDATA, trailing text."""
     size = F.when(F.col("p_size") > 25, F.concat(F.lit('<box size=""'), _text("p_size"), F.lit('""/>'))).otherwise(F.lit("<box/>"))
     row = F.concat(
-        F.lit('<Node id=""'), _text("p_partkey"), F.lit('""><name>'), F.col("p_name"), F.lit('</name><price currency=""USD"">'),
+        F.lit('<!-- <Node id=""0""><name>old</name></Node> --><Node id=""'), _text("p_partkey"), F.lit('""><name><![CDATA['), F.col("p_name"),
+        F.lit(']]></name><note><![CDATA[</Node><Node>]]></note><price currency=""USD"">'),
         _text("p_retailprice"), F.lit("</price>"), size, F.lit("<sub><leaf>"), F.col("p_brand"), F.lit("</leaf></sub></Node>"),
     )
     path = framed_files(

@@ -102,23 +102,101 @@ def clean_xml(document: Column) -> Column:
     return F.when(root != "", F.coalesce(whole, text)).otherwise(text)
 
 
-def _elements(text: Column, tag: str) -> Column:
-    pattern = rf"(?s)<{tag}(?:\s[^>]*)?/>|<{tag}(?:\s[^>]*)?>.*?</{tag}>"
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _plain_xml(text: Column) -> Column:
+    """Without comments and processing instructions, CDATA sections as escaped text; then ``<`` only begins tags."""
+    bare = F.regexp_replace(text, r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->|<\?.*?\?>", "$1")
+    parts = F.split(bare, r"<!\[CDATA\[", -1)
+
+    def escaped(part: Column, k: Column) -> Column:
+        inside = F.substring_index(part, "]]>", 1)
+        safe = F.replace(F.replace(F.replace(inside, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        return F.when(k == 0, part).otherwise(F.concat(safe, F.substr(part, F.length(inside) + 4)))
+
+    return F.array_join(F.transform(parts, escaped), "")
+
+
+_TAG_END = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+_RANGES = "array<struct<start:int,end:int>>"
+
+
+def _tokens(segments: Column, root: Column, tag: str) -> Column:
+    """Opening (1), closing (-1) and empty (0) tags by segment, but for the root's opening one. ``tag`` is a pattern."""
+
+    def token(segment: Column, k: Column) -> Column:
+        empty = F.regexp_extract(segment, rf"^{tag}(?=[\s/>]){_TAG_END}", 0).endswith("/>")
+        opens = segment.rlike(rf"^{tag}[\s/>]") & (k != root)
+        step = F.when(opens & empty, 0).when(opens, 1).when(segment.rlike(rf"^/{tag}\s*>"), -1)
+        return F.struct(k.alias("at"), step.alias("step"))
+
+    return F.filter(F.transform(segments, token), lambda t: t["step"].isNotNull())
+
+
+def _nested_ranges(tokens: Column, outermost: bool) -> Column:
+    """First and last segment of every element, or only of the outermost ones, in document order."""
+    start = F.struct(F.array().cast("array<int>").alias("open"), F.array().cast(_RANGES).alias("found"))
+
+    def step(state: Column, t: Column) -> Column:
+        opened, found = state["open"], state["found"]
+        begin = F.when(t["step"] == 0, t["at"]).otherwise(F.element_at(opened, -1))
+        left = F.when(t["step"] == 0, opened).otherwise(F.slice(opened, 1, F.greatest(F.size(opened) - 1, F.lit(0))))
+        counts = (t["step"] == 0) | (F.size(opened) > 0)
+        if outermost:
+            counts = counts & (F.size(left) == 0)
+        ended = F.when(counts, F.array_append(found, F.struct(begin.alias("start"), t["at"].alias("end")))).otherwise(found)
+        grown = F.struct(F.array_append(opened, t["at"]).alias("open"), found.alias("found"))
+        return F.when(t["step"] == 1, grown).otherwise(F.struct(left.alias("open"), ended.alias("found")))
+
+    return F.array_sort(F.aggregate(tokens, start, step)["found"])
+
+
+def _ranges(tokens: Column) -> Column:
+    """First and last segment of every element of one tag. Elements inside each other need a stack, which takes longer."""
+    pairs = F.transform(tokens, lambda t, k: F.struct(t.alias("this"), F.get(tokens, k + 1).alias("next")))
+    nested = F.exists(pairs, lambda p: (p["this"]["step"] == 1) & F.coalesce(p["next"]["step"] >= 0, F.lit(False)))
+    opens = F.filter(pairs, lambda p: p["this"]["step"] >= 0)
+    flat = F.transform(
+        opens,
+        lambda p: F.struct(p["this"]["at"].alias("start"), F.when(p["this"]["step"] == 0, p["this"]["at"]).otherwise(p["next"]["at"]).alias("end")),
+    )
+    return F.when(nested, _nested_ranges(tokens, False)).otherwise(F.filter(flat, lambda r: r["end"].isNotNull()))
+
+
+def _element(segments: Column, part: Column, leaf: bool = False) -> Column:
+    """The element of a range of segments; with ``leaf`` a bare text element is put inside another one."""
+    first = F.get(segments, part["start"])
+    whole = F.array_join(F.slice(segments, part["start"] + 1, part["end"] - part["start"]), "<")
+    closed = F.concat(F.lit("<"), whole, F.lit("<"), F.regexp_extract(F.get(segments, part["end"]), "^[^>]*>", 0))
+    element = F.when(part["start"] == part["end"], F.concat(F.lit("<"), F.regexp_extract(first, f"^{_TAG_END}", 0))).otherwise(closed)
+    if not leaf:
+        return element
+    text = F.trim(F.regexp_replace(first, f"^{_TAG_END}", ""), F.lit(" \t\r\n"))
+    return F.when((part["end"] == part["start"] + 1) & (text != ""), F.concat(F.lit("<row>"), element, F.lit("</row>"))).otherwise(element)
 
 
 def xml_records(documents: DataFrame, schema: T.StructType, tags: Sequence[str] = ROW_TAGS) -> DataFrame:
-    """Rows of XML documents: the elements of the first of ``tags`` that occurs.
+    """Rows of XML documents: the elements of the first of ``tags`` that occurs below the root.
 
-    ``schema`` describes one row element, attributes with a leading underscore and
-    text beside attributes as ``_VALUE``. Row elements may lie at any depth, but not
-    inside each other.
+    Without any, the children of the root are the rows, and without children the root is. ``schema``
+    describes one row element, attributes with a leading underscore and text beside attributes as
+    ``_VALUE``; a child of the root that is only text is a row with its own name. Row elements may lie at
+    any depth, also inside each other; each is a row. Comments hold no rows, and CDATA sections are text.
     """
-    text = documents.select(clean_xml(F.col("document")).alias("text"))
-    rows = F.coalesce(*[F.nullif(_elements(F.col("text"), tag), F.array().cast("array<string>")) for tag in tags])
-    parsed = text.select(F.explode(rows).alias("element")).select(
-        F.from_xml("element", schema.simpleString()).alias("row")
-    )
+    text = documents.select(_plain_xml(clean_xml(F.col("document"))).alias("text"))
+    split = text.select(F.split("text", "<", -1).alias("segments"))
+    opens = F.transform("segments", lambda s: s.rlike("^[^/!?\\s]")).alias("opens")
+    # The first segment is what precedes the first tag.
+    named = split.select("segments", opens)
+    root = F.array_position(F.slice("opens", 2, F.greatest(F.size("opens") - 1, F.lit(0))), True).cast("int")
+    named = named.select("segments", root.alias("root")).where("root > 0")
+    token_columns = [f"tokens_{k}" for k in range(len(tags))]
+    found = named.withColumns({n: _tokens(F.col("segments"), F.col("root"), tag) for n, tag in zip(token_columns, tags, strict=True)})
+    segments = F.col("segments")
+    chosen = [F.transform(F.nullif(_ranges(F.col(n)), F.array().cast(_RANGES)), lambda r: _element(segments, r)) for n in token_columns]
+    every = F.filter(_tokens(segments, F.col("root"), r"[^/!?\s>]+?"), lambda t: t["at"] > F.col("root"))
+    children = F.transform(F.nullif(_nested_ranges(every, True), F.array().cast(_RANGES)), lambda r: _element(segments, r, leaf=True))
+    whole = F.array(F.concat(F.lit("<"), F.array_join(F.slice("segments", F.col("root") + 1, F.size("segments")), "<")))
+    rows = F.coalesce(*chosen, children, whole)
+    parsed = found.select(F.explode(rows).alias("element")).select(F.from_xml("element", schema.simpleString()).alias("row"))
     columns = xml_row(schema, F.col("row"))
     return parsed.select(*[c.alias(name) for name, c in columns.items()])
 

@@ -235,3 +235,15 @@ def test_many_layouts(spark, land, folder):
     assert len(frame.columns) == 301
     got = {r["sku"]: [v for c, v in r.asDict().items() if c != "sku" and v is not None] for r in frame.collect()}
     assert got == {f"s{k}": [str(k)] for k in range(300)}
+
+
+def test_xml_comments_cdata_nested_rows_and_children(spark):
+    schema = T.StructType.fromDDL("_id string, a string")
+    text = '<R><!-- <Row id="0"><a>no</a></Row> --><Row id="1"><a><![CDATA[<Row id="9"> & <!-- x -->]]></a></Row><Row id="2"><a>2</a></Row><Row id="3"/></R>'
+    assert rows(documents.xml_records(docs(spark, text), schema)) == [("1", '<Row id="9"> & <!-- x -->'), ("2", "2"), ("3", None)]
+    nested = '<R><Row id="1"><a>1</a><Row id="2"><a>2</a></Row><Row id="3"/></Row><Row id="4"><a>4</a></Row></R>'
+    assert [r[0] for r in rows(documents.xml_records(docs(spark, nested), schema))] == ["1", "2", "3", "4"]
+    plain = T.StructType.fromDDL("_id string, a string, b string")
+    assert rows(documents.xml_records(docs(spark, '<R><x id="1"><a>1</a></x><y id="2"><a>2</a><b>3</b></y></R>'), plain)) == [("1", "1", None), ("2", "2", "3")]
+    assert rows(documents.xml_records(docs(spark, "<R><a>1</a><b>2</b></R>"), plain)) == [(None, "1", None), (None, None, "2")]
+    assert rows(documents.xml_records(docs(spark, '<Row id="5"/>', '<Row><Row id="6"><a>7</a></Row></Row>'), schema)) == [("5", None), ("6", "7")]
