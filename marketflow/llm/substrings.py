@@ -1,12 +1,12 @@
-"""Duplicate passages by relative Lempel-Ziv parsing against the corpus itself.
+"""Duplicate passages by a hash join on minimizer anchors.
 
-The reference is every document, cut into blocks: a block is a run of windows (50 consecutive words) that
+Every document is cut into blocks: a block is a run of windows (50 consecutive words) that
 share one anchor, the smallest 8-word hash inside the window. Equal passages are therefore cut at the
-same places in every document, and a block is indexed by its anchor. Documents are factored against all
-indexed blocks: an anchor whose block is the same wherever it occurs is copied as a whole from the
-smallest document that has it. Blocks that differ under one anchor hold a factor boundary; their windows
-are indexed one by one, so that a factor ends exactly where the copied words end. Each factor covers at
-least one window, and the words it covers are removed from every document but the smallest.
+same places in every document, and blocks are joined by their anchor: an anchor whose block is the same
+wherever it occurs is taken as a whole from the smallest document that has it. The windows of blocks that
+differ under one anchor are joined one by one by their hash, so that a passage ends exactly where the
+repeated words end. The words of repeated windows are removed from every document but the smallest. This
+replaces relative Lempel-Ziv parsing: no factor is searched or extended.
 
 Only anchors (about one in 22 words) are shuffled for all documents; windows only around boundaries, and
 texts only of documents with a shared anchor.
