@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import bpe, chats, exact, extract, licences, near, packing, quality, substrings, warc
+from marketflow.llm import (
+    bpe,
+    chats,
+    exact,
+    extract,
+    language,
+    licences,
+    near,
+    packing,
+    quality,
+    spelling,
+    substrings,
+    turn_trie,
+    warc,
+)
 from marketflow.llm.labelled_pages import labelled_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +134,89 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op9_reply_ordered_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+def _crc32(data: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a list of byte values, as a bigint."""
+    step = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    # The register is shifted by eight bits for each byte; the byte goes into its low bits first.
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {data}), lambda a, b: {step}), 4294967295)"
+
+
+@_query(rf"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(strlen(text), 0) AS size,
+            left(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32) AS code
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+        SELECT conv_id, list(code ORDER BY turn NULLS FIRST, code) AS codes, list(size ORDER BY turn NULLS FIRST, code) AS sizes
+        FROM t GROUP BY conv_id),
+    lent AS (
+        SELECT conv_id, codes, sizes, conv_id - ((conv_id % 5) + 5) % 5 AS base,
+            {_crc32("list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ord(s)::BIGINT)")} % 9 AS h
+        FROM own),
+    built AS (
+        SELECT l.conv_id, list_concat(coalesce(b.codes, [])[1:h], l.codes[h + 1:]) AS codes,
+            list_concat(coalesce(b.sizes, [])[1:h], l.sizes[h + 1:]) AS sizes
+        FROM lent l LEFT JOIN own b ON b.conv_id = l.base),
+    p AS (SELECT conv_id, codes, sizes, unnest(range(0, len(codes) + 1)) AS d FROM built),
+    n AS (
+        SELECT array_to_string(codes[1:d], '') AS k, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+            any_value(array_to_string(codes[1:d - 1], '')) AS pk, coalesce(any_value(sizes[d]), 0) AS size,
+            coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(codes) = d), '') AS ends
+        FROM p GROUP BY 1, 2),
+    kids AS (SELECT pk AS k, count(*) AS c FROM n WHERE d > 0 GROUP BY pk),
+    own_sums AS (
+        SELECT n.k, n.d, (c IS NULL)::BIGINT AS leaf, (n_convs - 1) * size AS saved FROM n LEFT JOIN kids USING (k)),
+    up AS (SELECT leaf, saved, left(k, (32 * unnest(range(0, d + 1)))::INT) AS k FROM own_sums),
+    sums AS (SELECT k, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY k)
+    SELECT n.conv_id, n.d AS depth, CASE WHEN n.d > 0 THEN par.conv_id END AS parent_conv_id, n.n_convs,
+        coalesce(c, 0) AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+    FROM n JOIN sums USING (k) LEFT JOIN kids USING (k) LEFT JOIN n par ON par.k = n.pk AND par.d = n.d - 1
+    """)
+def op11_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+@_query(rf"""
+    WITH runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+    per AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+    bytes AS (
+        SELECT run, n, list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda s: ord(s)) AS points FROM per),
+    coded AS (
+        SELECT run, n, {_crc32("flatten(list_transform(points, lambda u: CASE WHEN u < 128 THEN [u::BIGINT] ELSE [(192 + (u >> 6))::BIGINT, (128 + (u & 63))::BIGINT] END))")} AS h
+        FROM bytes),
+    words AS (
+        SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM coded),
+    w AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    holes AS (
+        SELECT word, n, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest
+        FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM w)),
+    longer AS (SELECT DISTINCT h.word AS a, w.word AS b FROM holes h JOIN w ON w.word = h.rest),
+    near AS (
+        SELECT x.word AS a, y.word AS b FROM holes x JOIN holes y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+        UNION SELECT a, b FROM longer UNION SELECT b, a FROM longer),
+    ranked AS (
+        SELECT a AS word, count(*) AS n_near, arg_min(b, (-w.n, encode(b))) AS best, max(w.n) AS best_n
+        FROM near JOIN w ON w.word = near.b GROUP BY a),
+    forms AS (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+            CASE WHEN best_n >= 2 * w.n THEN best END AS form, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+        FROM w LEFT JOIN ranked r ON r.word = w.word),
+    chain AS (
+        WITH RECURSIVE c(word, place) AS (
+            SELECT word, word FROM forms UNION ALL SELECT c.word, f.form FROM c JOIN forms f ON f.word = c.place WHERE f.form IS NOT NULL)
+        SELECT c.word, c.place AS root FROM c JOIN forms f ON f.word = c.place WHERE f.form IS NULL)
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN chain USING (word)
+    """)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op13_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    codes = language.fit(docs, ~language.held_out())
+    return language.predict(docs, codes).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")

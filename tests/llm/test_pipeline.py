@@ -33,5 +33,5 @@ def test_stages(spark):
 
 def test_registered(spark):
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert "pipeline" not in entry.oracle_sql()
