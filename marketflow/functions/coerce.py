@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters of finite numbers, the words for infinite ones, the
+# The forms of finite numbers, the words for infinite ones, the
 # default week when a description carries none, the week in a page title, and the dates
 # in file names, in the order they are tried.
 WHOLE = r"^[+-]?[0-9]+$"
 WHOLE_WITH_POINT = r"^[+-]?[0-9]+\.0*$"
-FINITE = r"^[0-9+.eE-]+$"
+FINITE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 INFINITE = r"^[+-]?(?i:inf|infinity)$"
 DEFAULT_WEEK = 53
 WEEK_TITLE = r"Week\s+(\d+)"
@@ -28,6 +30,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs there.
+
+    Also when Spark puts the expression in place of a column that a filter names: the expression stays as large as it is written.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def number(c: Column | str) -> Column:
     """Double from numeric text; Spark's own cast would also accept ``5d`` and ``NaN``."""
     text = F.trim(_col(c).cast("string"))
@@ -84,7 +94,8 @@ def yes_no(c: Column | str) -> Column:
     return F.when(_col(c) == "Yes", True).when(_col(c) == "No", False)
 
 
-# Spellings of dates in report files, tried in this order after ISO; months come before days.
+# Spellings of dates in report files besides ISO; months come before days. Their shapes, with 9 for digits and
+# A for letters, differ, so the shape of a text tells which one to try.
 DATE_FORMATS = (
     "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "d MMM yyyy", "d MMM yyyy H:mm:ss",
     "MMM d, yyyy", "MMM d, yyyy H:mm:ss", "MMM d, yyyy h:mm a", "MMM d, yyyy h:mm:ss a",
@@ -94,14 +105,32 @@ _SPELLED = r"^(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2} [A-Za-z]{3} [0-9]{4}|
 _ZONE_WORD = r"(?<=[0-9apmAPM])\s+(?!(?i:am|pm)$)[A-Z]{2,5}$"
 
 
+def _shape(pattern: str) -> str:
+    return re.sub("[A-Za-z]+", lambda m: "A" if m[0] in ("MMM", "a") else "9", pattern)
+
+
+def _spelled(text: Column) -> Column:
+    """The usual spellings: one is tried, that of the text's shape."""
+
+    def tried(text: Column, shape: Column) -> Column:
+        found = F.lit(None).cast("timestamp_ntz")
+        for form in DATE_FORMATS:
+            found = F.when(shape == _shape(form), F.try_to_timestamp(text, F.lit(form)).cast("timestamp_ntz")).otherwise(found)
+        return found
+
+    shape = F.regexp_replace(F.regexp_replace(text, "[A-Za-z]+", "A"), "[0-9]+", "9")
+    return F.when(text.rlike(_SPELLED), let(F.struct(text.alias("t"), shape.alias("s")), lambda v: tried(v["t"], v["s"])))
+
+
 def to_timestamp(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
     """Naive timestamp: ISO text first, then each given pattern, then the usual spellings; a zone word at the end is left out."""
-    text = F.trim(F.regexp_replace(_col(c).cast("string"), _ZONE_WORD, ""))
-    # A bare number is not a date; Spark's cast would read four digits as a year.
-    iso = F.when(~text.rlike(r"^\s*[0-9]+\s*$"), text.try_cast("timestamp_ntz"))
+    source = _col(c).cast("string")
+    text = F.trim(F.when(source.rlike("[A-Z]$"), F.regexp_replace(source, _ZONE_WORD, "")).otherwise(source))
+    # ISO text begins with a year. A bare number is not a date, although Spark's cast would read four digits as a year. Casts
+    # that fail are dear, so they are not tried on other texts.
+    iso = F.when(text.rlike(r"^[+-]?[0-9]{4}") & ~text.rlike(r"^[0-9]+$"), text.try_cast("timestamp_ntz"))
     given = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    usual = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS])
-    return F.coalesce(iso, *given, F.when(text.rlike(_SPELLED), usual))
+    return F.coalesce(iso, *given, _spelled(text))
 
 
 def to_date(c: Column | str, formats: tuple[str, ...] = ()) -> Column:

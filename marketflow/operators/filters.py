@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.functions import coerce, periods
+from marketflow.functions import coerce, markup, periods
 
 # Listing type and document state that mark a usable report, and
 # link endings and prefixes that lead to no page.
@@ -91,38 +91,89 @@ def month_pages(
     return pages.withColumn("kept", F.col("has_previous") & read)
 
 
-def row_slice(df: DataFrame, order: str, start: int, stop: int | None = None) -> DataFrame:
-    """Rows ``start`` to ``stop`` (included, 0-based) in the order of a unique column.
+# Rows one task may sort to find a position, values sampled to cut a column into ranges, and ranges of one pass.
+RANK_ROWS = 200_000
+RANK_SAMPLE = 4_096
+RANK_RANGES = 256
 
-    The two bounding values come from distributed top-k queries; the rows between
-    them are found by a plain range filter, so no task sees all rows.
-    """
 
-    def value_at(position: int) -> Column:
-        head = df.select(order).orderBy(order).limit(position + 1)
-        bound = F.when(F.count("*") > position, F.max(order))
-        return head.agg(bound.alias("bound")).scalar()
+def _range_number(value: Column, cuts: list, first: int = 0) -> Column:
+    """How many of the sorted ``cuts`` do not exceed the value, by bisection."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    below, above = _range_number(value, cuts[:middle], first), _range_number(value, cuts[middle + 1 :], first + middle + 1)
+    return F.when(value < cuts[middle], below).otherwise(above)
+
 
-    rows = df.where(F.col(order) >= value_at(start))
-    if stop is None:
-        return rows
-    last = value_at(stop)
-    return rows.where(last.isNull() | (F.col(order) <= last))
+def value_at(df: DataFrame, order: str, position: int, most: int = RANK_ROWS) -> Column | None:
+    """The value at a 0-based position in the order of a unique column, as a literal; null beyond the end.
+
+    A bounded sample cuts the column into ranges, whose rows are counted in the map tasks. The range that
+    holds the position is cut again until it has at most ``most`` rows; only these are sorted.
+    """
+    kind = df.schema[order].dataType
+    here = df.select(order).where(F.col(order).isNotNull())
+    total = here.count()
+    if position >= total:
+        return None
+    while total > most:
+        share = F.pmod(F.xxhash64(order), F.lit(1 << 40)) < max(1, (RANK_SAMPLE << 40) // total)
+        sample = sorted(row[0] for row in here.where(share).collect())
+        if not sample:
+            break
+        cuts = [F.lit(v).cast(kind) for v in sample[:: max(1, len(sample) // RANK_RANGES)]]
+        ranged = here.groupBy(_range_number(F.col(order), cuts).alias("range"))
+        counted = ranged.agg(F.count("*").alias("n"), F.min(order).alias("low"), F.max(order).alias("high")).orderBy("range").collect()
+        before = 0
+        for part in counted:
+            if position < before + part["n"]:
+                break
+            before += part["n"]
+        if part["n"] == total:
+            break
+        here = here.where(F.col(order).between(*(F.lit(part[b]).cast(kind) for b in ("low", "high"))))
+        position, total = position - before, part["n"]
+    found = here.orderBy(order).limit(position + 1).agg(F.max(order)).first()[0]
+    return F.lit(found).cast(kind)
+
+
+def row_slice(df: DataFrame, order: str, start: int, stop: int | None = None, most: int = RANK_ROWS) -> DataFrame:
+    """Rows ``start`` to ``stop`` (included, 0-based) in the order of a unique column; nulls have no position.
+
+    The two bounding values are found by counting ranges; the rows between them are a plain range filter, which
+    reaches the scan. No task sorts or sees more than a bounded number of rows for it.
+    """
+    first = value_at(df, order, start, most)
+    if first is None:
+        return df.limit(0)
+    rows = df.where(F.col(order) >= first)
+    last = value_at(df, order, stop, most) if stop is not None else None
+    return rows if last is None else rows.where(F.col(order) <= last)
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html", same_host: bool = True) -> DataFrame:
     """Links of each page as ``href`` and resolved ``target``, with both hosts.
 
-    In-page anchors, mail and phone links and file downloads are left out.
+    Tags are read as a browser reads them: any quotes or none, any case, character references, and nothing from comments
+    or scripts; ``<base>`` moves what links are relative to. In-page anchors, mail and phone links and file downloads
+    are left out.
     """
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"'), F.lit(1))
-    links = pages.select("*", F.explode(hrefs).alias("href"))
-    unwanted = [F.col("href").startswith(p) for p in NO_PAGE_PREFIXES]
-    unwanted += [F.col("href").endswith(e) for e in FILE_ENDINGS]
-    links = links.where((F.col("href") != "") & ~coerce.any_of(unwanted))
-    links = links.withColumn("target", resolved_link(F.col("href"), F.col(url)))
+    marked = pages.withColumn("_markup", markup.markup_only(F.col(html)))
+    anchors = F.transform(markup.tags(F.col("_markup"), "a"), lambda tag: markup.attribute(tag, "href"))
+    moved = F.transform(markup.tags(F.col("_markup"), "base"), lambda tag: markup.attribute(tag, "href"))
+    marked = marked.select(*pages.columns, anchors.alias("_anchors"), F.get(F.filter(moved, lambda h: h.isNotNull()), F.lit(0)).alias("_moved"))
+    # Each step is a column of its own, as resolving uses its parts many times.
+    links = marked.select(*pages.columns, "_moved", F.explode("_anchors").alias("_written"))
+    links = links.withColumns({"_moved": markup.decoded_references(F.col("_moved")), "_written": markup.decoded_references(F.col("_written"))})
+    # Line breaks and tabs are no part of an address, nor are the blanks around it.
+    links = links.withColumn("href", F.trim(F.regexp_replace("_written", r"[\t\r\n]", "")))
+    links = links.withColumn("_base", F.coalesce(resolved_link(F.col("_moved"), F.col(url)), F.col(url))).drop("_written", "_moved")
+    prefixes, endings = ("|".join(map(re.escape, words)) for words in (NO_PAGE_PREFIXES, FILE_ENDINGS))
+    links = links.where(~F.col("href").rlike(rf"^$|^(?:{prefixes})|(?:{endings})$"))
+    links = links.withColumn("target", resolved_link(F.col("href"), F.col("_base"))).drop("_base")
     links = links.withColumns({"page_host": host(F.col(url)), "target_host": host(F.col("target"))})
-    return links.where(F.col("page_host") == F.col("target_host")) if same_host else links
+    return links.where(F.lower("page_host") == F.lower("target_host")) if same_host else links
 
 
 def host(url: Column) -> Column:
@@ -132,18 +183,22 @@ def host(url: Column) -> Column:
 
 def resolved_link(href: Column, base: Column) -> Column:
     """``href`` as seen from the page ``base``: absolute, host, root or folder relative."""
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    page = F.regexp_extract(base, r"^([^?#]*)", 1)
-    folder = F.regexp_extract(F.concat(page, F.when(page == site, "/").otherwise("")), r"^(.*/)", 1)
-    joined = (
-        F.when(href.startswith("http"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(site, href))
-        .when(href.startswith("?"), F.concat(page, href))
-        .otherwise(F.concat(folder, href))
-    )
-    return _without_dot_segments(joined)
+
+    def joined(h: Column, b: Column) -> Column:
+        scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+        site = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+        page = F.regexp_extract(b, r"^([^?#]*)", 1)
+        folder = F.regexp_extract(F.concat(page, F.when(page == site, "/").otherwise("")), r"^(.*/)", 1)
+        return (
+            F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+            .when(h.startswith("/"), F.concat(site, h))
+            .when(h.startswith("?"), F.concat(page, h))
+            .otherwise(F.concat(folder, h))
+        )
+
+    whole = coerce.let(F.struct(href.alias("href"), base.alias("base")), lambda v: joined(v["href"], v["base"]))
+    return coerce.let(whole, _without_dot_segments)
 
 
 def _without_dot_segments(url: Column) -> Column:

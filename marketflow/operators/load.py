@@ -226,12 +226,14 @@ def upsert(
     key: str,
     order: Sequence[str],
     mutable: Sequence[str],
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """One row per key: first values of all columns, last values of the mutable ones.
 
-    ``order`` must order the batch rows of a key uniquely. A target row counts as
-    older than any batch row. The aggregate combines before the shuffle, so a key
-    with very many changes is no hot spot.
+    ``target`` has one row per key, as a primary key sees to; ``order`` must order the batch rows of a key
+    uniquely. A target row counts as older than any batch row. Target rows of other keys pass as they are, neither
+    shuffled nor sorted; the others meet the batch in an aggregate that combines before the shuffle, so a key with
+    very many changes is no hot spot. Null keys equal each other.
     """
     names = target.columns
     first = [n for n in names if n not in mutable and n != key]
@@ -240,8 +242,16 @@ def upsert(
         F.lit(0).alias("_batch"),
         *[F.lit(None).cast(dict(batch.dtypes)[o]).alias(f"_o{i}") for i, o in enumerate(order)],
     )
-    tagged = target.select("*", none.alias("_rank")).unionByName(batch.select(*names, rank.alias("_rank")))
-    return _first_and_last(tagged, key, first, mutable, names)
+    batch = stage(batch, "batch")
+    changed = broadcast_if_small(batch.select(F.col(key).alias("_key")).distinct(), broadcast_limit)
+    same = target[key].eqNullSafe(changed["_key"])
+    tagged = target.join(changed, same, "left_semi").select("*", none.alias("_rank")).unionByName(batch.select(*names, rank.alias("_rank")))
+    return target.join(changed, same, "left_anti").unionByName(_first_and_last(tagged, key, first, mutable, names))
+
+
+def key_bucket(key: Column | str, buckets: int) -> Column:
+    """The bucket of a key, by its hash; tables of state are partitioned by it."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def upsert_log(log: DataFrame, key: str, order: Sequence[str], mutable: Sequence[str]) -> DataFrame:

@@ -143,31 +143,43 @@ def dropped_columns(df: DataFrame, fields: Contract) -> list[str]:
     return [c for c in df.columns if c not in stored]
 
 
+# The types a text may read as, one bit each, the narrowest first.
+_READS_AS = ("long", "double", "boolean", "timestamp")
+
+
+def _kinds_mask(value: Column) -> Column:
+    """One bit for every type that a text reads as. Whole numbers are numbers too; otherwise a text reads as one type, so the
+    dear attempts come last."""
+    bit = {kind: 1 << k for k, kind in enumerate(_READS_AS)}
+    whole = value.rlike(coerce.WHOLE) & value.try_cast("long").isNotNull()
+    return (
+        F.when(whole, bit["long"] | bit["double"])
+        .when(coerce.number(value).isNotNull(), bit["double"])
+        .when(value.isin("True", "False"), bit["boolean"])
+        .when(value.rlike("[0-9]") & coerce.to_timestamp(value).isNotNull(), bit["timestamp"])
+        .otherwise(0)
+    )
+
+
 def infer_contract(df: DataFrame) -> Contract:
     """First-load contract of an all-text batch, by one aggregate over its rows.
 
-    A column gets a type when every value it has reads as that type; a column
-    without any value stays text.
+    A column gets the first type that every value it has reads as; a column without any value stays text. The
+    cells are unpivoted and reduced to one mask of types each, so the plan is the same for any number of columns;
+    masks combine before the shuffle to one row per column and task.
     """
-    checks = {
-        "long": lambda c: coerce.to_long(c).isNotNull() & ~F.col(c).rlike("[.eE]"),
-        "double": lambda c: coerce.number(c).isNotNull(),
-        "boolean": lambda c: F.col(c).isin("True", "False"),
-        "timestamp": lambda c: coerce.to_timestamp(c).isNotNull(),
-    }
     texts = [name for name, kind in df.dtypes if kind == "string"]
     if not texts:
         return contract_of(df)
-    outcomes = [
-        F.bool_and(F.when(coerce.to_text(name).isNotNull(), check(name))).alias(f"{name}\t{kind}")
-        for name in texts
-        for kind, check in checks.items()
-    ]
-    found = df.agg(*outcomes).first().asDict()
+    # A backslash and a backtick may be part of a report's column name.
+    quoted = [F.col(f"`{name.replace('`', '``')}`") for name in texts]
+    cells = df.select(F.posexplode(F.transform(F.array(*quoted), lambda c: F.trim(coerce.to_text(c)))).alias("place", "value"))
+    masks = cells.where("value is not null").groupBy("place").agg(F.bit_and(_kinds_mask(F.col("value"))).alias("mask")).collect()
+    found = {texts[row["place"]]: row["mask"] for row in masks}
     fields = []
     for name, kind in df.dtypes:
         if kind == "string":
-            fits = [k for k in checks if found[f"{name}\t{k}"]]
+            fits = [k for bit, k in enumerate(_READS_AS) if found.get(name, 0) & (1 << bit)]
             fields.append(Field(name, fits[0] if fits else "string"))
         else:
             fields.append(Field(name, kind_of(kind)))

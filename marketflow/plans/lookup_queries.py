@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow.functions import names, periods
-from marketflow.operators import filters, lookups, messages, nested
+from marketflow.operators import filters, lookups, messages, nested, shapes
 from marketflow.plans.registry import query, table
 from marketflow.plans.schema_queries import CODES_SQL, payloads
 
@@ -106,23 +106,47 @@ def row_slice_head(spark, sf):
     return filters.row_slice(table(spark, sf, "customer"), "c_custkey", 0, 99).select("c_custkey", "c_name")
 
 
-@query("""
-WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) AS href FROM pages)
-SELECT page_id, href, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href AS target,
-       regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS target_host
-FROM l WHERE href LIKE '/%' AND href NOT LIKE '//%' AND NOT regexp_matches(href, '\\.(pdf|jpg|png|zip)$')
-""")
+# Every link of a sample page is an <a href="..."> with nothing else in its tag; the SQL cuts at that text.
+_LINKS_SQL = """
+WITH parts AS (SELECT page_id, url, unnest(string_split(html, '<a href="')[2:]) AS part FROM pages),
+l AS (SELECT page_id, url, split_part(part, '"', 1) AS href FROM parts)
+SELECT page_id, href, split_part(url, '/', 1) || '//' || split_part(url, '/', 3) || href AS target, split_part(url, '/', 3) AS target_host
+FROM l WHERE left(href, 1) = '/' AND left(href, 2) <> '//' AND right(href, 4) NOT IN ('.pdf', '.jpg', '.png', '.zip')
+"""
+
+
+@query(_LINKS_SQL)
 def page_links(spark, sf):
     return filters.page_links(table(spark, sf, "pages")).select("page_id", "href", "target", "target_host")
 
 
-@query("""
-SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS page_host FROM pages
-WHERE regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) LIKE 'blog.%'
-""")
+@query(_LINKS_SQL)
+def page_link_styles(spark, sf):
+    """The same links written in other ways, among tags, comments and scripts that only look like links."""
+    href = r'<a href="([^"]*)"'
+    styles = [
+        F.regexp_replace("html", href, "<a title='a > b href=no' HREF = '$1'"),
+        F.regexp_replace("html", href, "<A\n data-href=\"/no\"\thref=$1 class=x"),
+        F.regexp_replace(F.regexp_replace("html", r'<a href="/', '<a href="&#47;'), r'<a href="([^"]*),', '<a href="$1&#x2C;'),
+        F.concat(F.lit("<!-- <a href='/no'> --><script>'<a href=\"/no\">'</script><title><a href=/no></title><abbr href='/no'>"), "html"),
+    ]
+    kind = F.pmod("page_id", F.lit(len(styles) + 1))
+    html = F.col("html")
+    for k, style in enumerate(styles):
+        html = F.when(kind == k, style).otherwise(html)
+    pages = table(spark, sf, "pages").withColumn("html", html)
+    return filters.page_links(pages).select("page_id", "href", "target", "target_host")
+
+
+@query("SELECT page_id, split_part(url, '/', 3) AS page_host FROM pages")
 def page_hosts(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", filters.host(F.col("url")).alias("page_host"))
-    return pages.where(F.col("page_host").startswith("blog."))
+    return table(spark, sf, "pages").select("page_id", filters.host(F.col("url")).alias("page_host"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (ORDER BY o_orderkey) BETWEEN 901 AND 12001")
+def row_slice_deep(spark, sf):
+    """A slice whose ends are found by counting ranges, more than once, as no task may sort over 500 rows."""
+    return filters.row_slice(table(spark, sf, "orders"), "o_orderkey", 900, 12000, most=500).select("o_orderkey", "o_totalprice")
 
 
 MONTHS = [date(1998, m, 1) for m in range(1, 13)]
@@ -270,6 +294,26 @@ def json_flatten(spark, sf):
     return nested.flatten_columns(cells, ["cell"], {"cell": schema})
 
 
+@query("""
+SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, value AS price,
+       CASE WHEN event_type <> 'error' THEN event_type = 'click' END AS flagged, CASE WHEN event_type = 'error' THEN 'no "data"' END AS more,
+       CASE WHEN event_type <> 'error' THEN event_id END AS deep
+FROM events
+""")
+def json_flatten_unknown(spark, sf):
+    """Record cells of no declared shape; money is a bare number and an inner record a text in some, others are Python-style."""
+    events = table(spark, sf, "events")
+    k, value = F.get_json_object("props", "$.k"), F.col("value").cast("string")
+    flag = F.col("event_type") == "click"
+    strict = F.concat(F.lit('{"k": '), k, F.lit(', "price": '), value, F.lit(', "more": "no \\\"data\\\""}'))
+    literal = F.concat(
+        F.lit("{'k': "), k, F.lit(", 'price': {'amount': "), value, F.lit(", 'currencyCode': None}, 'more': {'flagged': "),
+        F.when(flag, "True").otherwise("False"), F.lit(", 'in': {'deep': "), F.col("event_id").cast("string"), F.lit("}}}"),
+    )
+    cells = events.select("event_id", "user_id", F.when(F.col("event_type") == "error", strict).otherwise(literal).alias("cell"))
+    return shapes.flatten_unknown(cells, ["cell"])
+
+
 def _leaves() -> list[str]:
     return list(names.SEARCH_PERFORMANCE_COLUMNS)
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.session import scratch_path
@@ -13,6 +14,18 @@ from marketflow.session import scratch_path
 _ROW_BITS = (1 << 33) - 1
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: str = "64k") -> Iterator[None]:
+    """Files scanned meanwhile are cut into splits of ``size``, so that sample files are split like large ones."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def headed_files(df: DataFrame, line: Column, head: Sequence[str | Column], label: str) -> str:
     """Text files of ``line`` values, each starting with the ``head`` lines."""
     row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))

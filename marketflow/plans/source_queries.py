@@ -11,10 +11,10 @@ from marketflow.operators import filters, nested, projections
 from marketflow.operators.projections import Field
 from marketflow.plans.lookup_queries import search_records, search_schema, search_sql
 from marketflow.plans.registry import query, table
-from marketflow.plans.rendered import csv_line, framed_files, headed_files
+from marketflow.plans.rendered import csv_line, framed_files, headed_files, small_splits
 from marketflow.session import scratch_path, stage
 from marketflow.sinks import tables as sinks
-from marketflow.sources import delimited, documents, lines
+from marketflow.sources import delimited, documents, lines, spans
 
 PREAMBLE = [f"Definition line {n}, with commas" for n in range(1, 8)]
 
@@ -92,6 +92,26 @@ def csv_latin1(spark, sf):
     return delimited.read_delimited(spark, path).withColumn("part_key", coerce.to_long("part_key"))
 
 
+@query("""
+SELECT c_custkey, c_name || chr(10) || chr(8220) || c_mktsegment || chr(8221) || ', "quoted"' || chr(10) || chr(10) || 'end' AS address,
+       c_nationkey || chr(8364) || ' 5" pipe' AS note
+FROM customer
+""")
+def csv_multiline(spark, sf):
+    """Line breaks inside quotes below seven lines, one with an odd quote, in files of code page 1252 that are cut into splits."""
+    latin = lambda text: F.encode(text, "ISO-8859-1")
+    address = F.concat(
+        latin(F.concat(F.col("c_name"), F.lit("\n"))), F.unhex(F.lit("93")), latin(F.col("c_mktsegment")), F.unhex(F.lit("94")),
+        latin(F.lit(', ""quoted""\n\nend')),
+    )
+    note = F.concat(latin(_text("c_nationkey")), F.unhex(F.lit("80")), latin(F.lit(' 5" pipe')))
+    line = F.concat(latin(F.concat(_text("c_custkey"), F.lit(',"'))), address, latin(F.lit('",')), note).cast("string")
+    path = headed_files(table(spark, sf, "customer"), line, [*PREAMBLE[:6], 'Range=["open', '"c_custkey",address,note'], "multiline")
+    with small_splits(spark):
+        raw = delimited.read_delimited(spark, path, skip_rows=7, multi_line=True)
+        return stage(raw.withColumn("c_custkey", coerce.to_long("c_custkey")), "multiline")
+
+
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def tsv_scan(spark, sf):
     line = csv_line("c_custkey", "c_name", "c_mktsegment", sep="\t")
@@ -133,6 +153,23 @@ def json_array_gz(spark, sf):
     return rows.withColumn("start_date", coerce.to_timestamp("start_date"))
 
 
+@query("""
+SELECT o_orderkey AS order_key, o_orderstatus AS status, '{"' || o_orderpriority || '\\' AS note, o_totalprice AS price FROM orders
+""")
+def json_array_split(spark, sf):
+    """One-line JSON arrays cut into splits; nested objects, and braces, brackets and escapes in strings."""
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("orderKey"), F.col("o_orderstatus").alias("status"),
+        F.concat(F.lit('{"'), F.col("o_orderpriority"), F.lit("\\")).alias("note"),
+        F.struct(F.struct(F.col("o_totalprice").alias("amount")).alias("total"), F.array(F.lit("]}")).alias("marks")).alias("price"),
+    )
+    path = framed_files(orders, F.to_json(F.struct("*")), "[", "]", ", ", "arrays")
+    schema = T.StructType.fromDDL("orderKey bigint, status string, note string, price struct<total struct<amount double>>")
+    with small_splits(spark):
+        rows = names.rename_all(spans.array_members(spark, path, schema), names.snake_case)
+        return stage(rows.withColumn("price", F.col("price.total.amount")), "arrays")
+
+
 @query(search_sql())
 def json_search_records(spark, sf):
     """Search-performance documents: the records under one named path."""
@@ -233,13 +270,15 @@ def csv_export(spark, sf):
     return projections.conform(back, projections.contract(s_suppkey="long", s_name="string", s_acctbal="double"))
 
 
-@query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute, value, props FROM events")
+@query("SELECT * FROM events")
 def json_export(spark, sf):
     """Rows exported as JSON lines, times as text, and read back."""
     path = scratch_path(spark, "export")
-    sinks.export_json(table(spark, sf, "events"), path)
-    back = spark.read.schema("event_id bigint, ts string, value double, props string").json(path)
-    return back.select("event_id", F.substring("ts", 1, 16).alias("minute"), "value", "props")
+    events = table(spark, sf, "events")
+    sinks.export_json(events, path)
+    kept = [f"{n} {'string' if k == 'timestamp_ntz' else k}" for n, k in events.dtypes]
+    back = spark.read.schema(", ".join(kept)).json(path)
+    return back.select(*[F.col(n).cast(k) for n, k in events.dtypes])
 
 
 @query("SELECT COUNT(*) AS rows, COUNT(DISTINCT event_type) AS files FROM events")
@@ -265,14 +304,9 @@ def paged_files(spark, sf):
 
 @query("SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS position FROM orders")
 def sheet_positions(spark, sf):
-    """Every row of a sheet that many tasks read has its position below the header."""
-    orders = table(spark, sf, "orders").select("o_orderkey").orderBy("o_orderkey").coalesce(1)
+    """Every row of a sheet in several files, which many tasks write and read, has its position."""
+    orders = table(spark, sf, "orders").select("o_orderkey").repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
     path = headed_files(orders, csv_line("o_orderkey"), ["o_orderkey"], "positions")
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "64k")
-    try:
-        sheet = delimited.row_positions(spark, path)
+    with small_splits(spark):
+        sheet = delimited.row_positions(spark, path, continued=True)
         return stage(sheet.select(coerce.to_long("o_orderkey").alias("o_orderkey"), "position"), "positions")
-    finally:
-        spark.conf.set(key, before)

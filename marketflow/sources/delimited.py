@@ -7,12 +7,13 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketflow.functions.names import header_names
-from marketflow.session import broadcast_if_small
+from marketflow.session import broadcast_if_small, stage
 from marketflow.sources.lines import Paths, heads_of, numbered_lines
+from marketflow.sources.spans import quoted_records
 
 # Cell texts that mean "no value".
 NULL_WORDS = (
@@ -45,21 +46,14 @@ def read_delimited(
 
     Files may order their columns differently, or lack some: each is read by its
     own header, and columns are matched by name. All files are read in one scan.
-    ``multi_line`` allows line breaks inside quotes; such files are not split, must
-    share one layout and cannot have lines before the header.
+    ``multi_line`` allows line breaks inside quotes: records are cut where quotes are closed, also in files
+    that are split between tasks. Line breaks before the header always end a line.
 
     Cells that spell "no value" become null and repeated header names get a suffix;
     ``as_written`` keeps the cells' text and the first of repeated columns only.
     """
     kept = {path_column: F.col("path")} if path_column else {}
-    if multi_line:
-        if skip_rows:
-            raise ValueError("lines before the header cannot be skipped in multi-line files")
-        rows = spark.read.csv(paths, sep=sep, header=True, multiLine=True, escape='"')
-        source = {name: F.col("_metadata.file_path") for name in kept}
-        return _with_nulls(rows.select("*", *[c.alias(name) for name, c in source.items()]))
-
-    lines = numbered_lines(spark, paths, encoding)
+    lines = quoted_records(spark, paths, skip_rows, sep, encoding) if multi_line else numbered_lines(spark, paths, encoding)
     heads = heads_of(lines, skip_rows, skip_blank=True).withColumn("head", F.ltrim("head", F.lit("\ufeff")))
     layouts = _layouts(heads, paths)
     data = lines.join(broadcast_if_small(heads), "path").where((F.col("line") > F.col("head_line")) & (F.trim("value") != ""))
@@ -128,13 +122,26 @@ def read_sheet(spark: SparkSession, paths: Paths, header_row: int = 0) -> DataFr
     return read_delimited(spark, paths, skip_rows=header_row, as_written=True)
 
 
-def row_positions(spark: SparkSession, paths: Paths, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
-    """Data rows of sheets with their 0-based position below the header."""
+def row_positions(spark: SparkSession, paths: Paths, sep: str = ",", encoding: str = "utf-8", continued: bool = False) -> DataFrame:
+    """Data rows of sheets with their 0-based position below the header.
+
+    With ``continued`` the files are parts of one sheet, each with the header: positions run on from one to the next,
+    in the order of their names.
+    """
     lines = numbered_lines(spark, paths, encoding)
     heads = heads_of(lines)
     layouts = _layouts(heads, paths)
     if len(layouts) != 1:
         raise MixedReports(f"positions need files of one layout: {paths}")
     layout = header_names(next(csv.reader(layouts, delimiter=sep)))
-    body = lines.where("line > 0").select("value", (F.col("line") - 1).alias("position"), F.lit(layouts[0]).alias("head"))
+    body = lines.where("line > 0")
+    position = F.col("line") - 1
+    if continued:
+        # One row per file.
+        counts = stage(lines.groupBy("path").agg(F.max("line").alias("rows")), "rows")
+        before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select("path", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+        body = body.join(broadcast_if_small(offsets), "path")
+        position = position + F.col("offset")
+    body = body.select("value", position.alias("position"), F.lit(layouts[0]).alias("head"))
     return _parsed(body, {layouts[0]: layout}, sep, {"position": F.col("position")})

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow.functions import names
 from marketflow.operators.nested import xml_row
+from marketflow.operators.shapes import flatten_unknown
+from marketflow.session import broadcast_if_small, stage
 from marketflow.sources.lines import Paths
 
 # Row element names, in the order they are looked for, and the
@@ -37,12 +39,8 @@ def named_records(documents: DataFrame, path: str, schema: T.StructType) -> Data
     return documents.select(F.inline(records))
 
 
-def generic_records(documents: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of documents of unknown shape.
-
-    A list gives its members; an object the members of its first list, in document
-    order; an object without lists itself. Members are read by ``schema``.
-    """
+def _member_lists(documents: DataFrame) -> DataFrame:
+    """Per document the text of the list of its rows, as ``rows``."""
     texts = documents.select(F.trim("document", F.lit(" \t\r\n\ufeff")).alias("text"))
     text = F.col("text")
     members = F.when(text.startswith("{"), F.map_entries(F.from_json(text, "map<string,variant>")))
@@ -53,7 +51,22 @@ def generic_records(documents: DataFrame, schema: T.StructType) -> DataFrame:
         .when(F.col("first_list").isNotNull(), F.to_json("first_list"))
         .when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]")))
     )
-    return first.select(F.inline(F.from_json(rows, T.ArrayType(schema))))
+    return first.select(rows.alias("rows"))
+
+
+def generic_records(documents: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of documents of unknown shape.
+
+    A list gives its members; an object the members of its first list, in document
+    order; an object without lists itself. Members are read by ``schema``.
+    """
+    return _member_lists(documents).select(F.inline(F.from_json("rows", T.ArrayType(schema))))
+
+
+def discovered_records(documents: DataFrame) -> DataFrame:
+    """The rows of :func:`generic_records` without a schema: their members are found and flattened."""
+    members = _member_lists(documents).select(F.explode(F.from_json("rows", "array<variant>")).alias("record"))
+    return flatten_unknown(members, ["record"])
 
 
 def scalar_documents(documents: DataFrame) -> DataFrame:
@@ -97,9 +110,11 @@ def recent_orders(documents: DataFrame, schema: T.StructType, updated: str, ref_
 def clean_xml(document: Column) -> Column:
     """Undouble quotes, and cut text that trails the last closing root tag."""
     text = F.trim(F.replace(document, F.lit('""'), F.lit('"')), F.lit(" \t\r\n"))
-    root = F.regexp_extract(text, r"<(\w+)[>\s]", 1)
-    whole = F.regexp_substr(text, F.concat(F.lit("(?s)^.*</"), root, F.lit(">")))
-    return F.when(root != "", F.coalesce(whole, text)).otherwise(text)
+    # The root is the first element: a tag that is no declaration, comment or instruction.
+    root = F.regexp_extract(text, r"<([A-Za-z_][^\s/>]*)", 1)
+    behind = F.call_function("substring_index", text, F.concat(F.lit("</"), root, F.lit(">")), F.lit(-1))
+    whole = F.substr(text, F.lit(1), F.length(text) - F.length(behind))
+    return F.when((root != "") & (whole != ""), whole).otherwise(text)
 
 
 def _plain_xml(text: Column) -> Column:
@@ -119,58 +134,86 @@ _TAG_END = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 _RANGES = "array<struct<start:int,end:int>>"
 
 
-def _tokens(segments: Column, root: Column, tag: str) -> Column:
-    """Opening (1), closing (-1) and empty (0) tags by segment, but for the root's opening one. ``tag`` is a pattern."""
+def _first_tag(text: Column, tags: Sequence[str]) -> Column:
+    """The first of ``tags`` that opens an element behind the root's opening tag."""
+    root = F.regexp_instr(text, F.lit(r"<[^/!?\s]"))
+    below = F.substr(text, root + 1)
+    return F.coalesce(*(F.when(below.rlike(rf"<{tag}[\s/>]"), F.lit(tag)) for tag in tags), F.lit(""))
 
-    def token(segment: Column, k: Column) -> Column:
-        empty = F.regexp_extract(segment, rf"^{tag}(?=[\s/>]){_TAG_END}", 0).endswith("/>")
-        opens = segment.rlike(rf"^{tag}[\s/>]") & (k != root)
-        step = F.when(opens & empty, 0).when(opens, 1).when(segment.rlike(rf"^/{tag}\s*>"), -1)
-        return F.struct(k.alias("at"), step.alias("step"))
 
-    return F.filter(F.transform(segments, token), lambda t: t["step"].isNotNull())
+def _pieces(text: Column, tag: str) -> Column:
+    """The text up to every closing tag, without what follows the last."""
+    parts = F.split(text, rf"</{tag}\s*>", -1)
+    return F.slice(parts, 1, F.size(parts) - 1)
 
 
-def _nested_ranges(tokens: Column, outermost: bool) -> Column:
-    """First and last segment of every element, or only of the outermost ones, in document order."""
-    start = F.struct(F.array().cast("array<int>").alias("open"), F.array().cast(_RANGES).alias("found"))
+def _one_each(text: Column, tag: str) -> Column:
+    """Does every closing tag follow exactly one opening one, and nothing open behind the last?"""
+    opening = F.lit(rf"<{tag}(?=[\s/>])")
+    parts = F.split(text, rf"</{tag}\s*>", -1)
+    last = F.get(parts, F.size(parts) - 1)
+    return F.forall(_pieces(text, tag), lambda p: F.regexp_count(p, opening) == 1) & (F.regexp_count(last, opening) == 0)
 
-    def step(state: Column, t: Column) -> Column:
-        opened, found = state["open"], state["found"]
-        begin = F.when(t["step"] == 0, t["at"]).otherwise(F.element_at(opened, -1))
-        left = F.when(t["step"] == 0, opened).otherwise(F.slice(opened, 1, F.greatest(F.size(opened) - 1, F.lit(0))))
-        counts = (t["step"] == 0) | (F.size(opened) > 0)
-        if outermost:
-            counts = counts & (F.size(left) == 0)
-        ended = F.when(counts, F.array_append(found, F.struct(begin.alias("start"), t["at"].alias("end")))).otherwise(found)
-        grown = F.struct(F.array_append(opened, t["at"]).alias("open"), found.alias("found"))
-        return F.when(t["step"] == 1, grown).otherwise(F.struct(left.alias("open"), ended.alias("found")))
 
-    return F.array_sort(F.aggregate(tokens, start, step)["found"])
+def _cut_rows(text: Column, tag: str) -> Column:
+    """The elements of a tag that are neither empty nor inside each other."""
+    return F.transform(_pieces(text, tag), lambda p: F.concat(F.substr(p, F.regexp_instr(p, F.lit(rf"<{tag}[\s/>]"))), F.lit(f"</{tag}>")))
 
 
-def _ranges(tokens: Column) -> Column:
-    """First and last segment of every element of one tag. Elements inside each other need a stack, which takes longer."""
-    pairs = F.transform(tokens, lambda t, k: F.struct(t.alias("this"), F.get(tokens, k + 1).alias("next")))
-    nested = F.exists(pairs, lambda p: (p["this"]["step"] == 1) & F.coalesce(p["next"]["step"] >= 0, F.lit(False)))
-    opens = F.filter(pairs, lambda p: p["this"]["step"] >= 0)
-    flat = F.transform(
-        opens,
-        lambda p: F.struct(p["this"]["at"].alias("start"), F.when(p["this"]["step"] == 0, p["this"]["at"]).otherwise(p["next"]["at"]).alias("end")),
-    )
-    return F.when(nested, _nested_ranges(tokens, False)).otherwise(F.filter(flat, lambda r: r["end"].isNotNull()))
+def _tag_steps(texts: DataFrame, tags: Sequence[str]) -> DataFrame:
+    """Opening (1), closing (-1) and empty (0) tags of documents (id, tag, root, segments) by segment: of the row tag, or of
+    every element where there is none. The root's opening tag is left out."""
+    every = r"[^/!?\s>]+?"
+    segments = texts.select("id", "tag", "root", F.posexplode("segments").alias("at", "segment"))
+    segment, steps = F.col("segment"), F.lit(None).cast("int")
+    for tag, name in [(every, ""), *((t, t) for t in tags)]:
+        empty = F.regexp_extract(segment, rf"^{tag}(?=[\s/>]){_TAG_END}", 0).endswith("/>")
+        opens = segment.rlike(rf"^{tag}[\s/>]") & (F.col("at") > F.col("root"))
+        step = F.when(opens & empty, 0).when(opens, 1).when(segment.rlike(rf"^/{tag}\s*>"), -1)
+        steps = F.when(F.col("tag") == name, step).otherwise(steps)
+    return segments.select("id", "tag", "at", steps.alias("step")).where("step is not null")
 
 
-def _element(segments: Column, part: Column, leaf: bool = False) -> Column:
+def _element_ranges(steps: DataFrame) -> DataFrame:
+    """(id, ranges): first and last segment of the elements, in document order; without a row tag, of the root's children.
+
+    The depth is a running sum over the tags. An element ends at the next tag of its depth; so no stack is kept,
+    and only numbers are shuffled.
+    """
+    in_order = Window.partitionBy("id").orderBy("at")
+    depth = F.sum("step").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    levels = steps.withColumn("level", depth + F.when(F.col("step") == 1, 0).otherwise(1))
+    closing = F.lead("at").over(Window.partitionBy("id", "level").orderBy("at"))
+    ended = levels.withColumn("end", F.when(F.col("step") == 0, F.col("at")).otherwise(closing))
+    found = ended.where("step >= 0 and end is not null and (tag <> '' or level = 1)")
+    return found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("start"), "end"))).alias("ranges"))
+
+
+def _element(segments: Column, part: Column, leaf: Column) -> Column:
     """The element of a range of segments; with ``leaf`` a bare text element is put inside another one."""
     first = F.get(segments, part["start"])
     whole = F.array_join(F.slice(segments, part["start"] + 1, part["end"] - part["start"]), "<")
     closed = F.concat(F.lit("<"), whole, F.lit("<"), F.regexp_extract(F.get(segments, part["end"]), "^[^>]*>", 0))
     element = F.when(part["start"] == part["end"], F.concat(F.lit("<"), F.regexp_extract(first, f"^{_TAG_END}", 0))).otherwise(closed)
-    if not leaf:
-        return element
     text = F.trim(F.regexp_replace(first, f"^{_TAG_END}", ""), F.lit(" \t\r\n"))
-    return F.when((part["end"] == part["start"] + 1) & (text != ""), F.concat(F.lit("<row>"), element, F.lit("</row>"))).otherwise(element)
+    bare = leaf & (part["end"] == part["start"] + 1) & (text != "")
+    return F.when(bare, F.concat(F.lit("<row>"), element, F.lit("</row>"))).otherwise(element)
+
+
+def _matched_rows(texts: DataFrame, tags: Sequence[str]) -> DataFrame:
+    """Row elements of documents (text, tag) by matching tags; documents without any element but the root are one row."""
+    segments = F.split("text", "<", -1)
+    opens = F.transform(segments, lambda s: s.rlike("^[^/!?\\s]"))
+    # The first segment is what precedes the first tag. Staged, as ids have to stay, and segments are looked up by place.
+    split = texts.select(F.monotonically_increasing_id().alias("id"), "tag", segments.alias("segments"), opens.alias("opens"))
+    root = F.array_position(F.slice("opens", 2, F.greatest(F.size("opens") - 1, F.lit(0))), True).cast("int")
+    split = stage(split.select("id", "tag", "segments", root.alias("root")).where("root > 0"), "xml")
+    ranges = _element_ranges(_tag_steps(split, tags))
+    matched = split.join(broadcast_if_small(stage(ranges, "xml-ranges")), "id", "left")
+    segments = F.col("segments")
+    whole = F.array(F.concat(F.lit("<"), F.array_join(F.slice("segments", F.col("root") + 1, F.size("segments")), "<")))
+    rows = F.transform("ranges", lambda r: _element(segments, r, F.col("tag") == ""))
+    return matched.select(F.explode(F.coalesce(rows, whole)).alias("element"))
 
 
 def xml_records(documents: DataFrame, schema: T.StructType, tags: Sequence[str] = ROW_TAGS) -> DataFrame:
@@ -180,23 +223,22 @@ def xml_records(documents: DataFrame, schema: T.StructType, tags: Sequence[str]
     describes one row element, attributes with a leading underscore and text beside attributes as
     ``_VALUE``; a child of the root that is only text is a row with its own name. Row elements may lie at
     any depth, also inside each other; each is a row. Comments hold no rows, and CDATA sections are text.
+
+    Where rows are neither empty nor inside each other, a document is cut at their closing tags. Other documents
+    are staged, and their tags matched by depth.
     """
-    text = documents.select(_plain_xml(clean_xml(F.col("document"))).alias("text"))
-    split = text.select(F.split("text", "<", -1).alias("segments"))
-    opens = F.transform("segments", lambda s: s.rlike("^[^/!?\\s]")).alias("opens")
-    # The first segment is what precedes the first tag.
-    named = split.select("segments", opens)
-    root = F.array_position(F.slice("opens", 2, F.greatest(F.size("opens") - 1, F.lit(0))), True).cast("int")
-    named = named.select("segments", root.alias("root")).where("root > 0")
-    token_columns = [f"tokens_{k}" for k in range(len(tags))]
-    found = named.withColumns({n: _tokens(F.col("segments"), F.col("root"), tag) for n, tag in zip(token_columns, tags, strict=True)})
-    segments = F.col("segments")
-    chosen = [F.transform(F.nullif(_ranges(F.col(n)), F.array().cast(_RANGES)), lambda r: _element(segments, r)) for n in token_columns]
-    every = F.filter(_tokens(segments, F.col("root"), r"[^/!?\s>]+?"), lambda t: t["at"] > F.col("root"))
-    children = F.transform(F.nullif(_nested_ranges(every, True), F.array().cast(_RANGES)), lambda r: _element(segments, r, leaf=True))
-    whole = F.array(F.concat(F.lit("<"), F.array_join(F.slice("segments", F.col("root") + 1, F.size("segments")), "<")))
-    rows = F.coalesce(*chosen, children, whole)
-    parsed = found.select(F.explode(rows).alias("element")).select(F.from_xml("element", schema.simpleString()).alias("row"))
+    text = F.col("text")
+    texts = documents.select(_plain_xml(clean_xml(F.col("document"))).alias("text")).where("text is not null")
+    tagged = texts.select("text", _first_tag(text, tags).alias("tag"))
+    plain = F.coalesce(*(F.when(F.col("tag") == tag, _one_each(text, tag)) for tag in tags), F.lit(False))
+    judged = tagged.withColumn("plain", plain)
+    cut = F.coalesce(*(F.when(F.col("tag") == tag, _cut_rows(text, tag)) for tag in tags))
+    rows = judged.where("plain").select(F.explode(cut).alias("element"))
+    others = judged.where("not plain").select("text", "tag")
+    # Looked for once, so that nothing is staged or matched where there are none.
+    if not others.isEmpty():
+        rows = rows.unionByName(_matched_rows(others, tags))
+    parsed = rows.select(F.from_xml("element", schema.simpleString()).alias("row"))
     columns = xml_row(schema, F.col("row"))
     return parsed.select(*[c.alias(name) for name, c in columns.items()])
 

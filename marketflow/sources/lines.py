@@ -50,9 +50,9 @@ def landed(spark: SparkSession, paths: Paths) -> list[str]:
     return sorted(spark.read.text(paths).inputFiles())
 
 
-def _raw(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+def _raw(spark: SparkSession, files: Sequence[str], separator: str | None = None) -> DataFrame:
     _pin_splits(spark)
-    return spark.read.text(list(files)).select(
+    return spark.read.text(list(files), lineSep=separator).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("id"),
@@ -86,15 +86,20 @@ def _files(raw: DataFrame, encoding: str) -> tuple[DataFrame, DataFrame]:
 
 def _numbered(raw: DataFrame, splits: DataFrame) -> DataFrame:
     joined = raw.join(broadcast_if_small(splits), ["path", "split"])
-    return joined.select("path", (F.col("id") - F.col("first_id") + F.col("before")).alias("line"), "value")
+    return joined.select("path", "split", (F.col("id") - F.col("first_id") + F.col("before")).alias("line"), "value")
+
+
+def numbered_chunks(spark: SparkSession, files: Sequence[str], separator: str | None, encoding: str = "auto") -> DataFrame:
+    """What lies between separators (null: any line break) as ``path``, ``split``, ``line`` (0-based), ``value`` and ``encoding``."""
+    raw = _raw(spark, files, separator)
+    splits, encodings = _files(raw, encoding)
+    lines = _numbered(raw, splits).join(broadcast_if_small(encodings), "path")
+    return lines.withColumn("value", _decoded(F.col("value"), F.col("encoding")))
 
 
 def numbered_lines(spark: SparkSession, paths: Paths, encoding: str = "auto") -> DataFrame:
     """Lines as ``path``, ``line`` (0-based), ``value`` and the file's ``encoding``, which ``value`` is decoded by."""
-    raw = _raw(spark, landed(spark, paths))
-    splits, files = _files(raw, encoding)
-    lines = _numbered(raw, splits).join(broadcast_if_small(files), "path")
-    return lines.withColumn("value", _decoded(F.col("value"), F.col("encoding")))
+    return numbered_chunks(spark, landed(spark, paths), None, encoding).drop("split")
 
 
 def heads_of(lines: DataFrame, line: int = 0, skip_blank: bool = False) -> DataFrame:

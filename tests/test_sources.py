@@ -82,13 +82,6 @@ def test_no_header(spark, land):
         delimited.read_delimited(spark, land("a.csv", "only\n"), skip_rows=3)
 
 
-def test_multi_line_fields(spark, land):
-    path = land("a.csv", 'x,y\n"two\nlines",1\n')
-    assert delimited.read_delimited(spark, path, multi_line=True).first()["x"] == "two\nlines"
-    with pytest.raises(ValueError):
-        delimited.read_delimited(spark, path, skip_rows=1, multi_line=True)
-
-
 def test_tsv_and_sheet(spark, land):
     assert delimited.read_tsv(spark, land("a.tsv", "x\ty\n1\t2\n")).first()[:] == ("1", "2")
     sheet = delimited.read_sheet(spark, land("s.csv", "title,\ngroup,\nStatus,SKU\nActive,\n"), header_row=2)
