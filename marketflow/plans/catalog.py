@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from marketflow.plans import job_queries, load_queries, lookup_queries, schema_queries, source_queries, stream_queries  # noqa: F401
+from marketflow.plans import (  # noqa: F401
+    job_queries,
+    load_queries,
+    lookup_queries,
+    period_queries,
+    schema_queries,
+    source_queries,
+    stream_queries,
+)
 from marketflow.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -293,7 +293,12 @@ def load_into(
     elif partition and report.load == "keyed_replace":
         tables.replace_keys_in_partitions(batch, name, report.keys, partition)
     else:
-        tables.replace_table(_disciplined(report, spark.read.table(name), batch), name)
+
+        def rewrite() -> None:
+            version = tables.table_version(spark, name)
+            tables.replace_table(_disciplined(report, spark.read.table(name), batch), name, version)
+
+        tables.retried(rewrite)
     return replace(outcome, state=spark.read.table(name))
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketflow.operators.messages import message_codes
 from marketflow.plans.load_queries import EVENT_COLUMNS, _same, _shifted, task_changes, _TASK_BATCH
 from marketflow.plans.registry import query, table
 from marketflow.plans.schema_queries import CODES_SQL, payloads
 from marketflow.session import scratch_path
+from marketflow.streaming import codes as code_streams
 from marketflow.streaming import ingest
 
 
@@ -113,6 +115,39 @@ def stream_codes(spark, sf):
     return ingest.answers(spark, answers, requests.schema)
 
 
+@query(f"""
+SELECT event_id, phone, ts, latest_otp_code FROM (
+  SELECT r.event_id, CAST(r.user_id AS VARCHAR) AS phone, r.ts, m.otp_code AS latest_otp_code,
+         row_number() OVER (PARTITION BY r.event_id ORDER BY m.ts DESC, m.otp_code DESC) AS rn
+  FROM events r LEFT JOIN ({CODES_SQL}) m
+    ON m.phone = CAST(r.user_id AS VARCHAR) AND m.ts > r.ts - INTERVAL 3600 SECOND AND m.ts <= r.ts
+  WHERE r.event_type = 'error') WHERE rn = 1
+""")
+def stream_code_join(spark, sf):
+    """Requests and codes as two streams joined by time: half of the codes land after the requests that wait for them."""
+    events = table(spark, sf, "events")
+    coded = message_codes(payloads(events)).select("phone", "otp_code", "ts")
+    requests = events.where("event_type = 'error'").select("event_id", F.col("user_id").cast("string").alias("phone"), "ts")
+    # A last row of either stream, long after all others, says that nothing else will come.
+    end = F.lit("2100-01-01").cast("timestamp_ntz")
+    none = F.lit(None).cast("string")
+    closing_code = spark.range(1).select(none.alias("phone"), none.alias("otp_code"), end.alias("ts"))
+    closing_request = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), none.alias("phone"), end.alias("ts"))
+    early = F.pmod(F.xxhash64("phone", "otp_code"), F.lit(2)) == 0
+    asked, made = scratch_path(spark, "landing-asked"), scratch_path(spark, "landing-made")
+    answers, checkpoint = _places(spark, "joined")
+    deliveries = (
+        (requests, coded.where(early)), (requests.limit(0), coded.where(~early)), (closing_request, closing_code),
+    )
+    for some_requests, some_codes in deliveries:
+        some_requests.write.mode("append").parquet(asked)
+        some_codes.write.mode("append").parquet(made)
+        # Every run goes on from the state that the one before left in the checkpoint.
+        streams = (ingest.arrivals(spark, asked, requests.schema), ingest.arrivals(spark, made, coded.schema))
+        code_streams.answer_as_they_come(*streams, answers, checkpoint, "phone", "ts", "ts", seconds=3600, late="60 days")
+    return code_streams.answered(spark, answers, requests.schema).where("event_id >= 0")
+
+
 @query("""
 SELECT event_id, ts, user_id, value + CASE WHEN ts < TIMESTAMP '2024-01-08 00:00:00' THEN 1 WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 2 ELSE 0 END AS value
 FROM events

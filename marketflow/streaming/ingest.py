@@ -1,14 +1,13 @@
 """Arriving report files through the batch load disciplines.
 
-Each micro-batch writes its own folder, named by its id, so a repeated micro-batch
-overwrites itself and nothing else: with the source's checkpoint that makes every
-load exactly-once, also when executors or the driver are lost half way.
+Each micro-batch is committed to a :class:`~marketflow.streaming.store.Store` under its id, so a repeated one adds
+nothing: with the source's checkpoint that makes every load exactly-once, also when executors or the driver are lost
+half way. Stores fold themselves when their tail grows long.
 """
 
 from __future__ import annotations
 
 import hashlib
-import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketflow.operators import load, lookups, messages
 from marketflow.session import broadcast_if_small
-
-# Store partitions: the stream that wrote them, and its micro-batch.
-_DELIVERY = "_delivery"
-_BATCH = "_batch"
-# When a micro-batch was written, to order those of several streams.
-_WRITTEN = "_written"
-_MARKS = (_DELIVERY, _BATCH, _WRITTEN)
-SEED = "seed"
-
+from marketflow.streaming.store import SEED, SEQUENCE, Store
 
 def arrivals(
     spark: SparkSession,
@@ -68,61 +59,74 @@ def delivery_name(checkpoint: str) -> str:
     return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
-def seed(initial: DataFrame, path: str) -> None:
+def seed(initial: DataFrame, path: str, day: str | None = None) -> None:
     """Start a store with what the table already holds (possibly nothing)."""
-    _write(initial, path, -1, SEED)
-
+    _store(initial.sparkSession, path, initial.schema, day).append(lambda state: initial, SEED, -1)
 
-def _write(df: DataFrame, path: str, batch_id: int, delivery: str, mode: str = "overwrite") -> None:
-    written = F.lit(0 if delivery == SEED else time.time_ns()).cast("long")
-    marked = df.withColumns({_WRITTEN: written, _DELIVERY: F.lit(delivery), _BATCH: F.lit(batch_id).cast("long")})
-    writer = marked.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(_DELIVERY, _BATCH).parquet(path)
 
-
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    marks = [
-        T.StructField(_WRITTEN, T.LongType()), T.StructField(_DELIVERY, T.StringType()), T.StructField(_BATCH, T.LongType()),
-    ]
-    return spark.read.schema(T.StructType([*schema.fields, *marks])).parquet(path)
+def _store(spark: SparkSession, path: str, schema: T.StructType, day: str | None = None) -> Store:
+    """A store partitioned by ``day``, by default its first date or time column."""
+    temporal = [f.name for f in schema.fields if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz")]
+    return Store(spark, path, schema, day or next(iter(temporal), None))
 
 
 def rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows of a store."""
-    return _stored(spark, path, schema).drop(*_MARKS)
+    return _store(spark, path, schema).read().drop(SEQUENCE)
 
 
 def ingest_new(
     stream: DataFrame, path: str, checkpoint: str, granularity: str = "day", delivery: str | None = None, every: str | None = None
 ) -> StreamingQuery:
-    """Insert-if-new for every micro-batch, against all earlier ones.
+    """Insert-if-new for every micro-batch, against all earlier ones; only files with its days are opened.
 
     Every stream writes under its own ``delivery`` name, by default that of its
     checkpoint. With ``every`` the query goes on and is returned running; so it is for
     all ingests.
     """
-    schema = stream.schema
+    store = _store(stream.sparkSession, path, stream.schema)
     delivery = delivery or delivery_name(checkpoint)
-    _write(stream.sparkSession.createDataFrame([], schema), path, -1, SEED, mode="ignore")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        own = (F.col(_DELIVERY) == delivery) & (F.col(_BATCH) == batch_id)
-        earlier = _stored(batch.sparkSession, path, schema).where(~own).drop(*_MARKS)
-        _write(load.new_rows(earlier, batch, granularity), path, batch_id, delivery)
+        days = None
+        if store.day:
+            day = F.to_date(store.day)
+            low, high, undated = batch.agg(F.min(day).cast("string"), F.max(day).cast("string"), F.count_if(day.isNull())).first()
+            # Rows without a day are always read, so a batch of nothing else needs no other.
+            days = (low, high) if low else ("9999-12-31", "0001-01-01")
+
+        def fresh(state: dict) -> DataFrame:
+            earlier = store.read(state, days).drop(SEQUENCE)
+            return load.new_rows(earlier, batch, granularity)
+
+        store.append(fresh, delivery, batch_id)
+        store.compact_if_long()
 
     return run_available(stream, checkpoint, each, every=every)
 
 
+def log_into(store: Store, delivery: str, prepare: Callable[[DataFrame], DataFrame], fold=None) -> Callable[[DataFrame, int], None]:
+    """What a stream does with each micro-batch: append it, prepared, and fold the store when it has grown long."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        store.append(lambda state: prepare(batch), delivery, batch_id)
+        store.compact_if_long(fold)
+
+    return each
+
+
 def ingest_restated(
-    stream: DataFrame, path: str, checkpoint: str, delivery: str | None = None, every: str | None = None
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = (), delivery: str | None = None, every: str | None = None
 ) -> StreamingQuery:
     """Keyed replace by log: the store keeps every micro-batch, readers see the last.
 
     A restated key costs one small write now and nothing is rewritten; see
-    :func:`restated_rows`.
+    :func:`restated_rows`. With ``keys``, rows that were replaced go when the store is folded; without, they stay.
     """
-    name = delivery or delivery_name(checkpoint)
-    return run_available(stream, checkpoint, lambda batch, i: _write(batch.dropDuplicates(), path, i, name), every=every)
+    store = _store(stream.sparkSession, path, stream.schema)
+    fold = (lambda df: _current(df, keys)) if keys else None
+    each = log_into(store, delivery or delivery_name(checkpoint), DataFrame.dropDuplicates, fold)
+    return run_available(stream, checkpoint, each, every=every)
 
 
 def restated_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
@@ -131,24 +135,29 @@ def restated_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Se
     The last batch of every restated key is one small row, combined before the
     shuffle; date and time keys count by day.
     """
-    stored = _stored(spark, path, schema)
+    return _current(_store(spark, path, schema).read(), keys).drop(SEQUENCE)
+
+
+def _current(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     temporal = ("date", "timestamp", "timestamp_ntz")
     kinds = dict(stored.dtypes)
     parts = {f"_k{i}": F.to_date(k) if kinds[k] in temporal else F.col(k) for i, k in enumerate(keys)}
     keyed = stored.select("*", *[c.alias(n) for n, c in parts.items()])
-    restated = keyed.where(F.col(_DELIVERY) != SEED).dropna(subset=list(parts))
-    newest = restated.groupBy(*parts).agg(F.max(_WRITTEN).alias("_newest"))
+    restated = keyed.where(F.col(SEQUENCE) > 0).dropna(subset=list(parts))
+    newest = restated.groupBy(*parts).agg(F.max(SEQUENCE).alias("_newest"))
     joined = keyed.join(broadcast_if_small(newest), list(parts), "left")
-    current = F.col("_newest").isNull() | (F.col(_WRITTEN) == F.col("_newest"))
-    return joined.where(current).drop("_newest", *_MARKS, *parts)
+    current = F.col("_newest").isNull() | (F.col(SEQUENCE) == F.col("_newest"))
+    return joined.where(current).drop("_newest", *parts)
 
 
 def ingest_upserts(
     stream: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str], delivery: str | None = None, every: str | None = None
 ) -> StreamingQuery:
-    """Log upserts, reduced per micro-batch to the first and last row of each key."""
-    name = delivery or delivery_name(checkpoint)
-    return run_available(stream, checkpoint, lambda batch, i: _write(_ends(batch, key, order), path, i, name), every=every)
+    """Log upserts, reduced per micro-batch, and when the store is folded, to the first and last row of each key."""
+    store = _store(stream.sparkSession, path, stream.schema)
+    prepare = lambda batch: _ends(batch, key, order)
+    each = log_into(store, delivery or delivery_name(checkpoint), prepare, prepare)
+    return run_available(stream, checkpoint, each, every=every)
 
 
 def _ends(batch: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -191,19 +200,23 @@ def count_failures(
         .agg(F.count("*").alias("failures"))
         .select(F.col("w.start").cast(stream.schema[at].dataType).alias("window_start"), F.col(service), "failures")
     )
-    name = delivery or delivery_name(checkpoint)
-    return run_available(counts, checkpoint, lambda batch, i: _write(batch, path, i, name), mode="update", every=every)
+    store = _store(stream.sparkSession, path, _counted(stream.schema, at, service))
+    each = log_into(store, delivery or delivery_name(checkpoint), lambda batch: batch, lambda df: _last_counts(df, service))
+    return run_available(counts, checkpoint, each, mode="update", every=every)
+
+
+def _counted(schema: T.StructType, at: str, service: str) -> T.StructType:
+    return T.StructType([T.StructField("window_start", schema[at].dataType), schema[service], T.StructField("failures", T.LongType())])
+
+
+def _last_counts(stored: DataFrame, service: str) -> DataFrame:
+    last = stored.groupBy("window_start", service).agg(F.max_by("failures", SEQUENCE).alias("failures"), F.max(SEQUENCE).alias(SEQUENCE))
+    return last.select("window_start", service, "failures", SEQUENCE)
 
 
 def failure_counts(spark: SparkSession, path: str, schema: T.StructType, at: str, service: str) -> DataFrame:
     """The last count of every window; ``schema`` is that of the task stream."""
-    fields = [
-        T.StructField("window_start", schema[at].dataType),
-        schema[service],
-        T.StructField("failures", T.LongType()),
-    ]
-    stored = _stored(spark, path, T.StructType(fields))
-    return stored.groupBy("window_start", service).agg(F.max_by("failures", _WRITTEN).alias("failures"))
+    return _last_counts(_store(spark, path, _counted(schema, at, service)).read(), service).drop(SEQUENCE)
 
 
 def ingest_codes(
@@ -211,8 +224,8 @@ def ingest_codes(
 ) -> StreamingQuery:
     """Payload stream to the code log; rows without a code are left out."""
     coded = messages.message_codes(stream)
-    name = delivery or delivery_name(checkpoint)
-    return run_available(coded, checkpoint, lambda batch, i: _write(batch, path, i, name), every=every)
+    store = _store(stream.sparkSession, path, coded.schema)
+    return run_available(coded, checkpoint, log_into(store, delivery or delivery_name(checkpoint), lambda batch: batch), every=every)
 
 
 def code_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -240,20 +253,23 @@ def answer_requests(
     ``codes`` reads the log anew for every micro-batch, as it keeps growing; of the log
     only the span that the requests can see is read on.
     """
-    name = delivery or delivery_name(checkpoint)
+    store = _store(stream.sparkSession, path, _answer_schema(stream.schema))
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def found(batch: DataFrame) -> DataFrame:
         bounds = batch.agg(F.min(at).cast("string").alias("low"), F.max(at).cast("string").alias("high")).first()
         log = codes(batch.sparkSession)
         # Literal bounds on the stored column are pushed into the scan.
         low, high = (F.lit(bounds[b]).cast(log.schema[created_at].dataType) for b in ("low", "high"))
         seen = log.where((F.col(created_at) > low - F.expr(f"interval {int(seconds)} seconds")) & (F.col(created_at) <= high))
-        found = lookups.latest_within(batch, seen, key, at, created_at, ["otp_code"], seconds, order)
-        _write(found, path, batch_id, name)
+        return lookups.latest_within(batch, seen, key, at, created_at, ["otp_code"], seconds, order)
 
-    return run_available(stream, checkpoint, each, every=every)
+    return run_available(stream, checkpoint, log_into(store, delivery or delivery_name(checkpoint), found), every=every)
+
+
+def _answer_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("latest_otp_code", T.StringType())])
 
 
 def answers(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Answered requests; ``schema`` is that of the request stream."""
-    return rows(spark, path, T.StructType([*schema.fields, T.StructField("latest_otp_code", T.StringType())]))
+    return rows(spark, path, _answer_schema(schema))

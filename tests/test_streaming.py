@@ -1,9 +1,12 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from marketflow.operators import load, lookups
 from marketflow.plans.schema_queries import payloads
 from marketflow.streaming import ingest
+from marketflow.streaming.store import Store
 
 SCHEMA = "k string, at timestamp_ntz, v int"
 
@@ -34,12 +37,80 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark, folder):
     assert ingest.rows(spark, f"{folder}/store", schema).count() == 4
 
 
-def test_a_repeated_micro_batch_overwrites_itself(spark, folder):
+def test_a_repeated_micro_batch_adds_nothing_and_keeps_its_place(spark, folder):
     df = spark.createDataFrame([("a", at(1), 1)], SCHEMA)
-    ingest.seed(df.limit(0), f"{folder}/store")
-    for _ in range(2):
-        ingest._write(df, f"{folder}/store", 0, "one")
-    assert ingest.rows(spark, f"{folder}/store", df.schema).count() == 1
+    store = Store(spark, f"{folder}/store", df.schema, "at")
+    assert store.append(lambda state: df, "one", 0)
+    assert store.append(lambda state: df.withColumn("v", F.lit(2)), "two", 0)
+    # The driver of the first stream was lost before Spark's own checkpoint; it delivers again, later than the other.
+    assert not store.append(lambda state: df.withColumn("v", F.lit(3)), "one", 0)
+    assert rows(store.read()) == [("a", at(1), 1, 1), ("a", at(1), 2, 2)]
+    assert rows(ingest.restated_rows(spark, f"{folder}/store", df.schema, ["k"])) == [("a", at(1), 2)]
+
+
+def test_streams_that_commit_at_once_see_each_other(spark, folder):
+    df = spark.createDataFrame([("a", at(1), 1)], SCHEMA)
+    store = Store(spark, f"{folder}/store", df.schema, "at")
+    seen = []
+
+    def fresh(state):
+        seen.append(len(state["tail"]))
+        if len(seen) == 1:
+            store.append(lambda s: df, "other", 0)
+        return load.new_rows(store.read(state).select(*df.columns), df)
+
+    store.append(fresh, "own", 0)
+    assert seen == [0, 1] and rows(ingest.rows(spark, f"{folder}/store", df.schema)) == [("a", at(1), 1)]
+    assert len(store.versions.folders(f"{folder}/store")) == 3
+
+
+def test_compaction_changes_no_answer(spark, folder):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    ingest.seed(spark.createDataFrame([("a", at(1), 0), ("c", at(1, 3), 0), (None, at(1), 0)], SCHEMA), f"{folder}/store")
+    store = Store(spark, f"{folder}/store", schema, "at")
+    for n in range(8):
+        batch = spark.createDataFrame([("a", at(n), n), (f"k{n % 3}", at(2, 2), n), (None, None, n)], SCHEMA)
+        store.append(lambda state: batch, "one", n)
+    fold = lambda df: ingest._current(df, ["k", "at"])
+    before = rows(ingest.restated_rows(spark, f"{folder}/store", schema, ["k", "at"]))
+    assert store.compact(fold) and store.state()[1]["tail"] == []
+    assert rows(ingest.restated_rows(spark, f"{folder}/store", schema, ["k", "at"])) == before
+    store.append(lambda state: spark.createDataFrame([("c", at(5, 3), 9)], SCHEMA), "one", 8)
+    after = rows(ingest.restated_rows(spark, f"{folder}/store", schema, ["k", "at"]))
+    assert ("c", at(5, 3), 9) in after and ("c", at(1, 3), 0) not in after
+    assert store.compact(fold) and rows(ingest.restated_rows(spark, f"{folder}/store", schema, ["k", "at"])) == after
+    assert not store.append(lambda state: 1 / 0, "one", 8)
+    store.tidy(keep=1)
+    assert len(store.versions.folders(f"{folder}/store")) == 2
+    assert rows(ingest.restated_rows(spark, f"{folder}/store", schema, ["k", "at"])) == after
+
+
+def test_what_is_committed_during_compaction_stays(spark, folder):
+    df = spark.createDataFrame([("a", at(1), 1)], SCHEMA)
+    store = Store(spark, f"{folder}/store", df.schema, "at")
+    store.append(lambda state: df, "one", 0)
+
+    def fold(rows_):
+        store.append(lambda state: df.withColumn("k", F.lit("b")), "two", 0)
+        return rows_
+
+    assert store.compact(fold)
+    assert rows(store.read()) == [("a", at(1), 1, 1), ("b", at(1), 1, 2)]
+
+
+def test_a_long_stream_opens_few_files(spark, folder):
+    """Many micro-batches of different days: a read of one day opens its base files and what the tail has of it."""
+    schema = spark.createDataFrame([], SCHEMA).schema
+    store = Store(spark, f"{folder}/store", schema, "at")
+    for n in range(24):
+        one = spark.createDataFrame([(f"k{n}", at(1, 1 + n % 12), n)], SCHEMA).coalesce(1)
+        store.append(lambda state: one, "one", n)
+        store.compact_if_long(tail=10)
+    assert len(store.state()[1]["tail"]) < 10 and store.read().count() == 24
+    day = store.read(days=("2025-06-03", "2025-06-03"))
+    assert day.where("day(at) = 3").count() == 2
+    files = lambda df: df.select(F.input_file_name()).distinct().count()
+    assert files(day) <= 4 < files(store.read())
 
 
 def test_restated_keys(spark, folder):
