@@ -130,9 +130,10 @@ def stream_code_join(spark, sf):
     requests = events.where("event_type = 'error'").select("event_id", F.col("user_id").cast("string").alias("phone"), "ts")
     # A last row of either stream, long after all others, says that nothing else will come.
     end = F.lit("2100-01-01").cast("timestamp_ntz")
-    none = F.lit(None).cast("string")
-    closing_code = spark.range(1).select(none.alias("phone"), none.alias("otp_code"), end.alias("ts"))
-    closing_request = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), none.alias("phone"), end.alias("ts"))
+    # It has a phone, as rows that can join nothing are dropped before their time is seen.
+    nobody = F.lit("-")
+    closing_code = spark.range(1).select(nobody.alias("phone"), nobody.alias("otp_code"), end.alias("ts"))
+    closing_request = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), nobody.alias("phone"), end.alias("ts"))
     early = F.pmod(F.xxhash64("phone", "otp_code"), F.lit(2)) == 0
     asked, made = scratch_path(spark, "landing-asked"), scratch_path(spark, "landing-made")
     answers, checkpoint = _places(spark, "joined")
