@@ -192,5 +192,11 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", a
     chars = F.coalesce(F.char_length(F.col(text)), F.lit(0)).cast("long")
     front = F.col(best).eqNullSafe(F.col(id_column)) & (-F.col(less) == chars)
     single = joined.where(F.col(mark).isNull()).select(docs.columns)
-    shared = joined.where(F.col(mark).isNotNull() & front).dropDuplicates([own, text]).select(docs.columns)
-    return single.unionByName(shared)
+    # Rows that repeat the best id with as many characters share the front, whatever their blanks; one of a group stays.
+    shared = joined.where(F.col(mark).isNotNull() & front)
+    if apart:
+        whole = batches.fresh(docs, "whole_text")
+        shared = shared.withColumn(whole, normalised(F.col(text))).dropDuplicates([own, whole])
+    else:
+        shared = shared.dropDuplicates([own])
+    return single.unionByName(shared.select(docs.columns))

@@ -41,6 +41,16 @@ def test_equals_brute_force(docs, monkeypatch, weak):
     assert kept.columns == docs([]).columns and sorted((r["doc_id"] for r in kept.collect()), key=repr) == want
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_rows_of_one_id_that_differ_in_blanks(docs, monkeypatch, weak):
+    if weak:
+        monkeypatch.setattr(exact, "digest", lambda text: F.sha2(F.substring(exact.normalised(text), 1, 1), 256))
+    pairs = [(1, "a b"), (1, "ab "), (None, "c d"), (None, "cd "), (2, "ax"), (3, "a x")]
+    kept = exact.keep_first(docs(pairs)).collect()
+    assert sorted((r["text"].replace(" ", "") for r in kept)) == ["ab", "ax", "cd"]
+    assert [r["doc_id"] for r in kept if "x" in r["text"]] == [3]
+
+
 def test_a_named_snapshot_and_empty_tables(docs):
     assert verdicts(exact.duplicates(docs(PAIRS), arrives=F.col("id") > 5)) == brute(PAIRS)
     assert exact.duplicates(docs([])).count() == 0 and exact.keep_first(docs([])).count() == 0
