@@ -148,7 +148,8 @@ def _encoded_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
     """(chunk, bucket, counts, ids): the ids of the words of each row, one after another."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = core(path, pattern).encode_ordinary
+        # A word is one piece already; the pattern is not applied to it again.
+        encode = core(path, pattern)._encode_single_piece
         table: dict[str, list[int]] = {}
         last = None
         for part in parts:
@@ -160,7 +161,7 @@ def _encoded_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
                 for word in _split(found):
                     got = table.get(word)
                     if got is None:
-                        got = table[word] = encode(word)
+                        got = table[word] = encode(word.encode())
                     mine.append(got)
                 counts.append(_counted(np.array([len(m) for m in mine], np.uint32)))
                 ids.append(_packed(np.array([i for m in mine for i in m], np.uint32)))

@@ -18,6 +18,12 @@ def test_equals_the_library_and_decodes(docs, monkeypatch):
     assert bpe.encode(docs([]), PATH, public_tokenizers.PATTERN).count() == 0
 
 
+def test_long_runs_of_blanks(docs):
+    run = " " * 5_000_000
+    encoded = bpe.decode(bpe.encode(docs([(1, f"a{run}b"), (2, "\t" * 900_000)]), PATH, public_tokenizers.PATTERN), PATH)
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in encoded.collect()} == {1: f"a{run}b".encode(), 2: b"\t" * 900_000}
+
+
 def test_numbers_survive_packing():
     for codes in (np.array([], np.uint32), np.array([0, 1, 70_000, 2**32 - 1], np.uint32)):
         assert bpe._unpacked(bpe._packed(codes), len(codes)).tolist() == codes.tolist()
