@@ -91,7 +91,7 @@ def _quoted_runs() -> Column:
     words = F.col("words")
     runs = [_runs(words, F.least(F.lit(RUN), F.size(words)), F.lit(0)), *(_runs(words, F.lit(n), F.lit(0)) for n in LONGER)]
     short = [F.flatten(_short_runs(F.col(parts))) for parts in ("line_words", "sentence_words")]
-    return F.array_distinct(F.concat(*runs, *short))
+    return F.concat(*runs, *short)
 
 
 def _own_runs() -> Column:
@@ -146,9 +146,13 @@ def _links(messages: DataFrame, passages: DataFrame) -> DataFrame:
     possible = found.select(*key, "original").distinct()
     # What each possible original holds of the passage, other messages aside.
     held = quoted.join(possible, key).join(own.select("conv", F.col("at").alias("original"), "unit"), ["conv", "original", "unit"], "left_semi")
-    scores = held.groupBy(*key, "original").agg(F.flatten(F.collect_set("covers")).alias("covers"), F.sum("size").alias("whole"))
-    covered = F.aggregate(F.array_distinct("covers"), F.lit(0).cast("long"), lambda n, w: n + w["chars"])
-    scores = scores.withColumn("covered", covered)
+    held = stage(held.select(*key, "original", "size", "covers"), "held")
+    whole = held.groupBy(*key, "original").agg(F.sum("size").alias("whole"))
+    # Runs overlap; every word counts once. Counted in rows, as sets of pairs in one cell take the square of their number.
+    words = held.select(*key, "original", F.explode("covers").alias("w")).select(*key, "original", "w.place", "w.chars")
+    words = words.groupBy(*key, "original", "place").agg(F.max("chars").alias("chars"))
+    covered = words.groupBy(*key, "original").agg(F.sum("chars").alias("covered"))
+    scores = whole.join(covered, [*key, "original"], "left").withColumn("covered", F.coalesce("covered", F.lit(0).cast("long")))
     best = scores.groupBy(*key).agg(F.max(F.struct("covered", "whole", "original")).alias("best"))
     return best.select(*key, F.col("best.original").alias("original"))
 
@@ -184,7 +188,8 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
         F.col("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    conv = F.coalesce(F.col("conv_id").cast("string"), F.lit("none"))
+    # The sign keeps null apart from a conversation that is called so.
+    conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("none"))
     rows = rows.withColumn("conv", conv).withColumn("at", F.coalesce("turn", F.lit(_LAST)))
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "messages")
     lines = stage(_lines(rows), "lines")

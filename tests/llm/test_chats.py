@@ -1,5 +1,8 @@
+import time
+
 import pytest
 from conftest import rows
+from support import prose
 
 from marketflow.llm import chats
 
@@ -57,3 +60,18 @@ def test_the_original_covers_most(spark):
     talk.append((1, 3, "u", "> " + " ".join(words[:9]) + "\n> " + " ".join(words[9:]) + "\nyes"))
     found = {r["turn"]: r["reply_to"] for r in chats.reply_ordered(spark.createDataFrame([(*t, "x", "x") for t in talk], SCHEMA)).collect()}
     assert found[3] == 0
+
+
+def test_null_conversations_are_none_of_the_named_ones(spark):
+    talk = [(None, 1, "u", "said by nobody in particular"), ("none", 2, "u", "> said by nobody in particular\nreply")]
+    got = chats.reply_ordered(spark.createDataFrame(talk, "conv_id string, turn long, role string, text string")).collect()
+    assert {(r["conv_id"], r["reply_to"], r["n_linked"]) for r in got} == {(None, None, 0), ("none", None, 0)}
+
+
+def test_a_long_quotation_is_linked_in_time(spark):
+    body = prose(7, 20_000)
+    talk = [(1, 0, "u", body), (1, 1, "u", "other words"), (1, 2, "u", "> " + body + "\nagreed")]
+    start = time.monotonic()
+    got = chats.reply_ordered(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r["turn"], r["reply_to"], r["message"]) for r in got if r["turn"]} == {(1, None, "other words"), (2, 0, "agreed")}
+    assert time.monotonic() - start < 60
