@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 _TAG = re.compile(
@@ -55,23 +56,25 @@ def parse(page: str | None, mark: str | None = None) -> Page:
     if not page:
         return out
     stack, block, hidden, at, size = [0], 0, 0, 0, len(page)
+    # Where in the stack the open elements of a name are, so that no tag looks through all that is open.
+    places: defaultdict[str, list[int]] = defaultdict(list)
     tags, parents, depths, names, marks, pieces = out.tags, out.parents, out.depths, out.names, out.marks, out.pieces
 
     def close(down_to: int) -> None:
         nonlocal block, hidden
         while len(stack) > down_to:
             tag = tags[stack.pop()]
+            places[tag].pop()
             block += tag in BLOCK
             hidden -= tag in HIDDEN
 
+    def innermost(kinds) -> int:
+        return max((places[kind][-1] for kind in kinds if places.get(kind)), default=0)
+
     def end_open(kinds, fences) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = tags[stack[k]]
-            if tag in kinds:
-                close(k)
-                return
-            if tag in fences:
-                return
+        last = innermost(kinds)
+        if last > innermost(fences):
+            close(last)
 
     while at < size:
         found = _TAG.search(page, at)
@@ -88,10 +91,8 @@ def parse(page: str | None, mark: str | None = None) -> Page:
             continue
         tag = name.lower()
         if found["close"] or found["close2"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if tags[stack[k]] == tag:
-                    close(k)
-                    break
+            if places.get(tag):
+                close(places[tag][-1])
             else:
                 block += tag in BLOCK
             continue
@@ -129,6 +130,7 @@ def parse(page: str | None, mark: str | None = None) -> Page:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             at = end.end() if end else size
             continue
+        places[tag].append(len(stack))
         stack.append(len(tags) - 1)
         hidden += tag in HIDDEN
     return out
