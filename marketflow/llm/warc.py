@@ -13,7 +13,8 @@ member before it. Pieces that such a false magic leaves at the edges of a range
 
 Defined cases: a null page is an empty payload; a null page id is smaller than any other; rows that repeat
 page id and payload are all responses if theirs is the largest; control characters in an address are
-escaped; an empty table gives an empty archive; other columns, whatever their names, are ignored.
+escaped; records of other writers are rows of their own type, with null for what they do not say; members that cannot
+be read are rows of type ``damaged`` with their bytes; an empty table gives an empty archive; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from marketflow.llm.batches import bound, slices
 from marketflow.session import broadcast_if_small, scratch_path, stage
 
 MAGIC = b"\x1f\x8b\x08"
+# Type of the rows for records that cannot be read, or do not have the digest or the size that they state.
+DAMAGED = "damaged"
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -97,21 +100,40 @@ def write(pages: DataFrame, path: str, least_bytes: int = 0, id_column: str = "p
     members.write.option("lineSep", "\x00").option("compression", "none").text(path)
 
 
+def _fields(lines: list[str]) -> dict[str, str]:
+    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() else None
+
+
 def parse(record: bytes) -> tuple:
-    """The fields of one record, its payload checked against its digest."""
+    """The fields of one record of any type; what it does not say is null.
+
+    The payload is the body of an HTTP message, else the whole block; only responses and other records with a body carry it.
+    One that does not have the digest it states makes the record ``damaged``, and so does a block that is cut off.
+    """
     head, _, rest = record.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
-    fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-    block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    sizes = [v for k, _, v in (line.partition(b":") for line in http.split(b"\r\n")) if k.strip().lower() == b"content-length"]
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    kind = fields["warc-type"]
-    if kind == "response" and sha1_base32(payload) != digest:
-        raise ValueError(f"payload of {fields['warc-record-id']} does not have the digest {digest}")
+    fields = _fields(head.decode("utf-8", "replace").split("\r\n")[1:])
+    size = _number(fields.get("content-length"))
+    block = rest if size is None else rest[:size]
+    payload, stated = block, None
+    if block.startswith(b"HTTP/"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        stated = _number(_fields(http.decode("latin-1").split("\r\n")[1:]).get("content-length"))
+    digest = fields.get("warc-payload-digest")
+    kind = fields.get("warc-type")
+    name = fields.get("warc-record-id")
+    whole = size is None or len(block) == size
+    if kind == "revisit":
+        payload = None
+    elif digest and digest.lower().startswith("sha1:"):
+        whole = whole and sha1_base32(payload) == digest[5:].upper()
+    digest = digest[5:] if digest and digest.lower().startswith("sha1:") else digest
     refers = _page(fields.get("warc-refers-to"))
-    name = fields["warc-record-id"]
-    return name, kind, fields.get("warc-target-uri"), _page(name), refers, int(sizes[0]), digest, payload if kind == "response" else None
+    length = stated if payload is None else len(payload)
+    return name, kind if whole else DAMAGED, fields.get("warc-target-uri"), _page(name), refers, length, digest, payload
 
 
 class _Reader:
@@ -208,18 +230,20 @@ def _scanned(held: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*held, strict=True), _KINDS, strict=True)], names=_NAMES)
 
 
+def _unread(piece: bytes) -> tuple:
+    """A row for bytes after a magic that are part of no record: a damaged member, or one that the file ends in."""
+    return (None, DAMAGED, None, None, None, len(MAGIC) + len(piece), None, MAGIC + piece)
+
+
 def _mended(left):
-    """The records of one file whose pieces lie in several byte ranges."""
+    """The records of one file whose pieces lie in several byte ranges, and a row for every piece that is part of none."""
     import pandas as pd
 
     reader, out = _Reader(), []
     for piece in left.sort_values(["start", "number"])["piece"]:
         lost, records = reader.take(bytes(piece))
-        if lost:
-            raise ValueError(f"{left['file'].iloc[0]} holds bytes that are no record")
-        out += map(parse, records)
-    if reader.rest():
-        raise ValueError(f"{left['file'].iloc[0]} ends inside a record")
+        out += [*map(_unread, lost), *map(parse, records)]
+    out += map(_unread, reader.rest())
     return pd.DataFrame(out, columns=_NAMES[:8])
 
 

@@ -64,8 +64,38 @@ def test_long_records_and_damage():
     raw = warc.member(1, "u", payload, None, False)
     assert raw[-1] == 0 and gzip.decompress(raw).endswith(payload + b"\r\n\r\n")
     record = gzip.decompress(warc.member(1, "u", b"good", None, False))
-    with pytest.raises(ValueError):
-        warc.parse(record.replace(b"good", b"evil"))
+    assert warc.parse(record)[1] == "response"
+    assert warc.parse(record.replace(b"good", b"evil"))[1] == warc.DAMAGED and warc.parse(record[:-6])[1] == warc.DAMAGED
+
+
+FOREIGN = [
+    b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://x/\r\nContent-Length: 24\r\n\r\nHTTP/1.0 200 OK\r\n\r\nbody!\r\n\r\n",
+    b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <urn:uuid:1>\r\n\r\nno length",
+    b"WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Payload-Digest: md5:abc\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+]
+
+
+@pytest.mark.parametrize("split", ["128m", "200"])
+def test_archives_of_other_writers(spark, folder, split):
+    cut = gzip.compress(FOREIGN[0] * 9)[:-20]
+    broken = warc.MAGIC + b"no gzip at all " * 20
+    with open(f"{folder}/part-0", "wb") as f:
+        f.write(b"".join(map(gzip.compress, FOREIGN[:2])) + broken + b"".join(map(gzip.compress, FOREIGN[2:])) + cut)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = warc.read(spark, folder).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    found = {r["record_type"]: (r["target_uri"], r["payload_bytes"], r["payload_digest"], r["payload"] and bytes(r["payload"])) for r in got}
+    assert found.pop(warc.DAMAGED)[3].startswith(warc.MAGIC)
+    assert found == {
+        "warcinfo": (None, 5, None, b"hello"), "response": ("http://x/", 5, None, b"body!"),
+        "metadata": (None, 9, None, b"no length"), "revisit": (None, None, "md5:abc", None),
+    }
+    assert sum(r["record_type"] == warc.DAMAGED for r in got) == 2
 
 
 def test_empty_table(spark):
