@@ -4,9 +4,9 @@ A document is the set of its five-word shingles. Documents with one set form one
 have a Jaccard similarity of 0.8 or more are linked. Candidates share a band of MinHash values. Inside a
 bucket the values of two texts are compared in slices; after each slice the pair is dropped when the
 posterior probability that its similarity reaches the threshold (uniform prior, binomial likelihood) is
-below the tolerance. What survives is verified on the whole shingle sets, so no false link is returned; a
-link is missed with a probability of about 5e-8 by the bands and 1e-5 by the tolerance, at similarity 0.8,
-and far less above.
+below the tolerance. What survives is verified on the whole shingle sets, so no false link is returned. At
+similarity 0.8 a link is missed with a probability of about 5e-8 by the bands and 8e-5 by the tolerance, which is
+applied after each of eight slices; at 0.82 it is 2e-5, and far less above.
 
 A bucket is cut into blocks of bounded size and every two blocks meet in one task, so a hot bucket is
 spread over tasks. A pair is worked on in its first common band only, and pairs never become rows: tasks
