@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marketflow.functions.names import header_names
 from marketflow.session import broadcast_if_small, stage
-from marketflow.sources.lines import Paths, heads_of, numbered_lines
+from marketflow.sources.lines import Paths, heads_of, lines_unless_quoted, numbered_lines
 from marketflow.sources.spans import quoted_records
 
 # Cell texts that mean "no value".
@@ -36,7 +36,7 @@ def read_delimited(
     skip_rows: int = 0,
     sep: str = ",",
     encoding: str = "auto",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     path_column: str | None = None,
     as_written: bool = False,
 ) -> DataFrame:
@@ -46,14 +46,19 @@ def read_delimited(
 
     Files may order their columns differently, or lack some: each is read by its
     own header, and columns are matched by name. All files are read in one scan.
-    ``multi_line`` allows line breaks inside quotes: records are cut where quotes are closed, also in files
-    that are split between tasks. Line breaks before the header always end a line.
+    Line breaks inside quotes are part of a cell: if some line has an odd number of quotes, records are cut where
+    quotes are closed, also in files that are split between tasks. ``multi_line`` says beforehand that there are
+    such records, or that every line is one. Line breaks before the header always end a line.
 
     Cells that spell "no value" become null and repeated header names get a suffix;
     ``as_written`` keeps the cells' text and the first of repeated columns only.
     """
     kept = {path_column: F.col("path")} if path_column else {}
-    lines = quoted_records(spark, paths, skip_rows, sep, encoding) if multi_line else numbered_lines(spark, paths, encoding)
+    lines = None
+    if not multi_line:
+        lines = numbered_lines(spark, paths, encoding) if multi_line is False else lines_unless_quoted(spark, paths, encoding)
+    if lines is None:
+        lines = quoted_records(spark, paths, skip_rows, sep, encoding)
     heads = heads_of(lines, skip_rows, skip_blank=True).withColumn("head", F.ltrim("head", F.lit("\ufeff")))
     layouts = _layouts(heads, paths)
     data = lines.join(broadcast_if_small(heads), "path").where((F.col("line") > F.col("head_line")) & (F.trim("value") != ""))

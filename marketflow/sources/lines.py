@@ -60,8 +60,8 @@ def _raw(spark: SparkSession, files: Sequence[str], separator: str | None = None
     )
 
 
-def _files(raw: DataFrame, encoding: str) -> tuple[DataFrame, DataFrame]:
-    """Staged rows per split (first id, lines before it) and per file (encoding).
+def _files(raw: DataFrame, encoding: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged rows per split (first id, lines before it) and per file (encoding), and what both come from.
 
     With ``encoding="auto"`` each file is read as UTF-8 if all of it is valid, else
     as code page 1252, else, when it holds a byte that page lacks, as Latin-1. One
@@ -69,7 +69,8 @@ def _files(raw: DataFrame, encoding: str) -> tuple[DataFrame, DataFrame]:
     split.
     """
     value = F.col("value")
-    found = [F.min("id").alias("first_id"), F.count("*").alias("lines")]
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    found = [F.min("id").alias("first_id"), F.count("*").alias("lines"), F.bool_or(quotes % 2 == 1).alias("odd")]
     if encoding == "auto":
         valid = F.is_valid_utf8("value")
         gaps = F.translate(_latin(value), _UNDEFINED, "") != _latin(value)
@@ -81,7 +82,7 @@ def _files(raw: DataFrame, encoding: str) -> tuple[DataFrame, DataFrame]:
         chosen = F.when(F.bool_and("utf8"), "utf-8").when(~F.bool_or("undefined"), "cp1252").otherwise("latin-1")
     else:
         chosen = F.lit(encoding)
-    return splits, counted.groupBy("path").agg(chosen.alias("encoding"))
+    return splits, counted.groupBy("path").agg(chosen.alias("encoding")), counted
 
 
 def _numbered(raw: DataFrame, splits: DataFrame) -> DataFrame:
@@ -91,10 +92,23 @@ def _numbered(raw: DataFrame, splits: DataFrame) -> DataFrame:
 
 def numbered_chunks(spark: SparkSession, files: Sequence[str], separator: str | None, encoding: str = "auto") -> DataFrame:
     """What lies between separators (null: any line break) as ``path``, ``split``, ``line`` (0-based), ``value`` and ``encoding``."""
+    return _chunks_and_counts(spark, files, separator, encoding)[0]
+
+
+def _chunks_and_counts(spark: SparkSession, files: Sequence[str], separator: str | None, encoding: str) -> tuple[DataFrame, DataFrame]:
     raw = _raw(spark, files, separator)
-    splits, encodings = _files(raw, encoding)
+    splits, encodings, counted = _files(raw, encoding)
     lines = _numbered(raw, splits).join(broadcast_if_small(encodings), "path")
-    return lines.withColumn("value", _decoded(F.col("value"), F.col("encoding")))
+    return lines.withColumn("value", _decoded(F.col("value"), F.col("encoding"))), counted
+
+
+def lines_unless_quoted(spark: SparkSession, paths: Paths, encoding: str = "auto") -> DataFrame | None:
+    """:func:`numbered_lines`, or null if some line has an odd number of quotes, so that a record may go on in the next line.
+
+    The scan that counts the lines tells.
+    """
+    lines, counted = _chunks_and_counts(spark, landed(spark, paths), None, encoding)
+    return None if counted.where("odd").limit(1).count() else lines.drop("split")
 
 
 def numbered_lines(spark: SparkSession, paths: Paths, encoding: str = "auto") -> DataFrame:

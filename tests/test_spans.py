@@ -54,6 +54,14 @@ def test_an_open_quote_is_an_error(spark, land):
         delimited.read_delimited(spark, path, multi_line=True)
 
 
+def test_records_that_go_on_are_noticed(spark, land, folder):
+    land("a.csv", 'x,y\n"two\nlines",1\n')
+    land("b.csv", "x,y\n3,4\n")
+    assert rows(delimited.read_delimited(spark, folder)) == [("3", "4"), ("two\nlines", "1")]
+    as_lines = delimited.read_delimited(spark, folder, multi_line=False)
+    assert as_lines.count() == 3
+
+
 def test_files_without_quotes_and_empty_ones(spark, land, folder):
     land("a.csv", "x,y\n1,2\n")
     land("b.csv", "x,y\n")
