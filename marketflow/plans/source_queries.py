@@ -172,10 +172,10 @@ def json_array_split(spark, sf):
 
 @query(search_sql())
 def json_search_records(spark, sf):
-    """Search-performance documents: the records under one named path."""
+    """Search-performance documents, gzipped: the records under one named path."""
     record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
     path = framed_files(
-        search_records(table(spark, sf, "lineitem")), record, '{"spec": {"a": [1]}, "dataByAsin": [', "]}", ",", "search"
+        search_records(table(spark, sf, "lineitem")), record, '{"spec": {"a": [1]}, "dataByAsin": [', "]}", ",", "search", compression="gzip"
     )
     rows = documents.named_records(documents.read_documents(spark, path), documents.SEARCH_RECORDS, search_schema())
     return nested.search_performance(rows, F.col("asin"), F.lit("1998-06-13").cast("date"))

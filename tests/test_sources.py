@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,8 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from marketflow.operators import filters
+from marketflow.plans import source_queries
+from marketflow.session import shared_folder
 from marketflow.sources import delimited, documents, lines, tables
 
 
@@ -240,3 +243,15 @@ def test_xml_comments_cdata_nested_rows_and_children(spark):
     assert rows(documents.xml_records(docs(spark, '<R><x id="1"><a>1</a></x><y id="2"><a>2</a><b>3</b></y></R>'), plain)) == [("1", "1", None), ("2", "2", "3")]
     assert rows(documents.xml_records(docs(spark, "<R><a>1</a><b>2</b></R>"), plain)) == [(None, "1", None), (None, None, "2")]
     assert rows(documents.xml_records(docs(spark, '<Row id="5"/>', '<Row><Row id="6"><a>7</a></Row></Row>'), schema)) == [("5", None), ("6", "7")]
+
+
+def landed_bytes(spark, label):
+    """Bytes of the sample files of a label that were written so far."""
+    folder = shared_folder(spark).removeprefix("file://") + "/marketflow"
+    return sum(f.stat().st_size for p in Path(folder).glob(f"{label}-*") for f in p.rglob("part-*"))
+
+
+def test_search_documents_land_gzipped(spark):
+    before = landed_bytes(spark, "search")
+    found = source_queries.json_search_records(spark, "/root/testdata/sf0.001").count()
+    assert found and landed_bytes(spark, "search") - before < 150 * found
