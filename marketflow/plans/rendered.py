@@ -13,17 +13,30 @@ from marketflow.session import scratch_path
 
 _ROW_BITS = (1 << 33) - 1
 
+# Splits that files are cut into while that makes none of them larger than the session's own size.
+_SPLITS = 64
+
 
 @contextmanager
-def small_splits(spark: SparkSession, size: str = "64k") -> Iterator[None]:
-    """Files scanned meanwhile are cut into splits of ``size``, so that sample files are split like large ones."""
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, size)
+def small_splits(spark: SparkSession, size: str | None = None) -> Iterator[None]:
+    """Files scanned meanwhile are cut into splits of ``size``, so that sample files are split like large ones.
+
+    Without a size there are some 64 splits, of 64 KiB at least, and of the session's own size where files are large: the
+    number of tasks does not grow faster than that of any other scan.
+    """
+    files = "spark.sql.files."
+    meant = {f"{files}maxPartitionBytes": size} if size else {f"{files}openCostInBytes": "64k", f"{files}minPartitionNum": str(_SPLITS)}
+    before = {key: spark.conf.get(key, None) for key in meant}
+    for key, value in meant.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def headed_files(df: DataFrame, line: Column, head: Sequence[str | Column], label: str) -> str:

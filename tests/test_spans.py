@@ -115,3 +115,12 @@ def test_one_line_array_is_read_by_many_tasks(spark, land):
         got = spans.array_members(spark, path, SCHEMA)
         tasks = got.select(F.spark_partition_id().alias("p"), "k").groupBy("p").count().count()
     assert tasks > 1 and got.agg(F.sum("k"), F.count("*")).first()[:] == (12497500, 5000)
+
+
+def test_splits_of_large_files_do_not_stay_small(spark, land):
+    path = land("a.csv", "x" * 99 + "\n" * 1 + ("y" * 99 + "\n") * 160_000)
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    with small_splits(spark):
+        assert 50 < spark.read.text(path).rdd.getNumPartitions() <= 70
+    assert spark.conf.get(key, None) == before
