@@ -64,5 +64,22 @@ def framed_files(df: DataFrame, line: Column, first: str, last: str, separator:
     return path
 
 
+def array_files(df: DataFrame, line: Column, label: str) -> str:
+    """Files of one JSON array each on one line, however large: a task writes its own in pieces, and a blank ends every piece."""
+
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lead = "["
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"value": [lead + ", ".join(batch["value"])]})
+                lead = ", "
+        if lead != "[":
+            yield pd.DataFrame({"value": ["]"]})
+
+    path = scratch_path(df.sparkSession, label)
+    df.select(line.alias("value")).mapInPandas(pieces, "value string").write.options(lineSep=" ").text(path)
+    return path
+
+
 def csv_line(*columns: Column, sep: str = ",") -> Column:
     return F.to_csv(F.struct(*columns), {"sep": sep, "escape": '"'})

@@ -11,7 +11,7 @@ from marketflow.operators import filters, nested, projections
 from marketflow.operators.projections import Field
 from marketflow.plans.lookup_queries import search_records, search_schema, search_sql
 from marketflow.plans.registry import query, table
-from marketflow.plans.rendered import csv_line, framed_files, headed_files, small_splits
+from marketflow.plans.rendered import array_files, csv_line, framed_files, headed_files, small_splits
 from marketflow.session import scratch_path, stage
 from marketflow.sinks import tables as sinks
 from marketflow.sources import delimited, documents, lines, spans
@@ -163,7 +163,7 @@ def json_array_split(spark, sf):
         F.concat(F.lit('{"'), F.col("o_orderpriority"), F.lit("\\")).alias("note"),
         F.struct(F.struct(F.col("o_totalprice").alias("amount")).alias("total"), F.array(F.lit("]}")).alias("marks")).alias("price"),
     )
-    path = framed_files(orders, F.to_json(F.struct("*")), "[", "]", ", ", "arrays")
+    path = array_files(orders, F.to_json(F.struct("*")), "arrays")
     schema = T.StructType.fromDDL("orderKey bigint, status string, note string, price struct<total struct<amount double>>")
     with small_splits(spark):
         rows = names.rename_all(spans.array_members(spark, path, schema), names.snake_case)

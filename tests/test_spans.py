@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
-from marketflow.plans.rendered import small_splits
+from marketflow.plans.rendered import array_files, small_splits
 from marketflow.sources import delimited, spans
 
 
@@ -124,3 +124,12 @@ def test_splits_of_large_files_do_not_stay_small(spark, land):
     with small_splits(spark):
         assert 50 < spark.read.text(path).rdd.getNumPartitions() <= 70
     assert spark.conf.get(key, None) == before
+
+
+def test_a_task_writes_one_array_in_pieces(spark):
+    numbers = spark.range(0, 25_000, 1, 1)
+    path = array_files(numbers, F.to_json(F.struct(F.col("id").alias("k"))), "pieces")
+    assert len(spark.read.text(path).inputFiles()) == 1
+    with small_splits(spark):
+        got = spans.array_members(spark, path, T.StructType([T.StructField("k", T.LongType())]))
+        assert got.agg(F.sum("k"), F.count("*"), F.count_distinct("k")).first()[:] == (312487500, 25000, 25000)
