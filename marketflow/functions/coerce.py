@@ -101,6 +101,11 @@ DATE_FORMATS = (
     "MMM d, yyyy", "MMM d, yyyy H:mm:ss", "MMM d, yyyy h:mm a", "MMM d, yyyy h:mm:ss a",
 )
 _SPELLED = r"^(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2} [A-Za-z]{3} [0-9]{4}|[A-Za-z]{3} [0-9]{1,2}, [0-9]{4})"
+# What every text that reads as a date or time begins with.
+DATE_START = r"^(?:[+-]?[0-9]{4}|[0-9]{1,2}[/ ]|[A-Za-z]{3} )"
+# The two spellings nearly all files have. Texts of these forms read the same way as any other, only without the dear steps.
+_ISO_DAY = r"^[0-9]{4}-.*[^A-Z\s]\z"
+_SLASHED_DAY = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z"
 # A zone word after the time; times stay local to it.
 _ZONE_WORD = r"(?<=[0-9apmAPM])\s+(?!(?i:am|pm)$)[A-Z]{2,5}$"
 
@@ -130,7 +135,11 @@ def to_timestamp(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
     # that fail are dear, so they are not tried on other texts.
     iso = F.when(text.rlike(r"^[+-]?[0-9]{4}") & ~text.rlike(r"^[0-9]+$"), text.try_cast("timestamp_ntz"))
     given = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(iso, *given, _spelled(text))
+    read = F.coalesce(iso, *given, _spelled(text))
+    if formats:
+        return read
+    slashed = F.try_to_timestamp(source, F.lit("M/d/yyyy")).cast("timestamp_ntz")
+    return F.when(source.rlike(_ISO_DAY), source.try_cast("timestamp_ntz")).when(source.rlike(_SLASHED_DAY), slashed).otherwise(read)
 
 
 def to_date(c: Column | str, formats: tuple[str, ...] = ()) -> Column:

@@ -156,7 +156,7 @@ def _kinds_mask(value: Column) -> Column:
         F.when(whole, bit["long"] | bit["double"])
         .when(coerce.number(value).isNotNull(), bit["double"])
         .when(value.isin("True", "False"), bit["boolean"])
-        .when(value.rlike("[0-9]") & coerce.to_timestamp(value).isNotNull(), bit["timestamp"])
+        .when(value.rlike(coerce.DATE_START) & coerce.to_timestamp(value).isNotNull(), bit["timestamp"])
         .otherwise(0)
     )
 
@@ -173,8 +173,10 @@ def infer_contract(df: DataFrame) -> Contract:
         return contract_of(df)
     # A backslash and a backtick may be part of a report's column name.
     quoted = [F.col(f"`{name.replace('`', '``')}`") for name in texts]
-    cells = df.select(F.posexplode(F.transform(F.array(*quoted), lambda c: F.trim(coerce.to_text(c)))).alias("place", "value"))
-    masks = cells.where("value is not null").groupBy("place").agg(F.bit_and(_kinds_mask(F.col("value"))).alias("mask")).collect()
+    cells = df.select(F.posexplode(F.array(*quoted)).alias("place", "cell"))
+    # Every cell is trimmed once, not in each of the attempts that follow.
+    trimmed = cells.where(coerce.to_text("cell").isNotNull()).select("place", F.explode(F.array(F.trim("cell"))).alias("value"))
+    masks = trimmed.groupBy("place").agg(F.bit_and(_kinds_mask(F.col("value"))).alias("mask")).collect()
     found = {texts[row["place"]]: row["mask"] for row in masks}
     fields = []
     for name, kind in df.dtypes:

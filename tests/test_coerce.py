@@ -100,3 +100,16 @@ def test_spelled_dates(spark):
     }
     frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", coerce.to_timestamp("t").alias("at"))
     assert {r["t"]: r["at"] for r in frame.collect()} == texts
+
+
+def test_the_usual_spellings_read_like_any_other(spark):
+    texts = [
+        "2024-01-05", "2024-01-05 10:11:12", "2024-01-05T10:11:12Z", "2024-01-05 10:11:12 PST", "2024-01-05 PST\n", " 2024-01-05 ", "2024-13-05", "2024-",
+        "1/5/2024", "01/05/2024", "13/45/2024", "1/5/2024 ", "1/5/2024\n", "1/5/20245", "Jan 5, 2024", "5 Jan 2024",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    # A given pattern that nothing matches leaves the quick ways out.
+    both = df.select("t", coerce.to_timestamp("t").alias("quick"), coerce.to_timestamp("t", ("yyyy_MM",)).alias("slow"), F.trim("t").rlike(coerce.DATE_START).alias("start"))
+    for row in both.collect():
+        assert row["quick"] == row["slow"], row["t"]
+        assert row["start"] or row["quick"] is None, row["t"]
