@@ -164,3 +164,18 @@ def test_types_that_differ_are_compared_by_value(spark):
     assert rows(load.new_rows(target, batch)) == [(2, "y")]
     with pytest.raises(TypeError):
         load.new_rows(target, spark.createDataFrame([("1", "x")], "n string, s string"))
+
+
+def test_new_rows_of_a_large_batch_are_not_joined_where_no_digest_agrees(spark):
+    target = spark.createDataFrame([(1, "a"), (2, None)], "k long, t string")
+    fresh = spark.createDataFrame([(3, "a"), (2, "b"), (4, None)], "k long, t string")
+    new = load.new_rows(target, fresh, broadcast_limit=1)
+    assert "Join" not in new._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(new) == rows(fresh)
+
+
+@pytest.mark.parametrize("limit", [1, 30, load.BROADCAST_LIMIT])
+def test_rows_of_agreeing_digests_and_repeated_ones_are_compared(spark, limit):
+    target = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "k long, t string")
+    fresh = spark.createDataFrame([(3, "a"), (3, "a"), (2, "b"), (4, None), (4, None), (2, None)], "k long, t string")
+    assert rows(load.new_rows(target, fresh, broadcast_limit=limit)) == sorted([(2, "b"), (4, None)], key=repr)
