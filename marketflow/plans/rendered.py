@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.session import scratch_path
+from marketflow.session import scratch_path, settings
 
 _ROW_BITS = (1 << 33) - 1
 
@@ -26,17 +26,8 @@ def small_splits(spark: SparkSession, size: str | None = None) -> Iterator[None]
     """
     files = "spark.sql.files."
     meant = {f"{files}maxPartitionBytes": size} if size else {f"{files}openCostInBytes": "64k", f"{files}minPartitionNum": str(_SPLITS)}
-    before = {key: spark.conf.get(key, None) for key in meant}
-    for key, value in meant.items():
-        spark.conf.set(key, value)
-    try:
+    with settings(spark, meant):
         yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
 
 
 def headed_files(df: DataFrame, line: Column, head: Sequence[str | Column], label: str) -> str:

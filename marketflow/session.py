@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,10 +57,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/marketflow/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, meant: dict[str, str]) -> Iterator[None]:
+    """The session has these settings meanwhile."""
+    before = {key: spark.conf.get(key, None) for key in meant}
+    for key, value in meant.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts its lineage."""
+    """Write ``df`` to the shared folder and read it back: cuts its lineage. The shuffles of the write go when it has ended."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,19 +89,25 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def _measurable(df: DataFrame) -> bool:
+    return all(kind in _FLAT or kind.startswith("decimal") for _, kind in df.dtypes)
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     """Is the measured size of ``df`` within ``limit``? ``limit=0`` skips measuring."""
-    flat = all(kind in _FLAT or kind.startswith("decimal") for _, kind in df.dtypes)
-    return bool(limit) and flat and measured_bytes(df) <= limit
+    return bool(limit) and _measurable(df) and measured_bytes(df) <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Mark ``df`` for broadcast only when its measured size is within ``limit``.
 
-    Beyond the limit the frame is returned as it is, and the join shuffles both
-    sides with adaptive skew splitting.
+    Beyond the limit the frame is marked for a merge, and the join shuffles both
+    sides with adaptive skew splitting. Without that mark Spark would go by the size
+    of staged files, and millions of rows that repeat a path take few bytes there.
     """
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+    if fits_broadcast(df, limit):
+        return F.broadcast(df)
+    return df.hint("merge") if limit and _measurable(df) else df
 
 
 _FLAT = {

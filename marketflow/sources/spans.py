@@ -179,15 +179,14 @@ def array_members(spark: SparkSession, paths: Paths, schema: T.StructType) -> Da
     pieces = named.where("line <> first or not ends").select("path", "line", "first")
 
     closed = chunks.join(broadcast_if_small(last), "path")
-    closed = closed.select("path", "line", F.when(is_last, value).otherwise(F.concat(value, F.lit("}"))).alias("value"), is_last.alias("is_last"))
-    records = _assembled(closed.drop("is_last"), pieces, "").join(broadcast_if_small(last), "path")
+    closed = closed.select("path", "line", F.when(is_last, value).otherwise(F.concat(value, F.lit("}"))).alias("value"))
+    records = _assembled(closed, pieces, "").join(broadcast_if_small(last), "path")
     # What stands before a member and behind the last one belongs to the array.
     text = F.regexp_replace("value", r"^[\s,]*+", "")
     text = F.when(F.col("line") == 0, F.regexp_replace(text, r"^\[", "")).otherwise(text)
     tail = F.regexp_extract(text, r"(?s)^(.*)\]\s*$", 1)
     # Only the record that holds the file's last chunk ends with the array's bracket.
-    holds_last = closed.where("is_last").select("path", "line").join(pieces, ["path", "line"], "left")
-    holds_last = holds_last.select("path", F.coalesce("first", "line").alias("final"))
+    holds_last = named.where("is_last").select("path", F.col("first").alias("final"))
     records = records.join(broadcast_if_small(holds_last), "path")
     body = F.when(F.col("line") == F.col("final"), tail).otherwise(text)
     records = records.select(F.concat(F.lit("["), body, F.lit("]")).alias("text"))

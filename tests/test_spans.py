@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from marketflow.plans.rendered import array_files, small_splits
+from marketflow.session import broadcast_if_small, stage
 from marketflow.sources import delimited, spans
 
 
@@ -133,3 +134,16 @@ def test_a_task_writes_one_array_in_pieces(spark):
     with small_splits(spark):
         got = spans.array_members(spark, path, T.StructType([T.StructField("k", T.LongType())]))
         assert got.agg(F.sum("k"), F.count("*"), F.count_distinct("k")).first()[:] == (312487500, 25000, 25000)
+
+
+def test_frames_over_the_limit_are_not_broadcast_for_their_small_files(spark, land, monkeypatch):
+    many = stage(spark.range(5000).select(F.lit("p" * 100).alias("path"), "id"), "many")
+    joined = spark.range(10_000_000).join(broadcast_if_small(many, 100_000), "id", "left")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    # Of an array's own frames only those with a row per file or split stay under this limit.
+    monkeypatch.setattr(spans, "broadcast_if_small", lambda df: broadcast_if_small(df, 2000))
+    path = land("a.json", json.dumps([{"k": i, "v": {"a": {}}} for i in range(500)]))
+    with small_splits(spark, "20k"):
+        got = spans.array_members(spark, path, SCHEMA)
+        assert got._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 2
+        assert got.agg(F.sum("k"), F.count("*")).first()[:] == (124750, 500)
