@@ -179,3 +179,24 @@ def test_rows_of_agreeing_digests_and_repeated_ones_are_compared(spark, limit):
     target = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "k long, t string")
     fresh = spark.createDataFrame([(3, "a"), (3, "a"), (2, "b"), (4, None), (4, None), (2, None)], "k long, t string")
     assert rows(load.new_rows(target, fresh, broadcast_limit=limit)) == sorted([(2, "b"), (4, None)], key=repr)
+
+
+def test_a_large_batch_is_compared_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(load, "_SLICE_BYTES", 2000)
+    target, batch = random_rows(5, 12), random_rows(15)
+    t, b = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(batch, SCHEMA)
+    for granularity in ("day", "exact"):
+        new = load.new_rows(t, b, granularity, broadcast_limit=1)
+        # What is left to do is reading the new rows of every slice.
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("FileScan") > 1
+        assert rows(new.union(t)) == expected_insert(target, batch, granularity == "day")
+
+
+def test_rows_are_shuffled_once_for_the_comparison(spark):
+    b = spark.createDataFrame([(1, "a", at("2025-06-01T12:30")), (2, "b", None)], "k long, t string, ts timestamp_ntz")
+    new = load.new_rows(b.where("k = 1"), b, broadcast_limit=0)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    batch = next(line for line in plan.splitlines() if "xxhash64(_identity" in line)
+    assert "ts#" in batch and "k#" not in batch and " t#" not in batch
+    assert rows(new) == [(2, "b", None)]

@@ -4,7 +4,9 @@ import pytest
 
 from conftest import rows
 from marketflow.functions.names import NameCollision
+from marketflow.operators import load
 from marketflow.plans import reports
+from marketflow.session import stage
 
 
 def test_families():
@@ -63,3 +65,19 @@ def test_unknown_sources_and_lost_dates(spark, land):
     outcome = reports.load_report(spark, reports.family("transaction"), path, None, "2025-02-01")
     assert outcome.nulled == (("date_time", 1),)
     assert sorted(str(r["date_time"]) for r in outcome.state.collect()) == ["2025-01-05 00:03:15", "None"]
+
+
+def test_a_batch_of_stored_types_is_staged_once(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(reports, "stage", lambda df, label: staged.append(df.columns) or stage(df, label))
+    monkeypatch.setattr(load, "stage", lambda df, label: staged.append(df.columns) or stage(df, label))
+    raw = spark.createDataFrame([("x", 1), ("y", 2), ("y", 2)], "sku string, units long")
+    target = spark.createDataFrame([("x", 1)], "sku string, units long")
+    report = reports.family("promotions")
+    assert rows(reports.load_batch(report, raw, target, "2025-06-02").state) == [("x", 1), ("y", 2)]
+    assert staged.count(["sku", "units"]) == 1
+    assert not reports.load_batch(report, raw.limit(0), target, "2025-06-02").loaded
+    clashing = raw.toDF("a b", "a-b")
+    assert not reports.load_batch(report, clashing.limit(0), target, "2025-06-02").loaded
+    with pytest.raises(NameCollision):
+        reports.load_batch(report, clashing, target, "2025-06-02")
